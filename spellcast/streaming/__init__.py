@@ -1,0 +1,5 @@
+"""Intentionally empty: the pipeline is a batch re-run over dated snapshots.
+
+No operator in the inventory reads a stream, keeps state between runs or uses a
+watermark, so there is nothing to express with Structured Streaming.
+"""
