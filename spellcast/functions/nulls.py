@@ -23,4 +23,4 @@ def ratio(num: Column, den: Column, zero: float = 1) -> Column:
 
 def cents(col: Column) -> Column:
     """A money sum, rounded to whole cents so it does not depend on summation order."""
-    return F.round(col, 2)
+    return F.rint(col * 100) / 100

@@ -28,6 +28,7 @@ from spellcast.config import (
 from spellcast.functions.dates import day_number, next_spine_date
 from spellcast.functions.nulls import cents
 from spellcast.operators.bronze import is_cancelled_payment, is_valid_payment
+from spellcast.operators.spells import attributes_of, tpid
 
 SPELL = KEY + ["date_start"]
 
@@ -318,6 +319,7 @@ def exclusion_flags(provider_map: DataFrame, provider_flags: DataFrame, s: Setti
 
 def gold_training_row(
     gold: DataFrame,
+    providers: DataFrame,
     payments: DataFrame,
     history: DataFrame,
     interactions: DataFrame,
@@ -328,8 +330,11 @@ def gold_training_row(
     """Every look-back of every snapshot, with payer lists and exclusion flags.
 
     All sums come from one table of snapshots and provider-days and one shuffle on the
-    provider key; only the payer lists and the exclusions are joined on.
+    provider key. Provider attributes stay out of it and are joined back on the same key,
+    as are the payer lists and the exclusions.
     """
+    attributes = attributes_of(gold)
+    gold = gold.drop("tpid", *attributes)
     spell_days = payment_days(payments, s).unionByName(call_days(interactions, s), allowMissingColumns=True)
     optouts = optout_days(history).withColumn("optout_day", F.col("day"))
     rows = _with_snapshots(gold, _in_spells(spell_days, gold), optouts)
@@ -346,7 +351,9 @@ def gold_training_row(
     important = F.transform("payerid_list_important", lambda p: p.cast("string"))
     lists = payer_lists(gold, payments, s)
     return (
-        summed.join(lists, ROW_KEY, "left")
+        summed.join(providers.select(*KEY, *attributes), KEY, "left")
+        .withColumn("tpid", tpid())
+        .join(lists, ROW_KEY, "left")
         .join(exclusion_flags(provider_map, provider_flags, s), KEY, "left")
         .withColumns(
             {

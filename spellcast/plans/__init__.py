@@ -1 +1,9 @@
+"""Whole runs (training table, retraining, scoring) and the registered queries."""
 
+
+def all_queries():
+    """Every registered query, by key."""
+    from spellcast.plans import training_queries  # noqa: F401
+    from spellcast.plans.registry import QUERIES
+
+    return dict(QUERIES)
