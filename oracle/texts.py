@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import oracle.pipeline  # noqa: F401  (registers its texts)
 from oracle.base import query, select
+from oracle.features import FEATURE_KEYS, FILLED, RECENT, ROW
 
 ORACLE: dict[str, str] = {
     "bronze_payments": select("bronze_payments"),
@@ -40,3 +41,5 @@ ORACLE: dict[str, str] = {
     "exclusion_flags": select("exclusion_flags"),
     "gold_training_row": select("training_row"),
 }
+ORACLE |= {k: select(k) for k in FEATURE_KEYS}
+ORACLE["feat_fill_filter"] = select("prepared", ", ".join([ROW, "duration", *FILLED, *RECENT]))
