@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import oracle.pipeline  # noqa: F401  (registers its texts)
 from oracle.base import query, select
+from oracle.evaluation import ORACLE as EVALUATION
 from oracle.features import FEATURE_KEYS, FILLED, RECENT, ROW
 
 ORACLE: dict[str, str] = {
@@ -43,3 +44,4 @@ ORACLE: dict[str, str] = {
 }
 ORACLE |= {k: select(k) for k in FEATURE_KEYS}
 ORACLE["feat_fill_filter"] = select("prepared", ", ".join([ROW, "duration", *FILLED, *RECENT]))
+ORACLE |= EVALUATION
