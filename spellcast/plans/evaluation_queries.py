@@ -18,7 +18,7 @@ COEFFICIENTS = {"account_age": 0.0004, "amount": -0.000002, "firstaction_bool":
 DESCRIPTIONS = {"account_age": "Age of the account in days", "amount": "Amount of the last order"}
 
 
-def rounded(df: DataFrame, digits: int = 8) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 10) -> DataFrame:
     """Round every floating column; sums differ in their last digits between engines."""
     return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes])
 
