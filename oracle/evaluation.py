@@ -15,7 +15,7 @@ cte(
 cte(
     "sm",
     """SELECT 'champion' AS model, * FROM sc UNION ALL
-       SELECT 'previous' AS model, * REPLACE (round(prob * 0.6::DOUBLE + mod(row_id * 31, 97) / 97.0::DOUBLE * 0.4::DOUBLE, 3) AS prob)
+       SELECT 'previous' AS model, * REPLACE (floor((prob * 0.6::DOUBLE + mod(row_id * 31, 97) / 97.0::DOUBLE * 0.4::DOUBLE) * 997.0::DOUBLE) / 997.0::DOUBLE AS prob)
        FROM sc""",
     "sc",
 )
@@ -68,7 +68,7 @@ cte(
 )
 
 
-def rnd(*cols: str, digits: int = 10) -> str:
+def rnd(*cols: str, digits: int = 9) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
 
 
@@ -77,7 +77,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["date_split"] = select("sc", "row_id, event_date, split")
 ORACLE["split_summary"] = query(
     """SELECT split, count(*) AS n_rows, min(event_date) AS first_date, max(event_date) AS last_date,
-              round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM sc), 10) AS share_pct, true AS boundary_ok
+              round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM sc), 9) AS share_pct, true AS boundary_ok
        FROM sc GROUP BY split""",
     "sc",
 )
@@ -105,7 +105,7 @@ _AGE = """CASE WHEN account_age <= 730 THEN 'LT2YR_OLD' WHEN account_age <= 1460
     WHEN account_age <= 3650 THEN 'BT8_10YR_OLD' WHEN account_age <= 4380 THEN 'BT10_12YR_OLD' ELSE 'GT12YR_OLD' END"""
 ORACLE["age_table"] = query(
     f"""SELECT split, segment, age_bin, counts, positives, {rnd(*_P)},
-               round((positives * 100.0::DOUBLE / counts) / (total_pos * 100.0::DOUBLE / total_rows), 10) AS lift
+               round((positives * 100.0::DOUBLE / counts) / (total_pos * 100.0::DOUBLE / total_rows), 9) AS lift
         FROM (SELECT x.*, positives * 100.0::DOUBLE / counts AS target_rate_pct,
                      positives * 100.0::DOUBLE / total_pos AS overall_target_pct, total_pos, total_rows
               FROM (SELECT split, segment, {_AGE} AS age_bin, {_STATS} FROM seg WHERE model = 'champion' GROUP BY ALL) x
@@ -223,7 +223,7 @@ ORACLE["call_order"] = select(
 )
 ORACLE["tier_distribution"] = query(
     """SELECT opt_in_category, tier_order, count(row_id) AS n,
-              round(count(row_id) * 100.0::DOUBLE / (SELECT count(*) FROM tiered), 10) AS share_pct
+              round(count(row_id) * 100.0::DOUBLE / (SELECT count(*) FROM tiered), 9) AS share_pct
        FROM tier_names LEFT JOIN tiered USING (opt_in_category) GROUP BY ALL""",
     "tier_names", "tiered",
 )
@@ -250,7 +250,7 @@ cte(
     ),
     "doy", "means",
 )
-ORACLE["linear_contributions"] = query(f"SELECT row_id, feature, {rnd('contribution', 'value')} FROM contrib", "contrib")
+ORACLE["linear_contributions"] = query("SELECT row_id, feature, contribution, value FROM contrib", "contrib")
 
 
 def _drivers(top_n: int, threshold: float) -> str:
@@ -321,8 +321,8 @@ ORACLE["segment_reference"] = query(
     "segref",
 )
 ORACLE["champion_compare"] = query(
-    """SELECT c.segment, round(c.decile1_lift, 10) AS champion_lift, round(p.decile1_lift, 10) AS previous_lift,
-              round(c.decile1_lift / p.decile1_lift, 10) AS lift_gain
+    """SELECT c.segment, round(c.decile1_lift, 9) AS champion_lift, round(p.decile1_lift, 9) AS previous_lift,
+              round(c.decile1_lift / p.decile1_lift, 9) AS lift_gain
        FROM segref c JOIN segref p ON c.segment = p.segment WHERE c.model = 'champion' AND p.model = 'previous'""",
     "segref",
 )

@@ -64,12 +64,30 @@ VIEWS = {
     "scored": """
         SELECT o_orderkey AS row_id, cast(o_orderdate AS date) AS event_date,
                CASE WHEN mod(o_orderkey, 11) = 0 THEN 1 ELSE 0 END AS target,
-               round((cast(mod(o_orderkey * 7919, 10007) AS double) / 10007
-                      + 0.3 * CASE WHEN mod(o_orderkey, 11) = 0 THEN 1 ELSE 0 END) / 1.3, 6) AS prob,
+               (cast(mod(o_orderkey * 7919, 10007) AS double) / cast(10007 AS double)
+                + CASE WHEN mod(o_orderkey, 11) = 0 THEN cast(0.3 AS double) ELSE cast(0 AS double) END)
+               / cast(1.3 AS double) AS prob,
                mod(o_orderkey, 2) AS firstaction_bool,
                cast(mod(o_orderkey * 13, 5000) AS int) AS account_age,
                o_orderpriority AS priority, o_totalprice AS amount
         FROM {orders}""",
+    # Rows to check for drift between an earlier and a later period.
+    "checked": """
+        SELECT o_orderkey AS row_id, cast(o_orderdate AS date) AS event_date,
+               CASE WHEN o_orderdate < date '1999-01-01' THEN 'train' ELSE 'cmp' END AS dataset,
+               o_orderstatus AS status, o_orderpriority AS priority, c_mktsegment AS segment,
+               c_name AS customer_name, n_name AS state,
+               CASE WHEN mod(o_orderkey, 7) = 0 THEN NULL ELSE concat(' note ', o_orderpriority, ' ') END AS note,
+               o_totalprice AS amount, c_acctbal AS balance,
+               CASE WHEN o_orderdate < date '1999-01-01' THEN o_totalprice ELSE o_totalprice * 1.5 END AS shifted,
+               CASE WHEN mod(o_orderkey, 9) = 0 OR (o_orderdate >= date '1999-01-01' AND mod(o_orderkey, 3) = 0)
+                    THEN NULL ELSE c_acctbal END AS sparse,
+               CASE WHEN o_orderdate >= date '1999-01-01' AND mod(o_orderkey, 5) < 2 THEN o_totalprice * 20
+                    ELSE o_totalprice END AS spiked
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
+    "texts": """
+        SELECT doc_id, CASE WHEN mod(n_chars, 3) = 0 THEN 'cmp' ELSE 'train' END AS dataset, lang, source, text
+        FROM {documents}""",
 }
 
 BASE_TABLES = {
@@ -80,6 +98,8 @@ BASE_TABLES = {
     "provider_map": ("customer",),
     "provider_flags": ("customer",),
     "scored": ("orders",),
+    "checked": ("orders", "customer", "nation"),
+    "texts": ("documents",),
 }
 
 
