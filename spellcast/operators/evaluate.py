@@ -160,11 +160,13 @@ def cutoff_list(bounds: DataFrame) -> dict[int, list[tuple[int, float, float]]]:
 
 
 def bucket_by_cutoffs(prob: Column, bounds: list[tuple[int, float, float]]) -> Column:
-    """Bucket of a score by fixed bounds; NULL outside all of them."""
-    out = F.when((prob >= bounds[0][1]) & (prob < bounds[0][2]), bounds[0][0])
-    for bucket, lower, upper in bounds[1:]:
-        out = out.when((prob >= lower) & (prob < upper), bucket)
-    return out
+    """Bucket of a score by fixed bounds (best bucket first); NULL outside all of them.
+
+    The bucket is one more than the number of lower bounds above the score.
+    """
+    lowers = F.array(*[F.lit(float(lower)) for _, lower, _ in bounds])
+    inside = (prob >= F.lit(float(bounds[-1][1]))) & (prob < F.lit(float(bounds[0][2])))
+    return F.when(inside, F.size(F.filter(lowers, lambda x: x > prob)) + 1)
 
 
 def _empty_buckets(scores: DataFrame, by: list[str], bins: dict[int, list]) -> DataFrame:
