@@ -5,6 +5,7 @@ from __future__ import annotations
 import oracle.pipeline  # noqa: F401  (registers its texts)
 from oracle.base import query, select
 from oracle.evaluation import ORACLE as EVALUATION
+from oracle.models import ORACLE as MODELS
 from oracle.quality import ORACLE as QUALITY
 from oracle.features import FEATURE_KEYS, FILLED, RECENT, ROW
 
@@ -47,3 +48,4 @@ ORACLE |= {k: select(k) for k in FEATURE_KEYS}
 ORACLE["feat_fill_filter"] = select("prepared", ", ".join([ROW, "duration", *FILLED, *RECENT]))
 ORACLE |= EVALUATION
 ORACLE |= QUALITY
+ORACLE |= MODELS

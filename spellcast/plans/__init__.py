@@ -3,7 +3,13 @@
 
 def all_queries():
     """Every registered query, by key."""
-    from spellcast.plans import evaluation_queries, feature_queries, quality_queries, training_queries  # noqa: F401
+    from spellcast.plans import (  # noqa: F401
+        evaluation_queries,
+        feature_queries,
+        model_queries,
+        quality_queries,
+        training_queries,
+    )
     from spellcast.plans.registry import QUERIES
 
     return dict(QUERIES)

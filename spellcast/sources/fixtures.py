@@ -85,6 +85,23 @@ VIEWS = {
                CASE WHEN o_orderdate >= date '1999-01-01' AND mod(o_orderkey, 5) < 2 THEN o_totalprice * 20
                     ELSE o_totalprice END AS spiked
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
+    # Category columns with a target that depends on them.
+    "binned": """
+        SELECT o_orderkey AS row_id, cast(o_orderdate AS date) AS event_date, n_name AS state,
+               r_name AS taxonomygeneral, c_mktsegment AS segment,
+               CASE WHEN mod(o_orderkey, 5 + mod(c_nationkey, 7)) = 0 THEN 1 ELSE 0 END AS target,
+               o_totalprice AS amount, c_acctbal AS balance, o_totalprice * 2 - c_acctbal * 0.01 AS amount_twin,
+               mod(o_custkey, 100) AS cycle
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+             JOIN {region} ON n_regionkey = r_regionkey""",
+    # Names of stored artifacts: project, model and timestamp.
+    "artifacts": """
+        SELECT concat('models/project__', CASE o_orderstatus WHEN 'F' THEN 'LogisticRegression'
+                          WHEN 'O' THEN 'GBTClassifier' ELSE 'RandomForestClassifier' END, '__',
+                      cast(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS string), '_',
+                      lpad(cast(mod(o_orderkey, 1000000) AS string), 6, '0'), '.model') AS path,
+               o_orderdate AS modified
+        FROM {orders}""",
     "texts": """
         SELECT doc_id, CASE WHEN mod(n_chars, 3) = 0 THEN 'cmp' ELSE 'train' END AS dataset, lang, source, text
         FROM {documents}""",
@@ -100,6 +117,8 @@ BASE_TABLES = {
     "scored": ("orders",),
     "checked": ("orders", "customer", "nation"),
     "texts": ("documents",),
+    "binned": ("orders", "customer", "nation", "region"),
+    "artifacts": ("orders",),
 }
 
 
