@@ -13,8 +13,11 @@ def _hash(key: list[str], seed: int) -> Column:
     return F.xxhash64(*key, F.lit(seed))
 
 
-def take_by_hash(df: DataFrame, key: list[str], group: Column, sizes: dict[int, int], seed: int = SEED) -> DataFrame:
-    """The ``sizes[g]`` rows of smallest key hash per group ``g``; other groups stay whole.
+def mark_by_hash(
+    df: DataFrame, key: list[str], group: Column, sizes: dict[int, int], seed: int = SEED, name: str = "taken"
+) -> DataFrame:
+    """Flag the ``sizes[g]`` rows of smallest key hash per group ``g``; groups without a size
+    are flagged whole.
 
     The hash is uniform over unique keys, so its top bits cut each group into 65536 even
     buckets. Their counts tell which buckets are wholly in; only the one bucket the limit
@@ -37,13 +40,18 @@ def take_by_hash(df: DataFrame, key: list[str], group: Column, sizes: dict[int,
     )
     # At most 65536 rows per group, whatever the size of the data.
     same = F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_b") == F.col("_cb"))
-    placed = hashed.join(F.broadcast(counts), same).drop("_cg", "_cb")
+    placed = hashed.join(F.broadcast(counts), same)
     room, n = F.col("_room"), F.col("_n")
-    whole = placed.where(room.isNull() | (room >= n))
+    cut = F.coalesce((room > 0) & (room < n), F.lit(False))
+    sure = placed.where(~cut).withColumn(name, room.isNull() | (room >= n))
     w = Window.partitionBy("_g", "_b").orderBy("_h", *key)
-    edge = placed.where((room > 0) & (room < n)).withColumn("_r", F.row_number().over(w))
-    edge = edge.where(F.col("_r") <= room).drop("_r")
-    return whole.unionByName(edge).drop("_h", "_g", "_b", "_room", "_n")
+    edge = placed.where(cut).withColumn("_r", F.row_number().over(w)).withColumn(name, F.col("_r") <= room)
+    return sure.select(*df.columns, name).unionByName(edge.select(*df.columns, name))
+
+
+def take_by_hash(df: DataFrame, key: list[str], group: Column, sizes: dict[int, int], seed: int = SEED) -> DataFrame:
+    """The rows that ``mark_by_hash`` flags."""
+    return mark_by_hash(df, key, group, sizes, seed, "_taken").where("_taken").drop("_taken")
 
 
 def class_counts(df: DataFrame, target: str) -> tuple[int, int]:
@@ -58,12 +66,13 @@ def undersample(df: DataFrame, key: list[str], target: str, ratio: float = 200,
     return take_by_hash(df, key, F.col(target), {0: int(pos * ratio)}, seed)
 
 
-def stratified_split(df: DataFrame, key: list[str], target: str, test_size: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with the same class shares, exact up to one row per class."""
+def stratified_split(
+    df: DataFrame, key: list[str], target: str, test_size: float = 0.2, seed: int = SEED, name: str = "is_test"
+) -> DataFrame:
+    """Flag test rows with the same share of each class, exact up to one row per class."""
     neg, pos = class_counts(df, target)
     sizes = {0: round(neg * test_size), 1: round(pos * test_size)}
-    test = take_by_hash(df, key, F.col(target), sizes, seed)
-    return df.join(test.select(*key), key, "left_anti"), test
+    return mark_by_hash(df, key, F.col(target), sizes, seed, name)
 
 
 def imbalance_ratio(df: DataFrame, target: str) -> float:

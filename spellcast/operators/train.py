@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from spellcast.operators.evaluate import auc_ap, score_table
 from spellcast.operators.sampling import SEED, stratified_split, with_weights
+from spellcast.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -112,23 +113,31 @@ def tune(
     """Random search on one stratified 80/20 split by average precision, then a full refit.
 
     ``overrides`` replaces grid entries (``{param: [values]}``). Falls back to the base
-    model when the search fails.
+    model when the search fails. The training columns, read by every fit, are materialised
+    once; with undersampling they are a small part of the data.
     """
     family = FAMILIES[name]
     out = Fitted(name, features)
     grid = family.grid | (overrides or {})
+    train = train.select(*key, *features, target)
     train = with_weights(train, target, family.weights) if family.weights else train
+    train = checkpointed(train)
     rows = train.count()
     extra: dict = {}
     full = train
-    if family.validated and val is not None:
-        marked = with_weights(val, target, family.weights).withColumn("is_validation", F.lit(True))
-        full = train.withColumn("is_validation", F.lit(False)).unionByName(marked, allowMissingColumns=True)
+    if family.validated and family.weights and val is not None:
+        held = with_weights(val.select(*key, *features, target), target, family.weights)
+        full = checkpointed(
+            train.withColumn("is_validation", F.lit(False)).unionByName(
+                held.withColumn("is_validation", F.lit(True))
+            )
+        )
         extra = {"_columns": ("is_validation",)}
     points = grid_points(grid, family.n_iter) if grid else []
     try:
         if len(points) > 1:
-            fit_rows, test_rows = stratified_split(train, key, target)
+            marked = checkpointed(stratified_split(train, key, target))
+            fit_rows, test_rows = marked.where(~F.col("is_test")), marked.where("is_test")
             for point in points:
                 t0 = time.time()
                 model = _pipeline(family, features, point, rows, target).fit(fit_rows)
