@@ -177,3 +177,20 @@ cte(
 )
 FEATURE_KEYS = ["feat_averages", "feat_rates", "feat_momentum", "feat_ratios", "feat_account_age",
                 "feat_payers", "feat_interactions", "feature_table"]
+cte(
+    "scoring_rows",
+    f"""SELECT {ROW}, providertype, coalesce(time_since_last_check_payment, 9999) AS time_since_last_check_payment,
+        coalesce(CAST(coalesce(sumcheckpaymentamount30, 0) AS DOUBLE)
+                 / CASE WHEN coalesce(sumcheckpaymentcount30, 0) = 0 THEN 1 ELSE sumcheckpaymentcount30 END, 0)
+            AS check_payment_avg_30,
+        (coalesce(sumcheckpaymentcount30, 0) / 30.0::DOUBLE)
+            / CASE WHEN coalesce(sumcheckpaymentcount90, 0) = 0 THEN 0.001::DOUBLE ELSE sumcheckpaymentcount90 / 90.0::DOUBLE END
+            AS check_paymentcount_momentum_30_90,
+        date_end - providercreatedon AS account_age,
+        CASE WHEN providercreatedon = date_start THEN 1 ELSE 0 END AS firstaction_bool
+    FROM training_row
+    WHERE (payersponsored IS NULL OR lower(CAST(payersponsored AS VARCHAR)) <> 'true')
+      AND sumcheckpaymentcount > 0 AND duration >= 90""",
+    "training_row",
+)
+FEATURE_KEYS.append("scoring_rows")

@@ -144,11 +144,15 @@ def _before(partition: list[str], days: int | None = None):
 
 
 def _with_snapshots(gold: DataFrame, *facts: DataFrame) -> DataFrame:
-    """Snapshot rows and fact rows in one table, ordered by ``day_no`` within a provider."""
+    """Snapshot rows and fact rows in one table, with a ``day_no`` to order them.
+
+    Partitioned by provider: that serves the frames of spells and of providers and every
+    later join, while the frames alone would ask for a partitioning of their own.
+    """
     rows = gold.select("*", F.lit(True).alias("is_snapshot"), F.col("date_end").alias("day"))
     for f in facts:
         rows = rows.unionByName(f, allowMissingColumns=True)
-    return rows.withColumn("day_no", day_number(F.col("day")))
+    return rows.withColumn("day_no", day_number(F.col("day"))).repartition(*KEY)
 
 
 def _payment_lifetime() -> list[Column]:
@@ -236,12 +240,12 @@ def prior_optouts(gold: DataFrame, history: DataFrame, s: Settings, last_year: b
     return _snapshots_only(rows, gold.select(*ROW_KEY), cols)
 
 
-def payer_lists(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
-    """Sorted distinct payers per product group in ``[date_start, date_end)``, as arrays.
+def payer_arrivals(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+    """The payers that join a spell's lists at each of its snapshots.
 
-    A payer joins a spell's list at one snapshot and stays. Payments are collapsed to the
-    last day per provider, payer and snapshot interval; the first interval that reaches
-    into the spell is the payer's entry, and the lists are running unions of entries.
+    A payer joins a list at one snapshot and stays. Payments are collapsed to the last day
+    per provider, payer and snapshot interval; the first interval that reaches into the
+    spell is the payer's entry.
     """
     day = F.to_date("paymentweek")
     valid, cancelled = is_valid_payment(s), is_cancelled_payment(s)
@@ -272,28 +276,37 @@ def payer_lists(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
         )
     )
     at_entry = entries.withColumn(
-        "date_end",
-        F.explode(F.array_distinct(F.array_compact(F.array(*PAYER_LISTS)))),
+        "day", F.explode(F.array_distinct(F.array_compact(F.array(*PAYER_LISTS))))
     )
-    arrivals = at_entry.groupBy(*ROW_KEY).agg(
+    return at_entry.groupBy(*SPELL, "day").agg(
         *[
-            F.collect_list(F.when(F.col(name) == F.col("date_end"), F.col("payerid"))).alias(name)
+            F.collect_list(F.when(F.col(name) == F.col("day"), F.col("payerid"))).alias(name)
             for name in PAYER_LISTS
         ]
     )
-    w = Window.partitionBy(*SPELL).orderBy("date_end").rowsBetween(Window.unboundedPreceding, 0)
-    lists = gold.select(*ROW_KEY).join(arrivals, ROW_KEY, "left").select(
-        *ROW_KEY, *[F.flatten(F.collect_list(name).over(w)).alias(name) for name in PAYER_LISTS]
-    )
-    return lists.select(
-        *ROW_KEY,
-        *[F.when(F.size(name) > 0, F.array_sort(name)).alias(name) for name in PAYER_LISTS],
-    )
+
+
+def _payer_lists() -> list[Column]:
+    """Running unions of the arrivals, up to and including the snapshot's own."""
+    w = Window.partitionBy(*SPELL).orderBy("day_no").rangeBetween(Window.unboundedPreceding, 0)
+    return [F.flatten(F.collect_list(name).over(w)).alias(f"o_{name}") for name in PAYER_LISTS]
+
+
+def _sorted_lists() -> dict[str, Column]:
+    """Lists in payer order; an empty list is NULL."""
+    return {name: F.when(F.size(name) > 0, F.sort_array(name)) for name in PAYER_LISTS}
+
+
+def payer_lists(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+    """Sorted distinct payers per product group in ``[date_start, date_end)``, as arrays."""
+    keys = gold.select(*ROW_KEY)
+    rows = _with_snapshots(keys, payer_arrivals(gold, payments, s))
+    return _snapshots_only(rows, keys, _payer_lists()).withColumns(_sorted_lists())
 
 
 def as_list_text(col: str) -> Column:
     """The ``', '``-joined text form of a payer array."""
-    return F.array_join(F.transform(col, lambda p: p.cast("string")), ", ")
+    return F.array_join(F.col(col).cast("array<string>"), ", ")
 
 
 # --- exclusions and the assembled row -----------------------------------------------------
@@ -329,9 +342,9 @@ def gold_training_row(
 ) -> DataFrame:
     """Every look-back of every snapshot, with payer lists and exclusion flags.
 
-    All sums come from one table of snapshots and provider-days and one shuffle on the
-    provider key. Provider attributes stay out of it and are joined back on the same key,
-    as are the payer lists and the exclusions.
+    All sums come from one table of snapshots and provider-days with one shuffle on the
+    provider key. The payer lists are built the same way on narrow rows; both sides of
+    their join, and the joins of provider attributes and exclusions, keep that partitioning.
     """
     attributes = attributes_of(gold)
     gold = gold.drop("tpid", *attributes)
@@ -348,12 +361,11 @@ def gold_training_row(
         + _optouts(s.optout_lookback_days, "_last_year"),
     ).where(F.col("sumimportantpaymentcount") > 0)
     focus = F.lit(s.focus_payer)
-    important = F.transform("payerid_list_important", lambda p: p.cast("string"))
-    lists = payer_lists(gold, payments, s)
+    important = F.col("payerid_list_important").cast("array<string>")
     return (
-        summed.join(providers.select(*KEY, *attributes), KEY, "left")
+        summed.join(payer_lists(gold, payments, s), ROW_KEY, "left")
+        .join(providers.select(*KEY, *attributes), KEY, "left")
         .withColumn("tpid", tpid())
-        .join(lists, ROW_KEY, "left")
         .join(exclusion_flags(provider_map, provider_flags, s), KEY, "left")
         .withColumns(
             {

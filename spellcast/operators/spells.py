@@ -188,37 +188,40 @@ def optout_spells(actions: DataFrame, eligible: DataFrame, s: Settings) -> DataF
     )
 
 
-def in_spell_counts(spells: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
-    """ACH+ and VCC payment counts between a spell's end and the next spell's start (closed).
+def with_in_spell_counts(spells: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+    """Add ACH+ and VCC payment counts between a spell's end and the next spell's start (closed).
 
-    NULL means there was no such payment at all. Payments are collapsed to provider-days
-    first; the intervals of one provider meet only at their ends, so a day falls into one
-    interval, two at a boundary.
+    NULL means there was no such payment at all. Payments are collapsed to one array of
+    paid days per provider (at most a calendar's worth), so the join is many-to-one and the
+    spells are read once.
     """
+    n = F.coalesce(F.col("paymentcount"), F.lit(0)).cast("long")
     daily = (
         payments.where(is_valid_payment(s) & F.col("productline").isin(ACH, VCC))
         .groupBy(*KEY, F.to_date("paymentweek").alias("day"))
         .agg(
-            F.sum(F.when(F.col("productline") == ACH, F.coalesce("paymentcount", F.lit(0)))).alias("ach"),
-            F.sum(F.when(F.col("productline") == VCC, F.coalesce("paymentcount", F.lit(0)))).alias("vcc"),
+            F.sum(F.when(F.col("productline") == ACH, n)).alias("ach"),
+            F.sum(F.when(F.col("productline") == VCC, n)).alias("vcc"),
         )
     )
-    intervals = spells.select(
-        *KEY, "date_start", "date_end",
-        F.coalesce("next_start_date", F.lit(s.as_of)).alias("until"),
-    )
+    paid = daily.groupBy(*KEY).agg(F.collect_list(F.struct("day", "ach", "vcc")).alias("_paid"))
+    until = F.coalesce("next_start_date", F.lit(s.as_of))
+
+    def total(kind: str) -> Column:
+        hits = F.filter("_hits", lambda x: x[kind].isNotNull())
+        summed = F.aggregate(hits, F.lit(0).cast("long"), lambda acc, x: acc + x[kind])
+        return F.when(F.size(hits) > 0, summed)
+
+    inside = F.filter("_paid", lambda x: x["day"].between(F.col("date_end"), until))
     return (
-        intervals.join(daily, KEY)
-        .where(F.col("day").between(F.col("date_end"), F.col("until")))
-        .groupBy(*KEY, "date_start", "date_end")
-        .agg(
-            F.sum("ach").alias("ach_counts_during_optin"),
-            F.sum("vcc").alias("vcc_counts_during_optin"),
-        )
+        spells.join(paid, KEY, "left")
+        .withColumn("_hits", inside)
+        .withColumns({"ach_counts_during_optin": total("ach"), "vcc_counts_during_optin": total("vcc")})
+        .drop("_paid", "_hits")
     )
 
 
-def target_repair(spells: DataFrame, counts: DataFrame) -> DataFrame:
+def target_repair(spells: DataFrame) -> DataFrame:
     """Row eligibility and repaired targets: an opt-in without a payment of its own kind but
     with one of the other kind counts for the other."""
     ach, vcc = F.col("optin_target_ach"), F.col("optin_target_vcc")
@@ -230,8 +233,7 @@ def target_repair(spells: DataFrame, counts: DataFrame) -> DataFrame:
     label = F.when(F.col("cohort") == 1, COHORT_LABELS[1]).otherwise(COHORT_LABELS[2])
     semi = F.col("semi_row_eligible") == 1
     return (
-        spells.join(counts, KEY + ["date_start", "date_end"], "left")
-        .withColumn("silver_cohort", label)
+        spells.withColumn("silver_cohort", label)
         .withColumn("semi_row_eligible", eligible)
         .withColumn("new_optin_target_ach", F.when(semi, ach).when((vcc == 1) & paid_ach, 1).otherwise(0))
         .withColumn("new_optin_target_vcc", F.when(semi, vcc).when((ach == 1) & paid_vcc, 1).otherwise(0))
@@ -251,7 +253,7 @@ def all_spells(
         "time_of_study", "optin_target_ach", "optin_target_vcc", "silver_cohort",
     )
     spells = optout_spells(next_action(action_timeline(eligible, payments, history, s)), eligible, s)
-    repaired = target_repair(spells, in_spell_counts(spells, payments, s)).select(
+    repaired = target_repair(with_in_spell_counts(spells, payments, s)).select(
         "tpid", *KEY, *attributes_of(eligible), "date_start", "date_end",
         "previousoptincount", "previousachoptincount", "previousvccoptincount",
         "lastoptinduration", "time_of_study",

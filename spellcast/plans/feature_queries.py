@@ -84,3 +84,18 @@ def feature_table(spark, sf_dir):
     df = df.withColumn("payer_fragmentation", fx.F.round("payer_fragmentation", 6))
     ids = [c for c in ROW_KEY if c != "tin"]
     return fx.select_available(df, fx.SELECTED_FEATURES + ids + ["duration", "opt_in_ach"])
+
+
+@query
+def scoring_rows(spark, sf_dir):
+    """The lean scoring preparation: tolerant sponsored filter, fills, four derived features."""
+    cols = ROW_KEY + [
+        "duration", "providertype", "payersponsored", "sumcheckpaymentcount", "sumcheckpaymentcount30",
+        "sumcheckpaymentamount30", "sumcheckpaymentcount90", "time_since_last_check_payment",
+        "time_since_last_cancelled_check_payment", "providercreatedon",
+    ]
+    df = fx.scoring_features(fixture_table(spark, sf_dir).rows.select(*cols))
+    return df.select(
+        *ROW_KEY, "providertype", "time_since_last_check_payment", "check_payment_avg_30",
+        "check_paymentcount_momentum_30_90", "account_age", "firstaction_bool",
+    )

@@ -52,9 +52,7 @@ def optout_spells(spark, sf_dir):
 @query
 def target_repair(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    return spells.target_repair(
-        t.optout_spells, spells.in_spell_counts(t.optout_spells, t.src.payments, S)
-    )
+    return spells.target_repair(spells.with_in_spell_counts(t.optout_spells, t.src.payments, S))
 
 
 @query
