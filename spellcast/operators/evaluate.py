@@ -107,13 +107,12 @@ def quantile_table(
         scored.select(*key, F.col(prob).alias("prob"), F.coalesce(F.col(target), F.lit(0)).alias("target")),
         [F.desc("prob"), *key],
     )
-    total = rows.agg(F.count("*").alias("total"), F.sum("target").alias("total_pos"))
-    spread = (
-        rows.crossJoin(F.broadcast(total))  # a single row of totals
-        .withColumn("n_bins", F.explode(F.array(*[F.lit(n) for n in n_bins])))
-        .withColumn("bucket", bucket_of(F.col("row_number"), F.col("total"), F.col("n_bins")))
+    n_rows, n_pos = rows.agg(F.count("*"), F.sum("target")).first()  # two numbers
+    total, positives = F.lit(n_rows).cast("long"), F.lit(n_pos or 0).cast("long")
+    spread = rows.withColumn("n_bins", F.explode(F.array(*[F.lit(n) for n in n_bins]))).withColumn(
+        "bucket", bucket_of(F.col("row_number"), total, F.col("n_bins"))
     )
-    small, large = F.floor(F.col("total") / F.col("n_bins")), F.col("total") % F.col("n_bins")
+    small, large = F.floor(total / F.col("n_bins")), total % F.col("n_bins")
     size = small + (F.col("bucket") <= large).cast("int")
     before = (F.col("bucket") - 1) * small + F.least(F.col("bucket") - 1, large)
     middle = F.col("row_number") - before
@@ -123,7 +122,6 @@ def quantile_table(
         .agg(
             F.count("*").alias("counts"),
             F.sum("target").alias("positives"),
-            F.max("total_pos").alias("_all"),
             F.min("prob").alias("min_prob"),
             F.max("prob").alias("max_prob"),
             F.avg("prob").alias("mean_prob"),
@@ -131,8 +129,7 @@ def quantile_table(
             F.stddev_samp("prob").alias("std_prob"),
         )
         .withColumn("target_rate_pct", _rate_pct(F.col("positives"), F.col("counts")))
-        .withColumn("overall_target_pct", _rate_pct(F.col("positives"), F.col("_all")))
-        .drop("_all")
+        .withColumn("overall_target_pct", _rate_pct(F.col("positives"), positives))
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spellcast.operators import binning, sampling, selection, train
+from spellcast.operators import binning, contributions, sampling, scoring, selection, train
 from spellcast.operators import evaluate as ev
 from spellcast.plans.evaluation_queries import TRAIN_END, VAL_END, rounded
 from spellcast.plans.registry import query
@@ -126,3 +126,12 @@ def latest_version(spark, sf_dir):
 @query
 def latest_per_model(spark, sf_dir):
     return io.latest_per_model(Fixtures(spark, sf_dir).view("artifacts"), "project")
+
+
+@query
+def tree_drivers(spark, sf_dir):
+    """Top drivers of a boosted model by Shapley contributions, for every row."""
+    df, fitted = fit_one(spark, sf_dir, "GBTClassifier", {"maxIter": [5]})
+    explained = contributions.tree_contributions(df, fitted.model, FEATURES)
+    out = scoring.top_drivers(explained, top_n=3)
+    return out.select("row_id", *[c for i in (1, 2, 3) for c in (f"optindriver_{i}", f"optindriver_{i}_value")])

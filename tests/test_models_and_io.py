@@ -156,3 +156,45 @@ def test_fallback_write(spark, tmp_path):
     path = str(tmp_path / "fb")
     assert io.write_with_fallback(spark.range(3), broken, path) is False
     assert spark.read.option("header", True).csv(path).count() == 3
+
+
+def test_tree_contributions_equal_brute_force(spark):
+    """Coalition by coalition on single rows, and they add up to the model's output."""
+    import itertools
+    import math
+
+    from spellcast.operators import contributions, train
+
+    data = [(i, float(i * 7 % 31), float(i * 11 % 17), float(i * 5 % 13), int((i * 7 % 31) > 15 and (i * 11 % 17) < 9 or i % 29 == 0)) for i in range(800)]
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame(data, "id int, a double, b double, c double, y int")
+    for family, grid in (("DecisionTreeClassifier", {"maxDepth": [4], "minInstancesPerNode": [5]}),
+                         ("GBTClassifier", {"maxIter": [3], "maxDepth": [2]})):
+        fitted = train.tune(family, df, names, "y", ["id"], None, grid)
+        assert fitted.error is None
+        leaves = contributions.tree_leaves(fitted.model)
+        got = contributions.tree_contributions(df.where("id < 20"), fitted.model, names).orderBy("id").collect()
+
+        def value(x, known):
+            total = 0.0
+            for leaf in leaves:
+                w = leaf.value
+                for f, lo, hi, share in leaf.path:
+                    w *= float(lo < x[f] <= hi) if f in known else share
+                total += w
+            return total
+
+        for r in got:
+            x = [r.a, r.b, r.c]
+            phi = {c.feature: c.contribution for c in r.contributions}
+            for i, n in enumerate(names):
+                others = [j for j in range(3) if j != i]
+                want = sum(
+                    math.factorial(k) * math.factorial(2 - k) / 6 * (value(x, {*s, i}) - value(x, set(s)))
+                    for k in range(3) for s in itertools.combinations(others, k)
+                )
+                assert abs(phi[n] - want) < 1e-9
+            assert abs(sum(phi.values()) + value(x, set()) - value(x, {0, 1, 2})) < 1e-9
+        if family == "DecisionTreeClassifier":
+            probs = {r.id: r.prob for r in train.predict(fitted.model, df.where("id < 20")).collect()}
+            assert all(abs(value([r.a, r.b, r.c], {0, 1, 2}) - probs[r.id]) < 1e-9 for r in got)
