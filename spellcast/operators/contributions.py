@@ -58,39 +58,42 @@ def tree_leaves(model: PipelineModel) -> list[Leaf]:
     return out
 
 
-def shapley(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    """Contributions per row and feature.
+def shapley_function(leaves: list[Leaf]):
+    """A pandas UDF: struct of feature values -> array of contributions.
 
     A leaf pays its value times, per path feature, 1 or 0 (feature known: inside the
     interval?) or the training share (unknown). For such a product the Shapley sum over
-    coalitions is a polynomial in their size.
+    coalitions is a polynomial in their size. Only plain tuples and library modules go to
+    the workers.
     """
-    phi = np.zeros(x.shape)
-    for leaf in leaves:
-        m = len(leaf.path)
-        known = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in leaf.path]
-        for i, (feature, _, _, share) in enumerate(leaf.path):
-            by_size = np.zeros((m, len(x)))
-            by_size[0] = 1.0
-            for j, (_, _, _, other) in enumerate(leaf.path):
-                if j != i:
-                    grown = by_size * other
-                    grown[1:] += by_size[:-1] * known[j]
-                    by_size = grown
+    plain = [(leaf.value, leaf.path) for leaf in leaves]
+
+    @F.pandas_udf("array<double>")
+    def explain(block: pd.DataFrame) -> pd.Series:
+        x = block.to_numpy(dtype=float)
+        phi = np.zeros(x.shape)
+        for value, path in plain:
+            m = len(path)
+            known = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in path]
             sizes = np.array([factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)])
-            phi[:, feature] += leaf.value * (known[i] - share) * (sizes @ by_size)
-    return phi
+            for i, (feature, _, _, share) in enumerate(path):
+                by_size = np.zeros((m, len(x)))
+                by_size[0] = 1.0
+                for j, (_, _, _, other) in enumerate(path):
+                    if j != i:
+                        grown = by_size * other
+                        grown[1:] += by_size[:-1] * known[j]
+                        by_size = grown
+                phi[:, feature] += value * (known[i] - share) * (sizes @ by_size)
+        return pd.Series(list(phi))
+
+    return explain
 
 
 def tree_contributions(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
     """Add ``contributions`` (feature, contribution, value) for a tree model."""
-    leaves = tree_leaves(model)
+    explain = shapley_function(tree_leaves(model))
     names = [f"_x{i}" for i in range(len(features))]
-
-    @F.pandas_udf("array<double>")
-    def explain(block: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(shapley(block.to_numpy(dtype=float), leaves)))
-
     explain_input = F.struct(*[F.col(f).cast("double").alias(n) for f, n in zip(features, names)])
     phi = df.withColumn("_phi", explain(explain_input))
     items = [
