@@ -20,25 +20,32 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoints of results that nothing refers to any more are deleted.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's reliable checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local session
-    without it gets a temporary one; a cluster session without it is an error, because a
-    machine-local folder would not survive the loss of an executor.
+    A session inside one machine without it gets a temporary folder; on a cluster that is an error,
+    because a machine-local folder would not survive the loss of an executor.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if shared is None:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = tempfile.mkdtemp(prefix="spellcast-checkpoint-")
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            shared = tempfile.mkdtemp(prefix="spellcast-checkpoint-")
         sc.setCheckpointDir(shared)
+    return shared
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's reliable checkpoint folder (see ``shared_folder``)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
