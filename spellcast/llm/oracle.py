@@ -62,4 +62,30 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_
 FROM g
 """
 
-ORACLE = {"op3_url_filter": OP3, "op4_quality_rules": OP4, "op7_chat_format": OP7}
+OP1 = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM d, unnest(range(1, len(ws) - 11)) AS u(i)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS w FROM rep, range(0, 13) AS g(j)),
+words AS (SELECT doc_id, w, ws[w] AS word FROM d, unnest(range(1, len(ws) + 1)) AS u(w)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY w) AS t, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, w) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP2 = r"""
+WITH lowered AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL SELECT 'i', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT kind, id, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM lowered),
+s AS (SELECT DISTINCT kind, id, array_to_string(ws[i:i + 4], ' ') AS k FROM w, unnest(range(1, len(ws) - 3)) AS u(i)),
+n AS (SELECT id AS item_id, count(*) AS n_item FROM s WHERE kind = 'i' GROUP BY id),
+p AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM s d JOIN s i USING (k) WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_shared FROM p JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+"""
+
+ORACLE = {
+    "op1_substring_dedup": OP1, "op2_decontamination": OP2, "op3_url_filter": OP3, "op4_quality_rules": OP4, "op7_chat_format": OP7,
+}

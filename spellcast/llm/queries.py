@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spellcast.llm import bpe, chat_format, html_extract, license_scan, quality_rules, url_filter
+from spellcast.llm import (
+    bpe, chat_format, decontaminate, html_extract, license_scan, minhash_dedup, quality_classifier, quality_rules,
+    substring_dedup, url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +20,15 @@ def _sha(text) -> F.Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
@@ -25,6 +37,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_classifier.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ["doc_id"])
+    odds = {f: F.col(f"__odds_{f}") for f in quality_classifier.FAULTS}
+    kept = ~(F.greatest(*odds.values()) > 0)
+    return judged.select("doc_id", *((1 / (1 + F.exp(-o))).alias(f"p_{f}") for f, o in odds.items()), kept.alias("kept"))
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.components(_table(spark, sf_dir, "documents"))
+
+
 #: The conversation that the query adds, whose texts hold control strings.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -68,5 +91,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_url_filter, op4_quality_rules, op7_chat_format, op8_html_extraction, op9_bpe, op10_license_scan)
+    for f in (
+        op1_substring_dedup, op2_decontamination, op3_url_filter, op4_quality_rules, op5_quality_classifier, op6_minhash_dedup,
+        op7_chat_format, op8_html_extraction, op9_bpe, op10_license_scan,
+    )
 }
