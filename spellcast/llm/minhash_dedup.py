@@ -4,9 +4,9 @@
    signature of their lowest ``BITS`` bits. The sketches are written once to the checkpoint folder.
 2. Documents with equal sets collapse to the smallest id before anything is compared, so exact copies
    never meet in pairs.
-3. Representatives that share a band are candidates. In two rounds every band has one leader (the
-   smallest id, then the smallest scattered id) that its other members are compared with; afterwards
-   only members that are still in another component than the band's main one are compared with all of
+3. Representatives that share a band are candidates. In two rounds (over a few bands with the smallest
+   id, then over all with the smallest scattered id) every band has one leader that the members of other
+   components are compared with; afterwards only members that are still in another component than the band's main one are compared with all of
    the band's other components. So the pairs within one component are never enumerated, and no pair
    that could connect two components is left out.
 4. Pairs are screened by the similarity that the signatures' equal fields give after correction for
@@ -36,6 +36,7 @@ from spellcast.session import checkpointed
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS, BITS = 51, 5, 2
+FIRST_BANDS = 4
 #: Estimated similarity below which a candidate pair isn't looked at in full.
 SCREEN = 0.62
 
@@ -144,7 +145,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     distinct = rows.join(leads.withColumnRenamed("lead", "doc_id"), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["k1", "k2", "doc_id"])
 
     # Bands with two members or more; one shuffle serves the count and the join.
-    spread = distinct.select(F.explode("bands").alias("band"), F.col("doc_id").alias("node")).repartition("band")
+    spread = distinct.select(F.posexplode("bands").alias("slot", "band"), F.col("doc_id").alias("node")).repartition("band")
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     members = checkpointed(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
@@ -156,10 +157,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .withColumnRenamed("doc_id", "node")
     )
 
-    for order in (F.col("node"), F.xxhash64("node")):
-        leaders = members.groupBy("band").agg(F.min_by("node", order).alias("a"))
-        pairs = members.join(leaders, "band").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
-        apart = _with(pairs, labels, "node", "comp").filter("comp_a <> comp_b").select("a", "b")
+    # A few bands first: they connect most of a large group, whose members need no further pairs then.
+    for slots, order in ((FIRST_BANDS, F.col("node")), (BANDS, F.xxhash64("node"))):
+        placed = members.filter(F.col("slot") < slots).join(labels, "node")
+        leaders = placed.groupBy("band").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
+        apart = placed.join(leaders, "band").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
         alike = _with(apart, signatures, "node", "bits").filter(similarity(F.col("bits_a"), F.col("bits_b")) >= SCREEN).select("a", "b")
         labels = connect(labels, checkpointed(_confirmed(alike, sets)))
 
