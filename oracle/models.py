@@ -33,6 +33,15 @@ ORACLE["one_hot"] = query(
     + " FROM bn",
     "bn",
 )
+ORACLE["one_hot_table"] = query(
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS level, row_number() OVER (ORDER BY {c}) AS position, count(*) AS n FROM bn GROUP BY {c}"
+        for c in ("segment", "taxonomygeneral")
+    )
+    + ")",
+    "bn",
+)
 ORACLE["undersample_counts"] = query(
     """SELECT split, target, count(*) AS n_before,
               CASE WHEN split = 'train' AND target = 0

@@ -74,7 +74,8 @@ def shapley_function(leaves: list[Leaf]):
         phi = np.zeros(x.shape)
         for value, path in plain:
             m = len(path)
-            known = [((x[:, f] > lo) & (x[:, f] <= hi)).astype(float) for f, lo, hi, _ in path]
+            # A missing value is NaN, which the model sends right at every split.
+            known = [(~(x[:, f] <= lo) & ((x[:, f] <= hi) | np.isinf(hi))).astype(float) for f, lo, hi, _ in path]
             sizes = np.array([factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)])
             for i, (feature, _, _, share) in enumerate(path):
                 by_size = np.zeros((m, len(x)))

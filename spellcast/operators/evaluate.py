@@ -85,7 +85,8 @@ def score_stats(scores: DataFrame, by: list[str]) -> DataFrame:
         return F.max(F.when((rank > last - n) & (rank <= last), p))
 
     middle = (
-        scores.join(basic.select(*by, "counts", "mean_prob", "_before"), by)
+        # One row per bucket, so the scores need no shuffle on the bucket.
+        scores.join(F.broadcast(basic.select(*by, "counts", "mean_prob", "_before")), by)
         .groupBy(*by)
         .agg(
             F.sum(n * F.pow(p - F.col("mean_prob"), 2)).alias("_squares"),

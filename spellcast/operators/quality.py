@@ -156,7 +156,8 @@ def value_shares(long: DataFrame) -> DataFrame:
     def share(n, total):
         return F.coalesce(F.col(n) / F.nullif(F.col(total).cast("double"), F.lit(0.0)), F.lit(0.0))
 
-    return counts.join(totals, "column_name").select(
+    # One row per checked column; the values need no shuffle on the column's name.
+    return counts.join(F.broadcast(totals), "column_name").select(
         "column_name", "value", "train_n", "cmp_n",
         share("train_n", "_a").alias("train_share"), share("cmp_n", "_b").alias("cmp_share"),
     )
@@ -323,21 +324,29 @@ CHECKS = {
 def run_all_checks(
     train: DataFrame, cmp: DataFrame, key: list[str], numeric: list[str], categories: list[str], long_tail: list[str]
 ) -> DataFrame:
-    """Status per check: number of columns (or datasets) checked and failed."""
-    df = stack_splits({TRAIN: train, CMP: cmp})
+    """Status per check: number of columns (or datasets) checked and failed.
+
+    Columns that one set lacks or has in another type fail the structural checks and are left out
+    of the others, which compare values.
+    """
+    other = {f.name: f.dataType for f in cmp.schema}
+    comparable = [f.name for f in train.schema if other.get(f.name) == f.dataType]
+    numeric, categories, long_tail = ([c for c in cols if c in comparable] for cols in (numeric, categories, long_tail))
+    df = stack_splits({TRAIN: train.select(comparable), CMP: cmp.select(comparable)})
     structure = schema_and_types(train, cmp)
+    none = structure.limit(0).select(F.col("schema_passed").alias("passed"))
     parts = {
         "Schema Check": structure.select(F.col("schema_passed").alias("passed")),
         "Data Type Check": structure.where(F.col("type_passed").isNotNull()).select(
             F.col("type_passed").alias("passed")
         ),
         "Duplicate Check": duplicate_check(df, key),
-        "Missing Value Check": missing_check(df, numeric + categories + long_tail),
-        "Long Tail Check": long_tail_check(df, long_tail),
-        "Length Distribution Check": length_check(df, long_tail),
-        "Outlier Check": outlier_check(df, numeric),
-        "Unique Value Check": unique_check(df, categories),
-        "Data Distribution Check": distribution_check(df, numeric),
+        "Missing Value Check": missing_check(df, numeric + categories + long_tail) if numeric + categories + long_tail else none,
+        "Long Tail Check": long_tail_check(df, long_tail) if long_tail else none,
+        "Length Distribution Check": length_check(df, long_tail) if long_tail else none,
+        "Outlier Check": outlier_check(df, numeric) if numeric else none,
+        "Unique Value Check": unique_check(df, categories) if categories else none,
+        "Data Distribution Check": distribution_check(df, numeric) if numeric else none,
     }
     out = None
     for name, checks in parts.items():

@@ -85,7 +85,8 @@ def exact_quantiles(
 def weighted_quantiles(ranked: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Quantiles of counted values: ``_n`` copies of ``value`` that end at rank ``_upto``."""
     totals = ranked.groupBy(*by).agg(F.max("_upto").alias("_total"))
-    joined = ranked.join(totals, by)
+    # One row per group (column and data set), so the broadcast is bounded by the columns checked.
+    joined = ranked.join(F.broadcast(totals), by)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
     picks = []
     for name, p in probs.items():

@@ -28,8 +28,14 @@ TOP_DRIVERS = 5
 DRIVER_THRESHOLD = 0.005
 
 
+def known_score(prob: Column) -> Column:
+    """The score, NULL for NaN, which Spark would order above every number."""
+    return F.when(~F.isnan(prob), prob)
+
+
 def tier(prob: Column, cutoffs: dict[str, float]) -> Column:
-    """Five tiers by lower-inclusive cutoffs."""
+    """Five tiers by lower-inclusive cutoffs; a row without a score (NULL or NaN) is in the last."""
+    prob = known_score(prob)
     out = F.when(prob >= cutoffs["Very_High"], TIERS[0])
     for name, label in (("High", TIERS[1]), ("Medium", TIERS[2]), ("Low", TIERS[3])):
         out = out.when(prob >= cutoffs[name], label)
@@ -37,7 +43,8 @@ def tier(prob: Column, cutoffs: dict[str, float]) -> Column:
 
 
 def decile(prob: Column, cutoffs: dict[str, float]) -> Column:
-    """Decile 1 (best) to 10 by nine lower-inclusive thresholds."""
+    """Decile 1 (best) to 10 by nine lower-inclusive thresholds; rows without a score are in the last."""
+    prob = known_score(prob)
     out = F.when(prob >= cutoffs["d10_min"], 1)
     for i in range(9, 1, -1):
         out = out.when(prob >= cutoffs[f"d{i}_min"], 11 - i)
@@ -55,9 +62,9 @@ def call_order(scored: DataFrame, key: list[str], category: str = "opt_in_catego
     """Number the rows by tier, then descending score, over all rows and within the tier.
 
     One global numbering serves both: the rank in a tier is the global rank less the rows
-    of the tiers before it (five rows).
+    of the tiers before it (five rows). Rows without a score come last in their tier.
     """
-    order = [tier_rank(F.col(category)), F.desc(prob), *key]
+    order = [tier_rank(F.col(category)), known_score(F.col(prob)).desc_nulls_last(), *key]
     numbered = with_row_number(scored, order, "call_target_order")
     sizes = numbered.groupBy(category).agg(F.min("call_target_order").alias("_first"))
     return (

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +69,11 @@ class Fitted:
 
 
 def _pipeline(family: Family, features: list[str], params: dict, rows: int, target: str) -> Pipeline:
-    stages = [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep")]
+    inputs, stages = features, []
+    if family.scaled:  # these models have no place for missing values: the training median stands in
+        inputs = [f"_filled_{f}" for f in features]
+        stages.append(Imputer(inputCols=features, outputCols=inputs, strategy="median"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="_raw", handleInvalid="keep"))
     column = "_raw"
     if family.scaled:
         stages.append(StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True))
@@ -89,8 +93,9 @@ def _pipeline(family: Family, features: list[str], params: dict, rows: int, targ
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prob") -> DataFrame:
-    """Add the probability of the positive class and drop the model's working columns."""
-    scored = model.transform(df).withColumn(out, vector_to_array("probability")[1])
+    """Add the probability of the positive class, NULL where there is none, and drop working columns."""
+    prob = vector_to_array("probability")[1]
+    scored = model.transform(df).withColumn(out, F.when(~F.isnan(prob), prob))
     return scored.select(*df.columns, out)
 
 

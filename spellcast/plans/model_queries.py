@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from spellcast.operators import binning, contributions, sampling, scoring, selection, train
@@ -52,6 +53,19 @@ def one_hot(spark, sf_dir):
     return binning.one_hot(df, levels)
 
 
+@query
+def one_hot_table(spark, sf_dir):
+    """Rows and encoded positions per level of two columns."""
+    cols = ["segment", "taxonomygeneral"]
+    df = binned(spark, sf_dir).select(*cols)
+    coded = binning.encode_levels(df, binning.fit_encoder(df, cols), cols)
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("level"), F.array_position(vector_to_array(f"{c}_onehot"), 1.0).alias("position"))
+        for c in cols
+    ]
+    return coded.select(F.inline(F.array(*cells))).groupBy("column_name", "level", "position").agg(F.count("*").alias("n"))
+
+
 @query
 def undersample(spark, sf_dir):
     """Training rows at two negatives per positive."""

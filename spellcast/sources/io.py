@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,10 +180,13 @@ def read_json(spark: SparkSession, path: str) -> dict:
     """Read one JSON document, on one or several lines."""
     import json
 
-    lines = spark.read.option("wholetext", True).text(path).limit(2).collect()
-    if not lines:
+    lines = spark.read.option("wholetext", True).text(path)
+    count = lines.count()
+    if count == 0:
         raise FileNotFoundError(path)
-    return json.loads(lines[0].value)
+    if count > 1:
+        raise ValueError(f"{path} holds {count} documents")
+    return json.loads(lines.first().value)
 
 
 def read_cutoffs(spark: SparkSession, path: str) -> dict[str, float]:
@@ -200,8 +204,9 @@ def save_model(spark: SparkSession, model: PipelineModel, features: list[str], p
 def load_model(spark: SparkSession, path: str, default_features: list[str] | None = None) -> tuple[PipelineModel, list[str]]:
     """A stored pipeline and its features; a bare pipeline takes the default feature list."""
     try:
-        return PipelineModel.load(f"{path}/model"), read_json(spark, f"{path}/features")["features"]
-    except Exception:
+        features = read_json(spark, f"{path}/features")["features"]
+    except AnalysisException:  # no such folder: not the layout of ``save_model``
         if default_features is None:
             raise
         return PipelineModel.load(path), default_features
+    return PipelineModel.load(f"{path}/model"), features

@@ -198,3 +198,46 @@ def test_tree_contributions_equal_brute_force(spark):
         if family == "DecisionTreeClassifier":
             probs = {r.id: r.prob for r in train.predict(fitted.model, df.where("id < 20")).collect()}
             assert all(abs(value([r.a, r.b, r.c], {0, 1, 2}) - probs[r.id]) < 1e-9 for r in got)
+
+
+def test_encoder_takes_any_number_of_levels(spark):
+    df = spark.range(5000).selectExpr("cast(id as string) k").unionByName(spark.createDataFrame([(None,)], "k string"))
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    coded = binning.encode_levels(df, binning.fit_encoder(df, ["k"]), ["k"])
+    places = coded.select(F.array_position(vector_to_array("k_onehot"), 1.0).alias("p"))
+    assert places.distinct().count() == 5001 and places.filter("p between 1 and 5001").count() == 5001
+
+
+def test_two_documents_are_an_error(spark, tmp_path):
+    from spellcast.sources import io
+
+    for name in "ab":
+        (tmp_path / name).write_text('{"x": 1}')
+    with pytest.raises(ValueError):
+        io.read_json(spark, str(tmp_path))
+
+
+def test_rows_without_a_score_rank_last(spark):
+    from pyspark.sql import functions as F
+
+    from spellcast.operators import scoring
+
+    cut, deciles = scoring.TIER_CUTOFFS["june"], scoring.DECILE_CUTOFFS["june"]
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 0.99), (4, 0.0)], "id int, opt_in_probability double")
+    p = F.col("opt_in_probability")
+    scored = df.select("*", scoring.tier(p, cut).alias("opt_in_category"), scoring.decile(p, deciles).alias("decile"))
+    rows = {r.id: r for r in scoring.call_order(scored, ["id"]).collect()}
+    assert [rows[i].opt_in_category == scoring.TIERS[4] for i in (1, 2, 3, 4)] == [True, True, False, True]
+    assert [rows[i].decile for i in (1, 2, 3)] == [10, 10, 1]
+    assert [rows[i].call_target_order for i in (3, 4, 1, 2)] == [1, 2, 3, 4]
+
+
+def test_checks_report_a_retyped_column(spark):
+    from spellcast.operators import quality
+
+    a = spark.createDataFrame([(1, 1.0, "a", "x"), (2, 2.0, "b", "y")], "id long, v double, c string, t string")
+    b = spark.createDataFrame([(1, "one", "a", "x"), (2, "two", "b", "y")], "id long, v string, c string, t string")
+    got = {r.check_name: r for r in quality.run_all_checks(a, b, ["id"], ["v"], ["c"], ["t"]).collect()}
+    assert got["Data Type Check"].status == "FAIL" and got["Unique Value Check"].checked > 0
