@@ -3,14 +3,16 @@
 A window of ``WORDS`` words is an edge between its first and its last words. Only windows that occur
 in two documents or more can be removed, so the graph is built of those:
 
+0. Documents with the text of a smaller id lose every window, so they stay out of the graph.
 1. Minimizers (the smallest hash of ``CORE`` consecutive words inside a window) are counted over all
    documents. Equal windows have equal minimizers, so a window whose minimizer is in one document only
    is unique. This sends about a quarter of a row per window through the shuffle instead of one.
-2. The other windows become edges: hash, source coordinate (document, position), hash of the next
-   window. Per hash: the smallest source, occurrences, and the next hash if all occurrences agree.
-3. An edge continues the one before it in the smallest source where the path does not branch: every
-   occurrence of the former is followed by the latter, and both occur equally often. Joined along the
-   source coordinates, such edges compact to paths (first edge, number of edges, source).
+2. The other windows become edges: hash and source coordinate (document, position). Per hash: the
+   smallest source, and a fingerprint of the set of all its coordinates and of the set of those one
+   word further on.
+3. An edge continues the one before it in the smallest source where the path does not branch: the
+   coordinates after the former are the coordinates of the latter. Joined along the source coordinates,
+   such edges compact to paths (first edge, number of edges, source).
 4. First edges are joined to their occurrences, which gives spans (document, start, length, source
    document, source start). A span is verified by comparing the digests of the words at both
    coordinates; verified spans in documents after their source are removed.
@@ -47,7 +49,7 @@ def minimizers(hashes: np.ndarray, words: int = WORDS, core: int = CORE) -> np.n
 
 def _anchors(texts: DataFrame, words: int) -> DataFrame:
     """Distinct minimizers of every document."""
-    rows = texts.select("doc_id", word_hashes(F.col("text")).alias("h"))
+    rows = texts.withColumn("h", word_hashes(F.col("text"))).drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,7 +64,7 @@ def _anchors(texts: DataFrame, words: int) -> DataFrame:
 
 
 def _edges(rows: DataFrame, words: int) -> DataFrame:
-    """Windows with a shared minimizer: edge hash, source coordinate, hash of the next window (0 at the end)."""
+    """Windows with a shared minimizer: edge hash and source coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,15 +76,14 @@ def _edges(rows: DataFrame, words: int) -> DataFrame:
                     at = np.minimum(np.searchsorted(shared, least), len(shared) - 1)
                     places = np.flatnonzero(shared[at] == least)
                     edges = window_hashes(h, words)
-                    after = np.append(edges[1:], np.uint64(0))
                     for start in range(0, len(places), 100_000):
                         p = places[start : start + 100_000]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(edges[p].view(np.int64)), pa.array(np.full(len(p), doc_id, dtype=np.int64)), pa.array(p.astype(np.int32)), pa.array(after[p].view(np.int64))],
-                            names=["edge", "doc_id", "pos", "after"],
+                            [pa.array(edges[p].view(np.int64)), pa.array(np.full(len(p), doc_id, dtype=np.int64)), pa.array(p.astype(np.int32))],
+                            names=["edge", "doc_id", "pos"],
                         )
 
-    return rows.mapInArrow(run, "edge long, doc_id long, pos int, after long")
+    return rows.mapInArrow(run, "edge long, doc_id long, pos int")
 
 
 def _digest(words: list[bytes]) -> bytes:
@@ -117,17 +118,14 @@ def paths(edges: DataFrame, words: int = WORDS) -> DataFrame:
     Per path: its first edge, the smallest source coordinate, and the number of words it spans.
     ``edges`` must be partitioned by ``edge``.
     """
+    places = lambda further: F.bit_xor(F.xxhash64("doc_id", F.col("pos") + further))
     distinct = edges.groupBy("edge").agg(
-        F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last_doc"), F.count(F.lit(1)).alias("n"),
-        F.min("after").alias("after"), F.max("after").alias("other_after"),
+        F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last_doc"), places(0).alias("at"), places(1).alias("after")
     ).filter("first.doc_id < last_doc")
-    placed = distinct.select(
-        "edge", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("source_start"), "n",
-        F.when(F.col("after") == F.col("other_after"), F.col("after")).alias("after"),
-    )
+    placed = distinct.select("edge", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("source_start"), "at", "after")
     along = Window.partitionBy("source").orderBy("source_start")
-    before = F.lag(F.struct("source_start", "after", "n")).over(along)
-    continues = (before["source_start"] == F.col("source_start") - 1) & (before["after"] == F.col("edge")) & (before["n"] == F.col("n"))
+    before = F.lag(F.struct("source_start", "after")).over(along)
+    continues = (before["source_start"] == F.col("source_start") - 1) & (before["after"] == F.col("at"))
     heads = placed.withColumn("is_head", ~F.coalesce(continues, F.lit(False)))
     heads = heads.withColumn("path", F.sum(F.col("is_head").cast("int")).over(along))
     return heads.groupBy("source", "path").agg(
@@ -145,45 +143,50 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shuffled once and read again.
     """
     carried = F.struct(*(carry or (id_col,)))
+    text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), carried.alias("carried")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("whole"), carried.alias("carried")
     )
-    by_doc = rows.repartition("doc_id")
+    short = rows.select("doc_id", "whole")
+    leads = short.groupBy("whole").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).filter("lead < last")
+    copies = short.join(leads, "whole").filter("lead < doc_id").groupBy("doc_id").agg(F.collect_set("whole").alias("copied"))
+    by_doc = rows.repartition("doc_id").join(copies, "doc_id", "left").withColumn("is_copy", F.coalesce(F.array_contains("copied", F.col("whole")), F.lit(False)))
+    own = by_doc.filter("not is_copy")
 
-    anchors = _anchors(rows.select("doc_id", "text"), words)
+    anchors = _anchors(own.select("doc_id", "text", "carried"), words)
     shared = anchors.withColumn("docs", F.count(F.lit(1)).over(Window.partitionBy("anchor"))).filter("docs > 1")
     wanted = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    found = by_doc.join(wanted, "doc_id").select("doc_id", word_hashes(F.col("text")).alias("h"), "anchors", "carried")
+    found = own.join(wanted, "doc_id").select("doc_id", word_hashes(F.col("text")).alias("h"), "anchors", "carried")
     edges = _edges(found, words).filter("edge is not null and doc_id is not null").repartition("edge")
 
-    places = edges.select("edge", "doc_id", F.col("pos").alias("start"), "after")
+    places = edges.select("edge", "doc_id", F.col("pos").alias("start"))
     spans = paths(edges, words).join(places, "edge").filter("source < doc_id")
-    asked = spans.groupBy("source", "source_start", "n").agg(F.min(F.struct("doc_id", "start", "after")).alias("asker"))
+    asked = spans.groupBy("source", "source_start", "n").agg(F.min(F.struct("doc_id", "start")).alias("asker"))
     asked = asked.groupBy(F.col("source").alias("doc_id")).agg(F.collect_list(F.struct(F.col("source_start").alias("start"), "n", "asker")).alias("spans"))
-    digests = _digests(by_doc.join(asked, "doc_id")).distinct()
+    digests = _digests(own.join(asked, "doc_id").select("doc_id", "text", "carried", "spans")).distinct()
     checked = spans.join(digests, ["source", "source_start", "n"])
-    checked = checked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digest", "after")).alias("spans"))
+    checked = checked.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "digest")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 out = {name: part.column(name) for name in ("doc_id", "text", "carried")}
                 sizes, removed, kept = [], [], []
-                for text, found in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                for text, is_copy, found in zip(*(part.column(c).to_pylist() for c in ("text", "is_copy", "spans"))):
                     tokens = text.encode().split()
-                    keep = bytearray(b"\1") * len(tokens)
+                    keep = bytearray(b"\0" if is_copy and len(tokens) >= words else b"\1") * len(tokens)
                     for s in found or ():
                         a, b = s["start"], s["start"] + s["n"]
                         if b <= len(tokens) and _digest(tokens[a:b]) == s["digest"]:
                             keep[a:b] = bytes(b - a)
-                    left = tokens if not found else [w for w, k in zip(tokens, keep) if k]
+                    left = tokens if not found and not is_copy else [w for w, k in zip(tokens, keep) if k]
                     sizes.append(len(tokens))
                     removed.append(len(tokens) - len(left))
                     kept.append(b" ".join(left).decode())
                 out |= {"n_words": pa.array(sizes, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string())}
                 yield pa.RecordBatch.from_pydict(out)
 
-    judged = by_doc.join(checked, "doc_id", "left")
+    judged = by_doc.join(checked, "doc_id", "left").select("doc_id", "text", "carried", "is_copy", "spans")
     carried_type = dict(rows.dtypes)["carried"]
     out = judged.mapInArrow(run, f"doc_id long, text string, carried {carried_type}, n_words long, n_removed long, kept_text string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_LAST)))
