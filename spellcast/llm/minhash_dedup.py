@@ -4,9 +4,9 @@
    signature of their lowest ``BITS`` bits. The sketches are written once to the checkpoint folder.
 2. Documents with equal sets collapse to the smallest id before anything is compared, so exact copies
    never meet in pairs.
-3. Representatives that share a band are candidates. In two rounds (over a few bands with the smallest
-   id, then over all with the smallest scattered id) every band has one leader that the members of other
-   components are compared with; afterwards only members that are still in another component than the band's main one are compared with all of
+3. Representatives that share a band are candidates. In a few rounds (over some bands with the smallest
+   id, then over all with the smallest id and scattered ids) every band has one leader that the members of
+   other components are compared with; afterwards only members that are still in another component than the band's main one are compared with all of
    the band's other components. So the pairs within one component are never enumerated, and no pair
    that could connect two components is left out.
 4. Pairs are screened by the similarity that the signatures' equal fields give after correction for
@@ -158,7 +158,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
     # A few bands first: they connect most of a large group, whose members need no further pairs then.
-    for slots, order in ((FIRST_BANDS, F.col("node")), (BANDS, F.xxhash64("node"))):
+    orders = [F.xxhash64("node", F.lit(n)) for n in range(2)]
+    for slots, order in ((FIRST_BANDS, F.col("node")), (BANDS, F.col("node")), *((BANDS, o) for o in orders)):
         placed = members.filter(F.col("slot") < slots).join(labels, "node")
         leaders = placed.groupBy("band").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
         apart = placed.join(leaders, "band").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
