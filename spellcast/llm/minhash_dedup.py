@@ -4,13 +4,16 @@
    signature of their lowest ``BITS`` bits. The sketches are written once to the checkpoint folder.
 2. Documents with equal sets collapse to the smallest id before anything is compared, so exact copies
    never meet in pairs.
-3. Representatives that share a band are candidates. In a few rounds (over some bands with the smallest
-   id, then over all with the smallest id and scattered ids) every band has one leader that the members of
-   other components are compared with; afterwards only members that are still in another component than the band's main one are compared with all of
-   the band's other components. So the pairs within one component are never enumerated, and no pair
-   that could connect two components is left out.
-4. Pairs are screened by the similarity that the signatures' equal fields give after correction for
-   chance collisions; links are then confirmed by intersecting the full sets.
+3. Representatives that share a band are candidates. Those with so many shingles of their own (in no
+   other candidate's set) that no link is possible are set aside, in two passes; this is exact.
+4. In a few rounds (over some bands, then over all, by the smallest share of own shingles and then by
+   scattered ids) every band has one leader that the members of other components are compared with;
+   afterwards only members that are still in another component than the band's main one are compared
+   with all of the band's other components, each pair in the first band that it shares. So the pairs
+   within one component are never enumerated, and no pair that could connect two components is left out.
+5. Pairs are screened by their sizes and own shingles, which bound the similarity, and by the
+   similarity that the signatures' equal fields give after correction for chance collisions; links are
+   then confirmed by intersecting the full sets.
 
 With 51 bands of 5 minima a pair at similarity 0.75 shares no band with probability 1e-6; the screen
 stands 4 standard deviations below the limit.
@@ -123,6 +126,24 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _own_counts(sets: DataFrame) -> DataFrame:
+    """Per node of ``sets`` (node, shingles): its size n and its own shingles, those that no other set has.
+
+    Nodes with several sets (rows that share an id) get no own ones, so that they are never set aside.
+    """
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    single = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).filter("sets = 1")
+    own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    sizes = sets.groupBy("node").agg(F.count(F.lit(1)).alias("sets"), F.max(F.size("shingles")).alias("n"))
+    return sizes.join(own, "node", "left").select("node", "n", F.when(F.col("sets") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(0)).alias("own"))
+
+
+def _reachable(n_a: Column, own_a: Column, n_b: Column, own_b: Column) -> Column:
+    """Whether two sets of these sizes, which don't share their own shingles, can reach the limit."""
+    most = F.least(n_a - own_a, n_b - own_b)
+    return 100 * most >= PERCENT * (n_a + n_b - most)
+
+
 def _with(pairs: DataFrame, table: DataFrame, key: str, *columns: str) -> DataFrame:
     """``pairs`` (a, b) with columns of ``table`` for both ends, named column_a and column_b."""
     for end in "ab":
@@ -149,35 +170,46 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     members = checkpointed(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
-    labels = checkpointed(nodes.select("node", F.col("node").alias("comp")))
-    signatures = checkpointed(distinct.select(F.col("doc_id").alias("node"), "bits").join(nodes, "node", "left_semi"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = checkpointed(
         shingle_sets(texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")).distinct()
         .withColumnRenamed("doc_id", "node")
     )
 
+    # Sets that can't reach the limit with any other go; the second pass counts without them.
+    for _ in range(2):
+        able = checkpointed(_own_counts(sets).filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")))
+        sets = sets.join(able.select("node"), "node", "left_semi")
+    sets = checkpointed(sets)
+    members = checkpointed(members.join(able, "node"))
+    labels = checkpointed(able.select("node", F.col("node").alias("comp")))
+    keys = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int"))
+    signatures = checkpointed(distinct.select(F.col("doc_id").alias("node"), "bits", keys.alias("keys")).join(able, "node"))
+
     # A few bands first: they connect most of a large group, whose members need no further pairs then.
-    orders = [F.xxhash64("node", F.lit(n)) for n in range(2)]
-    for slots, order in ((FIRST_BANDS, F.col("node")), (BANDS, F.col("node")), *((BANDS, o) for o in orders)):
+    central = F.struct(F.col("own") / F.col("n"), "node")
+    for slots, order in ((FIRST_BANDS, central), (BANDS, central), (BANDS, F.xxhash64("node"))):
         placed = members.filter(F.col("slot") < slots).join(labels, "node")
         leaders = placed.groupBy("band").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
         apart = placed.join(leaders, "band").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-        alike = _with(apart, signatures, "node", "bits").filter(similarity(F.col("bits_a"), F.col("bits_b")) >= SCREEN).select("a", "b")
+        seen = _with(apart, signatures, "node", "bits", "n", "own")
+        alike = seen.filter(_reachable(*map(F.col, ("n_a", "own_a", "n_b", "own_b"))) & (similarity(F.col("bits_a"), F.col("bits_b")) >= SCREEN)).select("a", "b")
         labels = connect(labels, checkpointed(_confirmed(alike, sets)))
 
     # What is left: members of a band outside its main component against all its other components.
-    placed = members.join(labels, "node")
+    placed = members.select("slot", "band", "node").join(labels, "node")
     counts = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed_bands = counts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
     rest = checkpointed(placed.join(mixed_bands.select("band", "main"), "band").join(signatures, "node"))
-    outside = rest.filter("comp <> main").select("band", F.col("node").alias("a"), F.col("comp").alias("comp_a"), F.col("bits").alias("bits_a"))
+    outside = rest.filter("comp <> main").select("band", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "bits", "keys", "n", "own")))
     apart = outside.join(rest, "band").filter(
         (F.col("comp_a") != F.col("comp"))
-        & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node")))
+        & ((F.col("comp") == F.col("main")) | (F.col("node_a") < F.col("node")))
+        & _reachable(*map(F.col, ("n_a", "own_a", "n", "own")))
         & (similarity(F.col("bits_a"), F.col("bits")) >= SCREEN)
+        & ~F.arrays_overlap(F.slice("keys_a", F.lit(1), F.col("slot")), F.slice("keys", F.lit(1), F.col("slot")))
     )
-    labels = connect(labels, checkpointed(_confirmed(apart.select("a", F.col("node").alias("b")).distinct(), sets)))
+    labels = connect(labels, checkpointed(_confirmed(apart.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), sets)))
 
     known = rows.select("doc_id", "n_shingles", "k1", "k2").join(leads, ["k1", "k2"], "left")
     lead = F.when(F.col("n_shingles") > 0, F.col("lead"))
