@@ -114,7 +114,7 @@ def evaluate(steps: list[str], allowed: frozenset[str] = ALLOWED) -> tuple[bool,
 def _automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
     for phrase, label in [*BASE_PHRASES.items(), *MORE_PHRASES.items(), (TAG, None)]:
-        a.add_word(f" {phrase} ", (len(phrase) + 2, label, phrase in BASE_PHRASES))
+        a.add_word(f" {phrase} ", (len(phrase.split()), label, phrase in BASE_PHRASES))
     a.make_automaton()
     return a
 
@@ -123,14 +123,17 @@ def scan_text(text: str) -> dict:
     joined = b" ".join(text.encode("utf-8", "replace").translate(_FOLD).split())
     padded = f" {joined.decode('latin-1')} "
     base, labels, base_labels, tagged, matches = [], set(), set(), False, 0
-    for end, (length, label, is_base) in _automaton().iter(padded):
+    n_ended, counted = 0, 0  # words that end before the position ``counted``; matches come in order of their ends
+    for end, (n, label, is_base) in _automaton().iter(padded):
         if label is None:
             tagged = True
             continue
         matches += 1
         labels.add(label)
         if is_base:
-            base.append(padded.count(" ", 0, end - length + 1))
+            n_ended += padded.count(" ", counted, end)
+            counted = end
+            base.append(n_ended - n)
             base_labels.add(label)
     satisfied, parsed = None, 0
     for expression in _EXPRESSION.findall(text) if tagged else ():
