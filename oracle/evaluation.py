@@ -93,12 +93,21 @@ ORACLE["segment_deciles"] = query(
         WHERE model = 'champion' AND n_bins IN (10, 20)""",
     "applied",
 )
-_CAPTURE = """SELECT model, split, sum(overall_target_pct) AS top_capture_pct FROM applied
+# The training split's own panels are its equal-count buckets; only other rows are cut by its bounds.
+cte(
+    "panels",
+    f"""SELECT model, split, segment, n_bins, bucket, counts, positives, {', '.join(_P)} FROM applied
+        WHERE split <> 'train' OR segment <> 'overall'
+        UNION ALL
+        SELECT model, 'train', 'overall', n_bins, bucket, counts, positives, {', '.join(_P)} FROM qt""",
+    "applied", "qt",
+)
+_CAPTURE = """SELECT model, split, sum(overall_target_pct) AS top_capture_pct FROM panels
     WHERE segment = 'overall' AND n_bins = 20 AND bucket <= 3 GROUP BY ALL"""
-cte("capture", _CAPTURE, "applied")
+cte("capture", _CAPTURE, "panels")
 ORACLE["top15_capture"] = query(f"SELECT split, {rnd('top_capture_pct')} FROM capture WHERE model = 'champion'", "capture")
 ORACLE["results_long"] = query(
-    f"SELECT model, split AS dataset, segment, n_bins, bucket, counts, positives, {rnd(*_P)} FROM applied", "applied"
+    f"SELECT model, split AS dataset, segment, n_bins, bucket, counts, positives, {rnd(*_P)} FROM panels", "panels"
 )
 _AGE = """CASE WHEN account_age <= 730 THEN 'LT2YR_OLD' WHEN account_age <= 1460 THEN 'BT2_4YR_OLD'
     WHEN account_age <= 2190 THEN 'BT4_6YR_OLD' WHEN account_age <= 2920 THEN 'BT6_8YR_OLD'

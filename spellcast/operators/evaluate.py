@@ -236,6 +236,18 @@ def age_table(scored: DataFrame, by: list[str], age: str = "account_age") -> Dat
     )
 
 
+def with_equal_count(applied: DataFrame, table: DataFrame, group: dict[str, str]) -> DataFrame:
+    """``applied`` with the rows of one group (the training split) taken from its own equal-count ``table``.
+
+    Tied scores at a bound make the two differ: cutoffs keep ties together, equal counts do not.
+    """
+    is_group = F.lit(True)
+    for column, value in group.items():
+        is_group = is_group & (F.col(column) == value)
+    own = table.select(*(F.lit(v).alias(c) for c, v in group.items()), "*")
+    return applied.where(~is_group).unionByName(own)
+
+
 def top_capture(table: DataFrame, by: list[str], n_bins: int = 20, top: int = 3) -> DataFrame:
     """Share of the positives in the best ``top`` of ``n_bins`` buckets (3 of 20: the top 15 %)."""
     return (

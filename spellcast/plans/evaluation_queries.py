@@ -39,10 +39,20 @@ def scored_models(spark, sf_dir) -> DataFrame:
     return df.select("*", F.inline(models)).drop("prob").withColumnRenamed("p", "prob")
 
 
+def train_table(df: DataFrame, n_bins=ev.N_BINS) -> DataFrame:
+    """Equal-count buckets of the training split."""
+    return ev.quantile_table(df.where(F.col("split") == "train"), ["row_id"], n_bins)
+
+
 def train_cutoffs(df: DataFrame, n_bins=ev.N_BINS):
     """Cutoffs fitted on the training split."""
-    table = ev.quantile_table(df.where(F.col("split") == "train"), ["row_id"], n_bins)
-    return ev.cutoff_list(ev.cutoffs(table))
+    return ev.cutoff_list(ev.cutoffs(train_table(df, n_bins)))
+
+
+def panels(df: DataFrame, scores: DataFrame, group: dict[str, str], by: list[str], n_bins=ev.N_BINS) -> DataFrame:
+    """Bucket tables of one model: its training ``group`` by equal counts, all else by the cutoffs of these."""
+    table = checkpointed(train_table(df, n_bins))
+    return ev.with_equal_count(ev.apply_cutoffs(scores, ev.cutoff_list(ev.cutoffs(table)), by), table, group)
 
 
 @query
@@ -91,7 +101,7 @@ def age_table(spark, sf_dir):
 def top15_capture(spark, sf_dir):
     df = scored(spark, sf_dir)
     scores = ev.score_table(df, ["split"])
-    return rounded(ev.top_capture(ev.apply_cutoffs(scores, train_cutoffs(df, (20,)), ["split"]), ["split"]))
+    return rounded(ev.top_capture(panels(df, scores, {"split": "train"}, ["split"], (20,)), ["split"]))
 
 
 @query
@@ -116,9 +126,9 @@ def model_metrics(df: DataFrame) -> DataFrame:
     scores = ev.score_table(df, by)
     captures = None
     for model in ("champion", "previous"):
-        bins = train_cutoffs(df.where(F.col("model") == model), (20,))
-        table = ev.apply_cutoffs(scores.where(F.col("model") == model), bins, by)
-        part = ev.top_capture(table, by)
+        group = {"model": model, "split": "train"}
+        own = F.col("model") == model
+        part = ev.top_capture(panels(df.where(own), scores.where(own), group, by, (20,)), by)
         captures = part if captures is None else captures.unionByName(part)
     return (
         ev.auc_ap(scores, by)
@@ -141,8 +151,9 @@ def results_long(spark, sf_dir):
     scores = checkpointed(ev.score_table(ev.by_segment(df), by))
     out = None
     for model in ("champion", "previous"):
-        bins = train_cutoffs(df.where(F.col("model") == model))
-        part = ev.apply_cutoffs(scores.where(F.col("model") == model), bins, by)
+        group = {"model": model, "split": "train", "segment": "overall"}
+        own = F.col("model") == model
+        part = panels(df.where(own), scores.where(own), group, by)
         out = part if out is None else out.unionByName(part)
     return rounded(out.withColumnRenamed("split", "dataset"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spellcast.config import ROW_KEY, Settings
@@ -99,6 +99,8 @@ def evaluate(df: DataFrame, fitted: dict[str, train.Fitted], cfg: RetrainConfig)
                     F.lit(name).alias("model"), *key, "split", "target", "prob", "firstaction_bool", "account_age"
                 )
             )
+    if not parts:
+        raise RuntimeError(f"no model was fitted: { {n: f.error for n, f in fitted.items()} }")
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
@@ -110,8 +112,10 @@ def evaluate(df: DataFrame, fitted: dict[str, train.Fitted], cfg: RetrainConfig)
         own = scored.where((F.col("model") == name) & (F.col("split") == "train"))
         if own.isEmpty():
             continue
-        bins = ev.cutoff_list(ev.cutoffs(ev.quantile_table(own, key, cfg.n_bins)))
+        table = checkpointed(ev.quantile_table(own, key, cfg.n_bins))
+        bins = ev.cutoff_list(ev.cutoffs(table))
         part = ev.apply_cutoffs(scores.where(F.col("model") == name), bins, by)
+        part = ev.with_equal_count(part, table, {"model": name, "split": "train", "segment": "overall"})
         tables = part if tables is None else tables.unionByName(part)
     tables = checkpointed(tables)
     overall = scores.where(F.col("segment") == "overall").drop("segment")
@@ -150,8 +154,34 @@ def retrain(rows: DataFrame, s: Settings, cfg: RetrainConfig, with_checks: bool
     )
 
 
-def store(spark, result: RetrainResult, catalog: io.Catalog, stamp: str) -> None:
-    """Write models, result tables and metadata of a run."""
+def store_encoders(spark: SparkSession, binners: dict[str, binning.Binner], levels: dict[str, list[str | None]], path: str) -> None:
+    """Write the fitted binners and levels: rate maps as tables, the rest as one document."""
+    for col, b in binners.items():
+        b.rates.select(col, "rate").write.mode("overwrite").parquet(f"{path}/rates/{col}")
+    fitted = {c: {"mean": b.mean, "thresholds": b.thresholds, "bin_of_leaf": b.bin_of_leaf} for c, b in binners.items()}
+    io.write_json(spark, {"binners": fitted, "levels": levels}, f"{path}/settings")
+
+
+def load_encoders(spark: SparkSession, path: str) -> tuple[dict[str, binning.Binner], dict[str, list[str | None]]]:
+    """The binners and levels that ``store_encoders`` wrote."""
+    settings = io.read_json(spark, f"{path}/settings")
+    binners = {
+        col: binning.Binner(col, b["mean"], spark.read.parquet(f"{path}/rates/{col}"), tuple(b["thresholds"]), tuple(b["bin_of_leaf"]))
+        for col, b in settings["binners"].items()
+    }
+    return binners, settings["levels"]
+
+
+def store(spark: SparkSession, result: RetrainResult, catalog: io.Catalog, stamp: str) -> None:
+    """Write models, encoders, checks, tuning logs, importances, result tables and metadata of a run."""
+    store_encoders(spark, result.binners, result.levels, f"{catalog.path('models')}/{catalog.project}__encoders__{stamp}")
+    results = catalog.path("results")
+    for other, checks in result.checks.items():
+        io.write_run(checks, f"{results}/checks_{other}", stamp)
+    done = [f for f in result.fitted.values() if f.model is not None]
+    for name, table in (("tuning_log", train.tuning_log), ("feature_importance", train.feature_importance)):
+        for f in done:
+            io.write_run(table(spark, f), f"{results}/{name}/{f.name}", stamp)
     for name, f in result.fitted.items():
         if f.model is not None:
             path = f"{catalog.path('models')}/{catalog.project}__{name}__{stamp}"

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spellcast.config import ROW_KEY
+from spellcast.config import ROW_KEY, Settings
 from spellcast.functions import features as fx
 from spellcast.operators import binning, scoring, train
 
@@ -16,6 +16,19 @@ def prepare(rows: DataFrame, levels: dict[str, list[str | None]], time_col: str
     return binning.one_hot(fx.scoring_features(rows, time_col), levels)
 
 
+def prepare_retrained(
+    rows: DataFrame, s: Settings, binners: dict[str, binning.Binner], levels: dict[str, list[str | None]],
+    time_col: str = "duration",
+) -> DataFrame:
+    """New rows for a retrained model: the features of the training run, its stored bins and levels."""
+    df = fx.engineer(fx.fill_and_filter(rows, time_col, null_policy="tolerant"), s.focus_payer, time_col)
+    for b in binners.values():
+        fx.require_columns(df, [b.col], "rows to bin")
+        df = b.transform(df)
+    fx.require_columns(df, list(levels), "rows to encode")
+    return binning.one_hot(df, levels)
+
+
 def score(
     prepared: DataFrame, model: PipelineModel, features: list[str], tier_cutoffs: dict[str, float],
     decile_cutoffs: dict[str, float],

@@ -52,8 +52,19 @@ def test_retrain_and_score(spark, table, tmp_path):
     path = f"{catalog.path('models')}/project__LogisticRegression__20240101_000000"
     model, features = io.load_model(spark, path)
     assert features == result.features
+    for name in ("tuning_log/LogisticRegression", "feature_importance/DecisionTreeClassifier"):
+        assert io.latest_run(spark, f"{catalog.path('results')}/{name}") is not None
+    # The stored artifacts alone score new rows as the run itself did.
+    binners, levels = retrain.load_encoders(spark, f"{catalog.path('models')}/project__encoders__20240101_000000")
+    assert levels == result.levels and set(binners) == set(result.binners)
+    prepared = score.prepare_retrained(table.rows, FIXTURE_SETTINGS, binners, levels)
+    again = score.score(prepared, model, features, scoring.TIER_CUTOFFS["june"], scoring.DECILE_CUTOFFS["june"])
+    ids = ["tin", "providerid", "date_start", "date_end"]
+    before = result.scored.where(F.col("model") == "LogisticRegression").select(*ids, "prob")
+    both = before.join(again.select(*ids, "opt_in_probability"), ids).withColumn("off", F.abs(F.col("prob") - F.col("opt_in_probability")))
+    n, off = both.agg(F.count("*"), F.max("off")).first()
+    assert n == before.count() and off < 1e-9
     scored = result.scored.where(F.col("model") == "LogisticRegression").withColumnRenamed("prob", "opt_in_probability")
     tiers = scored.withColumn("opt_in_category", scoring.tier(F.col("opt_in_probability"), scoring.TIER_CUTOFFS["june"]))
-    ids = ["tin", "providerid", "date_start", "date_end"]
     out = score.output(tiers, ["account_age"], ids)
     assert out.columns[:4] == [c.upper() for c in ids] and out.count() == scored.count()
