@@ -68,6 +68,31 @@ def test_substring_dedup(spark, docs):
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_of_repeated_rows_and_shared_ids(spark):
+    """Passages that end earlier in a repeated row, in one of an id's texts, or in a row without id."""
+    p, q = prose(30, 41).split(), prose(40, 42).split()
+    short, other = " ".join(p[:20]), " ".join(p[5:])
+    rows = [
+        (1, " ".join(p)), (2, short), (2, short), (3, " ".join(p)), (4, " ".join(q)), (5, " ".join(q[:18])), (5, " ".join(prose(1, 43).split() + q[1:])),
+        (6, prose(20, 44) + " " + prose(13, 45)), (6, prose(20, 46) + " " + prose(14, 47)), (7, prose(13, 45) + " tail"), (8, "head " + prose(14, 47)),
+        (None, prose(3, 48) + " " + " ".join(q[:15])), (None, prose(3, 49) + " " + " ".join(q[:15])), (None, prose(3, 50) + " " + " ".join(q[:30])), (None, other),
+    ]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed", "kept_text").collect()
+    want = []
+    key = lambda d: 2**63 - 1 if d is None else d
+    for i, t in rows:
+        w = words(t)
+        keep = [True] * len(w)
+        earlier = {tuple(words(u)[j : j + 13]) for d, u in rows if key(d) < key(i) for j in range(len(words(u)) - 12)}
+        for j in range(len(w) - 12):
+            if tuple(w[j : j + 13]) in earlier:
+                keep[j : j + 13] = [False] * 13
+        want.append((i, keep.count(False), b" ".join(x for x, k in zip(w, keep) if k).decode()))
+    order = lambda r: (r[0] is None, r[0] or 0, r[2])
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+    assert [r[1] for r in want[1:3]] == [20, 20]
+
+
 def test_minhash_dedup(spark, docs):
     got = {r.doc_id: r for r in minhash_dedup.components(docs).collect()}
     assert {i: got[i].component_id for i in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12)} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10, 11: 11, 12: 12}
