@@ -1,11 +1,9 @@
-"""Main text of web pages from the distribution of text over their lines.
+"""Main text of web pages: the lines that stand in no menu, header, footer or the like.
 
-Markup is stripped to lines (one per block element), sums of text lengths over a sliding window of
-lines are taken, and the text between surge points (where the sum rises from nothing to the limit)
-and dive points (where it falls back to nothing) is kept. Lines of menus, headers, footers, forms,
-notices, adverts, comments, scripts and styles carry no text length, so they end a region. Where the
-page names its article (``article`` or ``main``), lines elsewhere carry none either and every region
-inside is kept; without such an element a region must reach a share of the densest one.
+Markup is stripped to lines (one per block element). Lines of menus, headers, footers, forms, notices,
+adverts, comments, scripts and styles are dropped. Where the page names its article (``article`` or
+``main``), lines elsewhere are dropped too. Nothing else is: a short title or last paragraph is text,
+however its length compares, so sums of text lengths over a window of lines choose no region.
 
 Defined cases: NULL, empty and text-free pages give an empty text; an element left open ends with its
 parent or with the page; a ``<`` that starts no tag is text; repeated rows each get their row; other
@@ -22,10 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 3
-#: Without an article element: the share of the densest window that a region must reach.
-SURGE_SHARE = 0.2
-
 _BLOCKS = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section select summary table tbody td tfoot th "
@@ -64,8 +58,6 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
         parts.clear()
         if text:
             lines.append((text, asides > 0, articles > 0))
-        elif lines and lines[-1][0]:
-            lines.append(("", asides > 0, articles > 0))
 
     def close(count):
         nonlocal asides, articles
@@ -111,26 +103,10 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
     return lines, named
 
 
-def main_text(page: str, window: int = WINDOW) -> str:
-    """Lines of the kept regions, joined by line feeds."""
+def main_text(page: str) -> str:
+    """Kept lines, joined by line feeds."""
     lines, named = lines_of(page)
-    weights = [len(t) if not aside and (inside or not named) else 0 for t, aside, inside in lines]
-    sums, running = [], 0
-    for i, w in enumerate(weights):
-        running += w - (weights[i - window] if i >= window else 0)
-        sums.append(running)
-    limit = 1 if named else max(1, SURGE_SHARE * max(sums, default=0))
-    kept, region, peak = [], [], 0
-    for i, total in enumerate(sums + [0]):
-        if total == 0:  # a dive point ends the region
-            if peak >= limit:
-                kept += region
-            region, peak = [], 0
-        else:
-            peak = max(peak, total)
-            if weights[i]:
-                region.append(lines[i][0])
-    return "\n".join(kept)
+    return "\n".join(text for text, aside, inside in lines if not aside and (inside or not named))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -222,6 +222,13 @@ def test_html_extraction(spark):
     assert texts[3:5] == [(4, ("only text here. " * 20).strip()), (4, "plain")] and texts[5][1] == "\n".join("w" * 20000)
 
 
+def test_html_extraction_keeps_short_regions():
+    long = "<p>" + "long text " * 50 + "</p>"
+    kept = ("long text " * 50).strip()
+    assert html_extract.main_text("<h1>Title</h1><nav>Menu</nav>" + long * 3 + "<div class='ad'>buy</div><p>End.</p>") == "\n".join(["Title", kept, kept, kept, "End."])
+    assert html_extract.main_text("<p>Out</p><article><h1>Title</h1><nav>Menu</nav>" + long + "<div class='ad'>buy</div><p>End.</p></article>") == f"Title\n{kept}\nEnd."
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
