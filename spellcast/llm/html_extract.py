@@ -5,6 +5,10 @@ adverts, comments, scripts and styles are dropped. Where the page names its arti
 ``main``), lines elsewhere are dropped too. Nothing else is: a short title or last paragraph is text,
 however its length compares, so sums of text lengths over a window of lines choose no region.
 
+An element that a class, id or role (or being a form) marks as one of those is none if it holds most of
+the text. Where every article stands inside marked elements, those around the articles are none either,
+unless the page has more text outside (then the articles are teasers and the page names none).
+
 Defined cases: NULL, empty and text-free pages give an empty text; an element left open ends with its
 parent or with the page; a ``<`` that starts no tag is text; repeated rows each get their row; other
 columns are ignored. Pages are taken one by one from Arrow batches, so one long page is the memory bound.
@@ -29,8 +33,10 @@ _RAW = frozenset("script style noscript template svg iframe textarea object".spl
 _ASIDE = frozenset("nav header footer aside form head title button menu select dialog".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ARTICLE = frozenset(("article", "main"))
+#: Elements that their tag alone marks, without a form, which may stand around a whole page.
+_SURE = _ASIDE - {"form"}
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|login|menu|"
+    r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?<!\bhas[_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|login|menu|"
     r"nav|navbar|navigation|newsletter|notices?|popup|promo|related|sidebar|share|sharing|signup|social|sponsor(?:ed)?|"
     r"subscribe|widget)(?:$|[\s_-])",
     re.I,
@@ -50,20 +56,21 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
 def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
     """Lines (text, aside, in article) in page order, and whether the page names an article."""
     lines, parts, open_tags = [], [], []
-    asides = articles = 0
-    named = False
+    articles = 0
+    inner = -1  # the innermost open aside
+    asides = []  # per aside: the one around it, whether its tag marks it, whether it holds an article
 
     def end_line():
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            lines.append((text, asides > 0, articles > 0))
+            lines.append((text, inner, articles > 0))
 
     def close(count):
-        nonlocal asides, articles
+        nonlocal inner, articles
         for _ in range(count):
             _, aside, article = open_tags.pop()
-            asides -= aside
+            inner = asides[inner][0] if aside else inner
             articles -= article
 
     at = 0
@@ -87,9 +94,12 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
             if tag in _PARAGRAPH_ENDS and open_tags and open_tags[-1][0] == tag:
                 close(1)
             article = tag in _ARTICLE
-            named |= article
             open_tags.append((tag, aside, article))
-            asides += aside
+            if aside:
+                asides.append([inner, tag in _SURE, False])
+                inner = len(asides) - 1
+            if article and not articles and inner >= 0:
+                asides[inner][2] = True
             articles += article
         else:
             depth = next((i for i, x in enumerate(reversed(open_tags), 1) if x[0] == tag), 0)
@@ -100,7 +110,47 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool, bool]], bool]:
                 close(depth)
     parts.append(page[at:])
     end_line()
-    return lines, named
+    return _judged(lines, asides)
+
+
+def _judged(lines: list[tuple[str, int, bool]], asides: list[list]) -> tuple[list[tuple[str, bool, bool]], bool]:
+    """Lines with whether an element that counts as an aside stands around them, and whether the page names an article.
+
+    ``lines`` have the number of the innermost aside around them, or -1. An aside has a smaller number than those in it.
+    """
+    numbers = range(len(asides))
+    sure = [False] * (len(asides) + 1)  # the last stands for -1, no aside
+    for i in numbers:
+        sure[i] = asides[i][1] or sure[asides[i][0]]
+    for i in reversed(numbers):
+        if asides[i][2] and asides[i][0] >= 0:
+            asides[asides[i][0]][2] = True
+    named = any(inside for _, at, inside in lines if not sure[at])
+    held = [0] * (len(asides) + 1)
+    total = 0
+    for text, at, inside in lines:
+        if not sure[at] and (inside or not named):
+            total += len(text)
+            held[at] += len(text)
+    for i in reversed(numbers):
+        if asides[i][0] >= 0:
+            held[asides[i][0]] += held[i]
+    counts = [own or 2 * held[i] <= total for i, (_, own, _) in enumerate(asides)]
+
+    def around() -> list[bool]:
+        out = [False] * (len(asides) + 1)
+        for i in numbers:
+            out[i] = counts[i] or out[asides[i][0]]
+        return out
+
+    dropped = around()
+    named = any(inside for _, at, inside in lines if not dropped[at])
+    if not named and any(inside for _, _, inside in lines):
+        outside = sum(len(text) for text, at, inside in lines if not dropped[at])
+        if sum(len(text) for text, _, inside in lines if inside) >= outside:
+            counts = [c and not asides[i][2] for i, c in enumerate(counts)]
+            dropped, named = around(), True
+    return [(text, dropped[at], inside) for text, at, inside in lines], named
 
 
 def main_text(page: str) -> str:

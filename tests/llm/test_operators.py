@@ -229,6 +229,22 @@ def test_html_extraction_keeps_short_regions():
     assert html_extract.main_text("<p>Out</p><article><h1>Title</h1><nav>Menu</nav>" + long + "<div class='ad'>buy</div><p>End.</p></article>") == f"Title\n{kept}\nEnd."
 
 
+def test_html_extraction_keeps_text_inside_marked_wrappers():
+    body = "<h1>Title</h1><p>" + "long text " * 50 + "</p><div class='ad'>buy</div><p>End.</p>"
+    kept = "Title\n" + ("long text " * 50).strip() + "\nEnd."
+    for wrapper in ("<div class='content with-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<form>{}</form>", "<div id='login'><form>{}</form></div>"):
+        menu = "<nav>Menu</nav>" + wrapper
+        assert html_extract.main_text(menu.format(f"<article>{body}</article>") + "<footer>f") == kept
+        assert html_extract.main_text(f"<main>{menu.format(body)}</main>") == kept
+        assert html_extract.main_text(menu.format(body)) == kept
+    assert html_extract.main_text(f"<nav>Menu<article>{body}</article>") == kept  # left open
+    several = "".join(f"<div class='widget'><article><p>post {i}</p></article></div>" for i in range(5))
+    assert html_extract.main_text(several) == "\n".join(f"post {i}" for i in range(5))
+    # What is beside the article or inside it is still dropped.
+    assert html_extract.main_text(f"<article>{body}<div class='comments'><article>no</article></div></article><form>q</form><div class='comments'><article>no</article></div>") == kept
+    assert html_extract.main_text(f"{body}<aside><article>teaser</article></aside>") == kept
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
