@@ -4,8 +4,10 @@ Test items are partitioned by their number of shingles into classes up to 16, 32
 class, documents are cut into windows of twice the class bound that advance by the bound, so an item
 lies inside one window of similar size however long the document is; its containment then shows as a
 similarity that plain MinHash can see. Windows and items are sketched by ``MINIMA`` hash minima, and
-equal minima make a candidate. (With one minimum to a band, an item contained to 75 % of its shingles
-is missed with probability below 1e-5.) Candidates are confirmed on the full sets of shingles.
+equal minima make a candidate. (With one minimum to a band, an item of more than 8 shingles that is contained
+to 75 % of them is missed with probability below 1e-5.) Smaller items are too unlike such a window; of
+these, so many shingles that a document with 75 % of the item has one of them are looked up among all
+shingles of the documents, which misses none. Candidates are confirmed on the full sets of shingles.
 
 Before the join, minima of documents pass a bitmap of the items' minima. Its size is fixed, so it can
 be sent to all tasks; when items outgrow it, more minima pass and the join gives the same result.
@@ -31,6 +33,8 @@ WORDS = 5
 PERCENT = 75
 MINIMA = 64
 SMALLEST_CLASS = 16
+#: The class of items that are found by their shingles, of up to so many shingles.
+PROBED = 8
 BITMAP_BITS = 23
 
 _random = np.random.default_rng(77)
@@ -50,7 +54,15 @@ def _keys(least: np.ndarray, bound: int) -> np.ndarray:
 
 
 def size_class(n: int) -> int:
-    return max(SMALLEST_CLASS, 1 << (n - 1).bit_length())
+    return PROBED if n <= PROBED else max(SMALLEST_CLASS, 1 << (n - 1).bit_length())
+
+
+def item_keys(values: np.ndarray, bound: int) -> np.ndarray:
+    """Keys that find an item of these shingles: minima, or for a small item shingles of which a match has one at least."""
+    if bound == PROBED:
+        needed = -(-PERCENT * len(values) // 100)
+        return mixed(values[: len(values) - needed + 1], PROBED)
+    return _keys(_hashed(values).min(axis=0), bound)
 
 
 def item_sketches(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -62,7 +74,7 @@ def item_sketches(items: DataFrame, id_col: str = "item_id", text_col: str = "te
             for part in slices(batch):
                 sets = [np.unique(window_hashes(h, WORDS)) for h in hash_lists(part.column("h"))]
                 bounds = [size_class(len(s)) if len(s) else 0 for s in sets]
-                keys = [_keys(_hashed(s).min(axis=0), b) if b else s for s, b in zip(sets, bounds)]
+                keys = [item_keys(s, b) if b else s for s, b in zip(sets, bounds)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("item_id"), pa.array(bounds, pa.int32()), long_lists(sets), long_lists(keys)], names=["item_id", "bound", "shingles", "keys"]
                 )
@@ -70,10 +82,18 @@ def item_sketches(items: DataFrame, id_col: str = "item_id", text_col: str = "te
     return rows.mapInArrow(run, "item_id long, bound int, shingles array<long>, keys array<long>").filter("bound > 0")
 
 
+def _passing(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    bit = keys >> np.uint64(64 - BITMAP_BITS)
+    return keys[(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+
+
 def document_keys(values: np.ndarray, bounds: list[int], bitmap: np.ndarray) -> np.ndarray:
     """Keys of all windows of one document, for every size class, that pass the bitmap."""
     found, least, width = [], None, 0
     for bound in bounds:
+        if bound == PROBED:
+            found.append(_passing(mixed(values, PROBED), bitmap))
+            continue
         if least is None:
             starts = np.arange(0, len(values), bound)
             # Minima of blocks, taken in parts so that a long document needs no more memory.
@@ -86,9 +106,7 @@ def document_keys(values: np.ndarray, bounds: list[int], bitmap: np.ndarray) ->
             least = np.minimum.reduceat(least, np.arange(0, len(least), bound // width), axis=0)
         width = bound
         windows = np.minimum(least[:-1], least[1:]) if len(least) > 1 else least
-        keys = _keys(windows, bound).ravel()
-        bit = keys >> np.uint64(64 - BITMAP_BITS)
-        found.append(keys[(bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+        found.append(_passing(_keys(windows, bound).ravel(), bitmap))
     return np.unique(np.concatenate(found))
 
 
@@ -109,8 +127,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     """Pairs (doc_id, item_id) with n_item and n_shared shingles, where n_shared reaches 75 % of n_item."""
     sketched = checkpointed(item_sketches(items, **item_columns))
     exploded = sketched.select("item_id", F.explode("keys").alias("key"))
-    bounds = [r.bound for r in sketched.select("bound").distinct().collect()]  # at most one per power of two
-    bounds = [b for b in (SMALLEST_CLASS << i for i in range(40)) if b <= max(bounds, default=0)]
+    bounds = sorted(r.bound for r in sketched.select("bound").distinct().collect())  # at most one per power of two
     bits = exploded.select(F.shiftrightunsigned("key", 64 - BITMAP_BITS).alias("bit")).distinct()
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
     place = np.array([r.bit for r in bits.collect()], dtype=np.int64)  # at most 2**BITMAP_BITS numbers

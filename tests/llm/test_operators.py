@@ -146,6 +146,19 @@ def test_decontamination(spark, docs):
     assert decontaminate.contained(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_finds_short_items(spark):
+    """Items of 1 to 8 shingles in many documents, whole and with the last shingles cut off."""
+    texts = {n: prose(n, 500 + n).split() for n in range(5, 13)}
+    items = [(n, " ".join(w)) for n, w in texts.items()]
+    rows = []
+    for i in range(400):
+        for n, w in texts.items():
+            cut = w[: 4 + -(-3 * (n - 4) // 4)] if i % 2 else w
+            rows.append((len(rows), " ".join([prose(i % 37, i), *cut, prose(60, 1000 + i)])))
+    got = decontaminate.contained(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(d, 5 + d % 8) for d in range(len(rows))]
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://A.Example.ORG/en/12?x", "http://example.org", "http://b.com/de/x", "http://b.com/fr/", "http://com/de/",
             "x://notexample.org/es/", "http://h.net/" + "a/" * 5000, "http://" + "l." * 3000 + "org/", "http://b.com/fr/", "http://q.org#/es/"]
