@@ -86,6 +86,85 @@ p AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM s d JOIN
 SELECT doc_id, item_id, n_item, n_shared FROM p JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
 """
 
+
+def _components(percent: int) -> str:
+    """Components of documents whose sets of distinct five-word shingles reach the similarity."""
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT r, doc_id, array_to_string(ws[i:i + 4], ' ') AS k FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(i) WHERE len(ws) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS ra, b.r AS rb, a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (k) WHERE a.r <> b.r GROUP BY ALL),
+links AS (SELECT DISTINCT a, b FROM p JOIN n x ON x.r = ra JOIN n y ON y.r = rb WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id{', doc_id = component_id AS kept' if percent == 75 else ''}
+FROM w LEFT JOIN n USING (r) JOIN lowest USING (doc_id)
+"""
+
+
+def _codes() -> str:
+    """Four rounds over four codebooks of 256 integer entries, with every distance computed."""
+    start = """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(v) // 4) AS part, (i - 1) % (len(v) // 4) AS slot, v[i] AS x FROM kept, unnest(range(1, len(v) + 1)) AS u(i)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, slot, x AS m FROM cells WHERE r <= 256)"""
+    assign = """,
+a{t} AS MATERIALIZED (
+  SELECT r, part, min(d * 256 + entry) % 256 AS entry, min(d) AS d
+  FROM (SELECT r, part, entry, sum((x - m) * (x - m)) AS d FROM cells JOIN b{t} USING (part, slot) GROUP BY ALL) GROUP BY ALL)"""
+    move = """,
+b{u} AS MATERIALIZED (
+  SELECT part, entry, slot, coalesce((s - ((s % n) + n) % n) // n, m) AS m
+  FROM b{t} LEFT JOIN (SELECT part, entry, slot, sum(x) AS s, count(*) AS n FROM a{t} JOIN cells USING (r, part) GROUP BY ALL) USING (part, entry, slot))"""
+    rounds = "".join(assign.format(t=t) + move.format(t=t, u=t + 1) for t in range(4)) + assign.format(t=4)
+    return start + rounds + """,
+coded AS (SELECT r, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY r),
+labelled AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM kept JOIN coded USING (r) GROUP BY label),
+books AS (SELECT sha256(string_agg(CAST(m AS BIGINT), ',' ORDER BY part, entry, slot)) AS codebooks_sha256 FROM b4)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM kept JOIN coded USING (r) JOIN labelled ON labelled.label IS NOT DISTINCT FROM kept.label, books
+"""
+
+
+def _clusters() -> str:
+    """Three rounds over sixteen integer centroids, with every distance computed."""
+    start = """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, embedding) - 1 AS r, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (SELECT r, i AS slot, v[i] AS x FROM kept, unnest(range(1, 65)) AS u(i)),
+b0 AS MATERIALIZED (SELECT r AS cluster, slot, x AS m FROM cells WHERE r < 16)"""
+    assign = """,
+a{t} AS MATERIALIZED (
+  SELECT r, min(d * 16 + cluster) % 16 AS cluster, min(d) AS d
+  FROM (SELECT r, cluster, sum((x - m) * (x - m)) AS d FROM cells JOIN b{t} USING (slot) GROUP BY ALL) GROUP BY ALL)"""
+    move = """,
+b{u} AS MATERIALIZED (
+  SELECT cluster, slot, coalesce((s - ((s % n) + n) % n) // n, m) AS m
+  FROM b{t} LEFT JOIN (SELECT cluster, slot, sum(x) AS s, count(*) AS n FROM a{t} JOIN cells USING (r) GROUP BY ALL) USING (cluster, slot))"""
+    rounds = "".join(assign.format(t=t) + move.format(t=t, u=t + 1) for t in range(3)) + assign.format(t=3)
+    return start + rounds + """,
+sums AS (SELECT cluster, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a3 GROUP BY cluster),
+centroids AS (SELECT cluster, sha256(string_agg(CAST(m AS BIGINT), ',' ORDER BY slot)) AS centroid_sha256 FROM b3 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia,
+       (SELECT CAST(sum(d) AS BIGINT) FROM a3) AS inertia, centroid_sha256
+FROM kept JOIN a3 USING (r) JOIN sums USING (cluster) JOIN centroids USING (cluster)
+"""
+
+
 ORACLE = {
-    "op1_substring_dedup": OP1, "op2_decontamination": OP2, "op3_url_filter": OP3, "op4_quality_rules": OP4, "op7_chat_format": OP7,
+    "op1_substring_dedup": OP1, "op2_decontamination": OP2, "op3_url_filter": OP3, "op4_quality_rules": OP4,
+    "op6_minhash_dedup": _components(75), "op7_chat_format": OP7, "op11_jaccard_join": _components(80),
+    "op12_vector_codes": _codes(), "op13_centroid_clusters": _clusters(),
 }

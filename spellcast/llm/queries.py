@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spellcast.llm import (
-    bpe, chat_format, decontaminate, html_extract, license_scan, minhash_dedup, quality_classifier, quality_rules,
-    substring_dedup, url_filter,
+    bpe, centroid_clusters, chat_format, decontaminate, html_extract, license_scan, minhash_dedup, quality_classifier,
+    quality_rules, signature_join, substring_dedup, url_filter, vector_codes,
 )
 
 
@@ -89,10 +89,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.components(_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return coded.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(vector_codes.book_digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clusters.cluster(_table(spark, sf_dir, "embeddings"))
+    components = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(components, 256).alias("centroid_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_decontamination, op3_url_filter, op4_quality_rules, op5_quality_classifier, op6_minhash_dedup,
-        op7_chat_format, op8_html_extraction, op9_bpe, op10_license_scan,
+        op7_chat_format, op8_html_extraction, op9_bpe, op10_license_scan, op11_jaccard_join, op12_vector_codes, op13_centroid_clusters,
     )
 }
