@@ -1,6 +1,10 @@
 """Whole runs on the smallest scale factor."""
 
 import datetime as dt
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +26,22 @@ def test_entry_and_keys(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+REPO = Path(__file__).resolve().parent.parent
+
+
+@pytest.mark.parametrize("without", ["spellcast/llm corpus_pipeline.py", "spellcast/llm", "corpus_pipeline.py"])
+def test_entry_without_the_optional_operators(tmp_path, without):
+    """The registry of everything else stays whole when the optional folders are gone."""
+    ignored = shutil.ignore_patterns(".git", "__pycache__", "tests", *([] if "llm" not in without else ["llm"]), *[x for x in without.split() if x.endswith(".py")])
+    shutil.copytree(REPO, tmp_path / "copy", ignore=ignored)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), sum(k.startswith('op') and k[2].isdigit() for k in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    n, oracles, numbered = map(int, out.stdout.split())
+    assert n - numbered - ("pipeline" in entry.queries() and "llm" not in without and "corpus" not in without) >= 86 and oracles > 70
+    assert (numbered == 0) == ("llm" in without)
+
+
 def test_plan_has_no_pairwise_join(table):
     plan = table.rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Cross" not in plan
