@@ -65,22 +65,31 @@ def status_days(history: DataFrame) -> DataFrame:
     )
 
 
+def paid_days(payments: DataFrame, s: Settings) -> DataFrame:
+    """Valid ACH+ and VCC payments by provider-day: number of rows and payment count of each.
+
+    The one scan of the payments that eligibility, the timeline and the in-spell counts need.
+    A count is NULL where the day has no payment of that kind.
+    """
+    line, n = F.col("productline"), F.coalesce(F.col("paymentcount"), F.lit(0)).cast("long")
+    aggs = []
+    for kind, value in (("ach", ACH), ("vcc", VCC)):
+        aggs += [F.count(F.when(line == value, 1)).alias(f"{kind}_rows"), F.sum(F.when(line == value, n)).alias(kind)]
+    kept = payments.where(is_valid_payment(s) & line.isin(ACH, VCC))
+    return kept.groupBy(*KEY, F.to_date("paymentweek").alias("day")).agg(*aggs)
+
+
 def eligible_providers(
-    payments: DataFrame, providers: DataFrame, history: DataFrame, s: Settings
+    paid: DataFrame, providers: DataFrame, history: DataFrame, s: Settings
 ) -> DataFrame:
     """Providers in scope with first payment dates, opt-in / opt-out dates and day counts.
 
     Both event sources are aggregated to one row per provider before they are joined, so
-    the joins are one-to-one.
+    the joins are one-to-one. ``paid`` comes from ``paid_days``.
     """
-    week = F.to_date("paymentweek")
-    first_paid = (
-        payments.where(is_valid_payment(s) & F.col("productline").isin(ACH, VCC))
-        .groupBy(*KEY)
-        .agg(
-            F.min(F.when(F.col("productline") == ACH, week)).alias("firstachpaydate"),
-            F.min(F.when(F.col("productline") == VCC, week)).alias("firstvccpaydate"),
-        )
+    first_paid = paid.groupBy(*KEY).agg(
+        F.min(F.when(F.col("ach_rows") > 0, F.col("day"))).alias("firstachpaydate"),
+        F.min(F.when(F.col("vcc_rows") > 0, F.col("day"))).alias("firstvccpaydate"),
     )
 
     def stats(flag: str, first: str, last: str, n: str) -> list[Column]:

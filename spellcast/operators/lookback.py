@@ -25,7 +25,7 @@ from spellcast.config import (
     ROW_KEY,
     Settings,
 )
-from spellcast.functions.dates import day_number, next_spine_date
+from spellcast.functions.dates import day_number, next_spine_date, spine_dates_between
 from spellcast.functions.nulls import cents
 from spellcast.operators.bronze import is_cancelled_payment, is_valid_payment
 from spellcast.operators.spells import attributes_of, tpid
@@ -123,15 +123,15 @@ def optout_days(history: DataFrame) -> DataFrame:
 # --- frames -------------------------------------------------------------------------------
 
 
-def _spans(gold: DataFrame) -> DataFrame:
-    """One row per spell with its last snapshot date."""
-    return gold.groupBy(*SPELL).agg(F.max("date_end").alias("until"))
+def spans_of(gold: DataFrame) -> DataFrame:
+    """First and last snapshot of each spell, for callers without the spells (``spell_spans``)."""
+    return gold.groupBy(*SPELL).agg(F.min("date_end").alias("first_end"), F.max("date_end").alias("until"))
 
 
-def _in_spells(days: DataFrame, gold: DataFrame) -> DataFrame:
+def _in_spells(days: DataFrame, spans: DataFrame) -> DataFrame:
     """Tag provider-days with the spell they fall into (spells of a provider barely overlap)."""
     return (
-        days.join(_spans(gold), KEY)
+        days.join(spans.drop("first_end"), KEY)
         .where((F.col("day") >= F.col("date_start")) & (F.col("day") < F.col("until")))
         .drop("until")
     )
@@ -211,23 +211,23 @@ def _snapshots_only(rows: DataFrame, gold: DataFrame, cols: list[Column]) -> Dat
 # --- single families ----------------------------------------------------------------------
 
 
-def lookback_by_product(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+def lookback_by_product(gold: DataFrame, payments: DataFrame, s: Settings, spans: DataFrame | None = None) -> DataFrame:
     """Sums over ``[date_start, date_end)`` per product group, and the last check dates."""
-    facts = _in_spells(payment_days(payments, s), gold)
+    facts = _in_spells(payment_days(payments, s), spans or spans_of(gold))
     rows = _with_snapshots(gold.select(*ROW_KEY), facts)
     return _snapshots_only(rows, gold.select(*ROW_KEY), _payment_lifetime())
 
 
-def lookback_trailing(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+def lookback_trailing(gold: DataFrame, payments: DataFrame, s: Settings, spans: DataFrame | None = None) -> DataFrame:
     """Trailing sums over ``[date_end - k, date_end)`` for checks and cancelled checks."""
-    facts = _in_spells(payment_days(payments, s), gold)
+    facts = _in_spells(payment_days(payments, s), spans or spans_of(gold))
     rows = _with_snapshots(gold.select(*ROW_KEY), facts)
     return _snapshots_only(rows, gold.select(*ROW_KEY), _payment_trailing(s))
 
 
-def phone_counts(gold: DataFrame, interactions: DataFrame, s: Settings) -> DataFrame:
+def phone_counts(gold: DataFrame, interactions: DataFrame, s: Settings, spans: DataFrame | None = None) -> DataFrame:
     """Counted phone contacts in the spell and in each trailing window."""
-    rows = _with_snapshots(gold.select(*ROW_KEY), _in_spells(call_days(interactions, s), gold))
+    rows = _with_snapshots(gold.select(*ROW_KEY), _in_spells(call_days(interactions, s), spans or spans_of(gold)))
     return _snapshots_only(rows, gold.select(*ROW_KEY), _phone(s))
 
 
@@ -240,12 +240,19 @@ def prior_optouts(gold: DataFrame, history: DataFrame, s: Settings, last_year: b
     return _snapshots_only(rows, gold.select(*ROW_KEY), cols)
 
 
-def payer_arrivals(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
-    """The payers that join a spell's lists at each of its snapshots.
+def spell_intervals(spans: DataFrame, s: Settings) -> DataFrame:
+    """Every spell once for each spine interval it reaches into, named by the date that ends it."""
+    dates = spine_dates_between(F.col("date_start"), F.col("until"), s)
+    return spans.withColumn("bucket", F.explode(dates))
+
 
-    A payer joins a list at one snapshot and stays. Payments are collapsed to the last day
-    per provider, payer and snapshot interval; the first interval that reaches into the
-    spell is the payer's entry.
+def payer_entries(spans: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+    """Per spell and payer: the snapshot at which the payer joins each list, if it does.
+
+    Payments are collapsed to the last day per provider, payer and spine interval. A payer's
+    interval meets only the spells that reach into it, by an equality of intervals, and the
+    first one from the spell's start on is the payer's entry. Both shuffles spread a provider's
+    payers: one by the interval, the other by the payer.
     """
     day = F.to_date("paymentweek")
     valid, cancelled = is_valid_payment(s), is_cancelled_payment(s)
@@ -260,22 +267,21 @@ def payer_arrivals(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFra
             ]
         )
     )
-    first_snapshot = gold.groupBy(*SPELL).agg(
-        F.min("date_end").alias("first_end"), F.max("date_end").alias("until")
-    )
-    bucket = F.greatest("bucket", "first_end")
-    entries = (
-        latest.join(first_snapshot, KEY)
-        .where(F.col("bucket") <= F.col("until"))
+    entry = F.greatest("bucket", "first_end")
+    return (
+        latest.join(spell_intervals(spans, s), [*KEY, "bucket"])
         .groupBy(*SPELL, "payerid")
-        .agg(
-            *[
-                F.min(F.when(F.col(name) >= F.col("date_start"), bucket)).alias(name)
-                for name in PAYER_LISTS
-            ]
-        )
+        .agg(*[F.min(F.when(F.col(name) >= F.col("date_start"), entry)).alias(name) for name in PAYER_LISTS])
     )
-    at_entry = entries.withColumn(
+
+
+def payer_arrivals(spans: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+    """The payers that join a spell's lists at each of its snapshots.
+
+    A payer joins a list once and stays. The tasks that hold a share of the payers build their
+    part of each list, and only the parts of a spell's snapshot come together.
+    """
+    at_entry = payer_entries(spans, payments, s).withColumn(
         "day", F.explode(F.array_distinct(F.array_compact(F.array(*PAYER_LISTS))))
     )
     return at_entry.groupBy(*SPELL, "day").agg(
@@ -297,10 +303,10 @@ def _sorted_lists() -> dict[str, Column]:
     return {name: F.when(F.size(name) > 0, F.sort_array(name)) for name in PAYER_LISTS}
 
 
-def payer_lists(gold: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+def payer_lists(gold: DataFrame, payments: DataFrame, s: Settings, spans: DataFrame | None = None) -> DataFrame:
     """Sorted distinct payers per product group in ``[date_start, date_end)``, as arrays."""
     keys = gold.select(*ROW_KEY)
-    rows = _with_snapshots(keys, payer_arrivals(gold, payments, s))
+    rows = _with_snapshots(keys, payer_arrivals(spans or spans_of(gold), payments, s))
     return _snapshots_only(rows, keys, _payer_lists()).withColumns(_sorted_lists())
 
 
@@ -339,6 +345,7 @@ def gold_training_row(
     provider_map: DataFrame,
     provider_flags: DataFrame,
     s: Settings,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Every look-back of every snapshot, with payer lists and exclusion flags.
 
@@ -348,9 +355,10 @@ def gold_training_row(
     """
     attributes = attributes_of(gold)
     gold = gold.drop("tpid", *attributes)
+    spans = spans or spans_of(gold)
     spell_days = payment_days(payments, s).unionByName(call_days(interactions, s), allowMissingColumns=True)
     optouts = optout_days(history).withColumn("optout_day", F.col("day"))
-    rows = _with_snapshots(gold, _in_spells(spell_days, gold), optouts)
+    rows = _with_snapshots(gold, _in_spells(spell_days, spans), optouts)
     summed = _snapshots_only(
         rows,
         gold,
@@ -363,7 +371,7 @@ def gold_training_row(
     focus = F.lit(s.focus_payer)
     important = F.col("payerid_list_important").cast("array<string>")
     return (
-        summed.join(payer_lists(gold, payments, s), ROW_KEY, "left")
+        summed.join(payer_lists(gold, payments, s, spans), ROW_KEY, "left")
         .join(providers.select(*KEY, *attributes), KEY, "left")
         .withColumn("tpid", tpid())
         .join(exclusion_flags(provider_map, provider_flags, s), KEY, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spellcast.config import Settings
+from spellcast.config import KEY, Settings
 from spellcast.functions.dates import spine_dates_between
 
 
@@ -44,3 +44,17 @@ def horizon_label(snapshots: DataFrame, s: Settings) -> DataFrame:
 def gold_spells(spells: DataFrame, s: Settings) -> DataFrame:
     """Labelled snapshots older than ``min_duration`` days."""
     return horizon_label(snapshot_rows(spells, s, s.min_duration), s)
+
+
+def spell_spans(spells: DataFrame, s: Settings) -> DataFrame:
+    """Per spell with a snapshot older than ``min_duration`` days: its first and last snapshot date.
+
+    Computed on the spell row; the snapshots need not be generated for it.
+    """
+    dates = spine_dates_between(F.date_add("date_start", s.min_duration), F.col("date_end"), s)
+    ends = spells.select(*KEY, "date_start", F.array_min(dates).alias("first_end"), F.array_max(dates).alias("until"))
+    return (
+        ends.where(F.col("until").isNotNull())
+        .groupBy(*KEY, "date_start")
+        .agg(F.min("first_end").alias("first_end"), F.max("until").alias("until"))
+    )

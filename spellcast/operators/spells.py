@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spellcast.config import KEY, Settings
+from spellcast.functions.dates import day_number
 from spellcast.functions.nulls import null_propagating_least
-from spellcast.operators.bronze import ACH, VCC, is_valid_payment
+from spellcast.operators.bronze import ACH, VCC
 
 ATTRIBUTES = [
     "segment", "apv", "providertype", "taxonomygeneral", "taxonomyspecialty", "state",
@@ -68,13 +69,12 @@ def cohort0_spells(eligible: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def action_timeline(
-    eligible: DataFrame, payments: DataFrame, history: DataFrame, s: Settings
-) -> DataFrame:
+def action_timeline(eligible: DataFrame, paid: DataFrame, history: DataFrame) -> DataFrame:
     """Creation, opt-out and opt-in actions of providers that ever opted out.
 
     Equal actions of one provider-day are one row with their number in ``n_events``; a
-    provider with very many payments thus adds a calendar-bounded number of rows.
+    provider with very many payments thus adds a calendar-bounded number of rows. ``paid``
+    comes from ``bronze.paid_days``.
     """
     line = F.col("productlinename")
     is_out = F.col("statusname") == "Opt-Out"
@@ -85,17 +85,18 @@ def action_timeline(
         F.to_date("statusstartdate").alias("action_date"),
         F.when(is_out, "Opt-Out").otherwise("Opt-In").alias("action_type"),
         F.when(is_out, F.lit(None)).when(line.like("%VRA%"), ACH).otherwise(VCC).alias("productline"),
+        F.lit(1).cast("long").alias("n"),
     )
-    from_payments = payments.where(is_valid_payment(s) & F.col("productline").isin(ACH, VCC)).select(
-        *KEY,
-        F.to_date("paymentweek").alias("action_date"),
-        F.lit("Opt-In").alias("action_type"),
-        F.col("productline"),
+    kinds = F.array(F.struct(F.lit(ACH).alias("line"), F.col("ach_rows").alias("n")), F.struct(F.lit(VCC).alias("line"), F.col("vcc_rows").alias("n")))
+    from_payments = (
+        paid.select(*KEY, F.col("day").alias("action_date"), F.explode(kinds).alias("kind"))
+        .where("kind.n > 0")
+        .select(*KEY, "action_date", F.lit("Opt-In").alias("action_type"), F.col("kind.line").alias("productline"), "kind.n")
     )
     events = (
         from_history.unionByName(from_payments)
         .groupBy(*KEY, "action_date", "action_type", "productline")
-        .agg(F.count("*").alias("n_events"))
+        .agg(F.sum("n").alias("n_events"))
     )
     ever_out = with_cohort(eligible).where(F.col("cohort") > 0)
     creation = ever_out.select(
@@ -188,37 +189,38 @@ def optout_spells(actions: DataFrame, eligible: DataFrame, s: Settings) -> DataF
     )
 
 
-def with_in_spell_counts(spells: DataFrame, payments: DataFrame, s: Settings) -> DataFrame:
+def with_in_spell_counts(spells: DataFrame, paid: DataFrame, s: Settings) -> DataFrame:
     """Add ACH+ and VCC payment counts between a spell's end and the next spell's start (closed).
 
-    NULL means there was no such payment at all. Payments are collapsed to one array of
-    paid days per provider (at most a calendar's worth), so the join is many-to-one and the
-    spells are read once.
+    NULL means there was no such payment at all. Every spell has two edges, the day before its
+    end and the last day that counts; edges and paid days of a provider lie in one order, where
+    running totals are taken at the edges, and a spell's count is the difference of its two.
+    So the work is linear in paid days and spells, and no spell holds a provider's days.
     """
-    n = F.coalesce(F.col("paymentcount"), F.lit(0)).cast("long")
-    daily = (
-        payments.where(is_valid_payment(s) & F.col("productline").isin(ACH, VCC))
-        .groupBy(*KEY, F.to_date("paymentweek").alias("day"))
-        .agg(
-            F.sum(F.when(F.col("productline") == ACH, n)).alias("ach"),
-            F.sum(F.when(F.col("productline") == VCC, n)).alias("vcc"),
-        )
-    )
-    paid = daily.groupBy(*KEY).agg(F.collect_list(F.struct("day", "ach", "vcc")).alias("_paid"))
     until = F.coalesce("next_start_date", F.lit(s.as_of))
+    order = [F.col(c) for c in ("date_start", "date_end", "start_status", "end_status", "next_productline")]
+    numbered = spells.withColumn("_spell", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)))
+    edges = F.array(
+        F.struct(F.lit(0).alias("side"), (day_number(F.col("date_end")) - 1).alias("day_no")),
+        F.struct(F.lit(1).alias("side"), day_number(until).alias("day_no")),
+    )
+    at_edges = numbered.withColumn("_edge", F.explode(edges)).select("*", "_edge.side", "_edge.day_no").drop("_edge")
+    days = paid.select(*KEY, day_number(F.col("day")).alias("day_no"), "ach", "vcc")
+    running = Window.partitionBy(*KEY).orderBy("day_no").rangeBetween(Window.unboundedPreceding, 0)
+    totals = {f"_{f}_{k}": F.coalesce(agg(k).over(running), F.lit(0)) for k in ("ach", "vcc") for f, agg in (("sum", F.sum), ("days", F.count))}
+    of_spell = Window.partitionBy(*KEY, "_spell").orderBy("side")
+    both = (
+        at_edges.unionByName(days, allowMissingColumns=True)
+        .withColumns(totals)
+        .where(F.col("side").isNotNull())
+        .withColumns({c: F.col(c) - F.lag(c).over(of_spell) for c in totals})
+        .where(F.col("side") == 1)
+    )
 
     def total(kind: str) -> Column:
-        hits = F.filter("_hits", lambda x: x[kind].isNotNull())
-        summed = F.aggregate(hits, F.lit(0).cast("long"), lambda acc, x: acc + x[kind])
-        return F.when(F.size(hits) > 0, summed)
+        return F.when(F.col("date_end").isNotNull() & (F.col(f"_days_{kind}") > 0), F.col(f"_sum_{kind}"))
 
-    inside = F.filter("_paid", lambda x: x["day"].between(F.col("date_end"), until))
-    return (
-        spells.join(paid, KEY, "left")
-        .withColumn("_hits", inside)
-        .withColumns({"ach_counts_during_optin": total("ach"), "vcc_counts_during_optin": total("vcc")})
-        .drop("_paid", "_hits")
-    )
+    return both.select(*spells.columns, *(total(k).alias(f"{k}_counts_during_optin") for k in ("ach", "vcc")))
 
 
 def target_repair(spells: DataFrame) -> DataFrame:
@@ -240,9 +242,7 @@ def target_repair(spells: DataFrame) -> DataFrame:
     )
 
 
-def all_spells(
-    eligible: DataFrame, payments: DataFrame, history: DataFrame, s: Settings
-) -> DataFrame:
+def all_spells(eligible: DataFrame, paid: DataFrame, history: DataFrame, s: Settings) -> DataFrame:
     """Distinct union of the spells of all cohorts."""
     never = cohort0_spells(eligible, s).select(
         "tpid", *KEY, *attributes_of(eligible), "date_start", "date_end",
@@ -252,8 +252,8 @@ def all_spells(
         F.lit(None).cast("int").alias("lastoptinduration"),
         "time_of_study", "optin_target_ach", "optin_target_vcc", "silver_cohort",
     )
-    spells = optout_spells(next_action(action_timeline(eligible, payments, history, s)), eligible, s)
-    repaired = target_repair(with_in_spell_counts(spells, payments, s)).select(
+    spells = optout_spells(next_action(action_timeline(eligible, paid, history)), eligible, s)
+    repaired = target_repair(with_in_spell_counts(spells, paid, s)).select(
         "tpid", *KEY, *attributes_of(eligible), "date_start", "date_end",
         "previousoptincount", "previousachoptincount", "previousvccoptincount",
         "lastoptinduration", "time_of_study",

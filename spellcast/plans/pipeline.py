@@ -32,8 +32,9 @@ class Sources:
 class TrainingTable:
     """Bronze, silver and gold layers of one run.
 
-    ``eligible`` and ``spells`` (one and a few rows per provider) are each read several
-    times downstream, so they are materialised; the snapshot rows are generated from the
+    ``paid_days`` (a calendar's worth of rows per provider), ``eligible`` and ``spells`` (one
+    and a few rows per provider) are each read several times downstream, so they are
+    materialised; the payments themselves are read three times in all; the snapshot rows are generated from the
     spells whenever they are needed and never stored on their own.
     """
 
@@ -47,16 +48,20 @@ class TrainingTable:
         self.settings = settings
         self.materialise = materialise
 
+    @cached_property
+    def paid_days(self) -> DataFrame:
+        return self.materialise(bronze.paid_days(self.src.payments, self.settings))
+
     @cached_property
     def eligible(self) -> DataFrame:
         s = self.src
         return self.materialise(
-            bronze.eligible_providers(s.payments, s.providers, s.history, self.settings)
+            bronze.eligible_providers(self.paid_days, s.providers, s.history, self.settings)
         )
 
     @cached_property
     def timeline(self) -> DataFrame:
-        return spells.action_timeline(self.eligible, self.src.payments, self.src.history, self.settings)
+        return spells.action_timeline(self.eligible, self.paid_days, self.src.history)
 
     @cached_property
     def optout_spells(self) -> DataFrame:
@@ -65,19 +70,23 @@ class TrainingTable:
     @cached_property
     def spells(self) -> DataFrame:
         return self.materialise(
-            spells.all_spells(self.eligible, self.src.payments, self.src.history, self.settings)
+            spells.all_spells(self.eligible, self.paid_days, self.src.history, self.settings)
         )
 
     @cached_property
     def gold(self) -> DataFrame:
         return snapshots.gold_spells(self.spells, self.settings)
 
+    @cached_property
+    def spans(self) -> DataFrame:
+        return snapshots.spell_spans(self.spells, self.settings)
+
     @cached_property
     def rows(self) -> DataFrame:
         s = self.src
         return lookback.gold_training_row(
             self.gold, self.eligible, s.payments, s.history, s.interactions,
-            s.provider_map, s.provider_flags, self.settings,
+            s.provider_map, s.provider_flags, self.settings, self.spans,
         )
 
 

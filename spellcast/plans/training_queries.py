@@ -26,7 +26,7 @@ def bronze_cancelled(spark, sf_dir):
 @query
 def eligible_providers(spark, sf_dir):
     s = Sources.from_fixtures(spark, sf_dir)
-    return bronze.eligible_providers(s.payments, s.providers, s.history, S)
+    return bronze.eligible_providers(bronze.paid_days(s.payments, S), s.providers, s.history, S)
 
 
 @query
@@ -52,13 +52,13 @@ def optout_spells(spark, sf_dir):
 @query
 def target_repair(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    return spells.target_repair(spells.with_in_spell_counts(t.optout_spells, t.src.payments, S))
+    return spells.target_repair(spells.with_in_spell_counts(t.optout_spells, t.paid_days, S))
 
 
 @query
 def all_spells(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    return spells.all_spells(t.eligible, t.src.payments, t.src.history, S)
+    return spells.all_spells(t.eligible, t.paid_days, t.src.history, S)
 
 
 @query
@@ -86,7 +86,7 @@ def horizon_label(spark, sf_dir):
 def label_rate_by_month(spark, sf_dir):
     """Snapshots, opt-ins and mean 90-day check payments per snapshot month."""
     t = fixture_table(spark, sf_dir)
-    recent = lookback.lookback_trailing(t.gold, t.src.payments, S)
+    recent = lookback.lookback_trailing(t.gold, t.src.payments, S, t.spans)
     return (
         t.gold.select("tin", "providerid", "date_start", "date_end", "opt_in_ach", "opt_in_vcc")
         .join(recent, ["tin", "providerid", "date_start", "date_end"])
@@ -104,20 +104,20 @@ def label_rate_by_month(spark, sf_dir):
 @query
 def lookback_by_product(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    return lookback.lookback_by_product(t.gold, t.src.payments, S)
+    return lookback.lookback_by_product(t.gold, t.src.payments, S, t.spans)
 
 
 @query
 def lookback_trailing(spark, sf_dir):
     """Trailing sums over valid and cancelled checks."""
     t = fixture_table(spark, sf_dir)
-    return lookback.lookback_trailing(t.gold, t.src.payments, S)
+    return lookback.lookback_trailing(t.gold, t.src.payments, S, t.spans)
 
 
 @query
 def payer_lists(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    lists = lookback.payer_lists(t.gold, t.src.payments, S)
+    lists = lookback.payer_lists(t.gold, t.src.payments, S, t.spans)
     return lists.withColumns({name: lookback.as_list_text(name) for name in lookback.PAYER_LISTS})
 
 
@@ -136,7 +136,7 @@ def prior_optouts_year(spark, sf_dir):
 @query
 def phone_counts(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    return lookback.phone_counts(t.gold, t.src.interactions, S)
+    return lookback.phone_counts(t.gold, t.src.interactions, S, t.spans)
 
 
 @query

@@ -1,6 +1,8 @@
 """Rules of the training-table layers on literal rows."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ def test_least_propagates_null(spark):
 def test_cohort0_tie_gives_both_targets(spark):
     p = payments(spark, [(1, "2021-03-01", "ACH+", PAID, 7, 1, 5), (1, "2021-03-01", "VCC", PAID, 7, 1, 5)])
     h = history(spark, [(1, "Opt-In", "VRA", "2021-02-01", None), (1, "Opt-In", "Select", "2021-02-01", None)])
-    e = bronze.eligible_providers(p, providers(spark, [(1, "2020-05-01")]), h, S)
+    e = bronze.eligible_providers(bronze.paid_days(p, S), providers(spark, [(1, "2020-05-01")]), h, S)
     r = spells.cohort0_spells(e, S).first()
     assert (r.date_end, r.optin_target_ach, r.optin_target_vcc) == (D("2021-02-01"), 1, 1)
 
@@ -68,8 +70,8 @@ def test_same_day_order_and_repeated_optouts(spark):
     h = history(spark, [(1, "Opt-Out", "x", "2021-01-10", None), (1, "Opt-Out", "x", "2021-01-10", None),
                         (1, "Opt-Out", "x", "2021-05-01", None), (1, "Opt-In", "VRA", "2021-05-01", None)])
     p = payments(spark, [])
-    e = bronze.eligible_providers(p, providers(spark, [(1, "2020-05-01")]), h, S)
-    actions = spells.next_action(spells.action_timeline(e, p, h, S))
+    e = bronze.eligible_providers(bronze.paid_days(p, S), providers(spark, [(1, "2020-05-01")]), h, S)
+    actions = spells.next_action(spells.action_timeline(e, bronze.paid_days(p, S), h))
     got = [
         (str(r.date_start), str(r.date_end), r.end_status, r.previousoptincount)
         for r in spells.optout_spells(actions, e, S).orderBy("date_start", "date_end").collect()
@@ -86,9 +88,9 @@ def test_target_repair_moves_target_to_the_paid_product(spark):
     """An ACH+ opt-in that only ever paid by VCC counts for VCC; NULL means never."""
     h = history(spark, [(1, "Opt-Out", "x", "2021-01-10", None), (1, "Opt-In", "VRA", "2021-02-10", None)])
     p = payments(spark, [(1, "2021-02-11", "VCC", PAID, 7, 3, 5)])
-    e = bronze.eligible_providers(p, providers(spark, [(1, "2020-05-01")]), h, S)
-    sp = spells.optout_spells(spells.next_action(spells.action_timeline(e, p, h, S)), e, S)
-    r = spells.target_repair(spells.with_in_spell_counts(sp, p, S)).where("start_status = 'Opt-Out'").first()
+    e = bronze.eligible_providers(bronze.paid_days(p, S), providers(spark, [(1, "2020-05-01")]), h, S)
+    sp = spells.optout_spells(spells.next_action(spells.action_timeline(e, bronze.paid_days(p, S), h)), e, S)
+    r = spells.target_repair(spells.with_in_spell_counts(sp, bronze.paid_days(p, S), S)).where("start_status = 'Opt-Out'").first()
     assert (r.ach_counts_during_optin, r.vcc_counts_during_optin, r.semi_row_eligible) == (None, 3, 0)
     assert (r.new_optin_target_ach, r.new_optin_target_vcc) == (0, 1)
 
@@ -162,3 +164,80 @@ def test_exclusions_do_not_fan_out(spark):
 def test_trailing_windows_must_fit_the_duration_filter():
     with pytest.raises(ValueError):
         Settings(as_of=D("2024-01-01"), trailing_days=(30, 120))
+
+
+def test_payer_lists_equal_brute_force_over_many_spells(spark):
+    """Circle-back spells of one provider, with payers that come before, at the start and in between."""
+    rng = random.Random(4)
+    starts = ["2019-03-05", "2021-01-01", "2021-08-16", "2022-06-15"]
+    spans = list(zip(starts, starts[1:] + ["2023-11-20"]))
+    day = lambda a, b: D(a) + dt.timedelta(days=rng.randrange((D(b) - D(a)).days))
+    rows = [(rng.choice([1, 2]), str(day("2018-12-01", "2023-12-31")), rng.choice(["Check", "ACH+", "ACH Reversal"]),
+             rng.choice([PAID, "Cancelled"]), rng.randrange(40), 1, 5) for _ in range(400)] + [(1, "2021-01-01", "Check", PAID, 77, 1, 5)]
+    spell = spark.createDataFrame(
+        [("x", 1, p, D(a), D(b), 10, 1, 0) for p in (1, 2) for a, b in spans],
+        "tpid string, tin int, providerid int, date_start date, date_end date, time_of_study int, optin_target_ach int, optin_target_vcc int",
+    )
+    gold, p = snapshots.gold_spells(spell, S), payments(spark, rows)
+    got = lookback.payer_lists(gold, p, S, snapshots.spell_spans(spell, S)).collect()
+    assert len(got) > 60
+    for r in got:
+        mine = [x for x in rows if x[0] == r.providerid and r.date_start <= D(x[1]) < r.date_end]
+        check = sorted({x[4] for x in mine if x[2] == "Check" and x[3] == PAID})
+        gone = sorted({x[4] for x in mine if x[2] == "Check" and x[3] != PAID})
+        total = sorted({x[4] for x in mine if x[2] != "ACH Reversal" and x[3] == PAID})
+        assert (r.payerid_list_check, r.cancelled_payeridlist_check, r.payerid_list_total) == (check or None, gone or None, total or None)
+
+
+def test_hot_provider_payers_are_spread_by_payer(spark):
+    """100,000 payers of one provider: the payer is part of a shuffle key, and each enters once."""
+    n = 100_000
+    p = spark.range(n).select(
+        F.lit(1).alias("tin"), F.lit(1).alias("providerid"), F.date_add(F.lit(D("2021-01-01")), (F.col("id") % 100).cast("int")).alias("paymentweek"),
+        F.lit("Check").alias("productline"), F.lit(PAID).alias("statusname"), F.col("id").cast("int").alias("payerid"),
+        F.lit(1).alias("paymentcount"), F.lit(5.0).alias("paymentamount"),
+    )
+    gold = gold_of(spark, "2021-01-01", "2021-05-10")
+    entries = lookback.payer_entries(lookback.spans_of(gold), p, S)
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any(re.search(r"date_start#\d+, payerid#\d+", line) for line in exchanges)
+    assert entries.count() == n
+    sizes = lookback.payer_lists(gold, p, S).select("date_end", F.size("payerid_list_check").alias("n")).orderBy("date_end").collect()
+    assert [(str(r.date_end), r.n) for r in sizes] == [("2021-04-15", n), ("2021-05-01", n)]
+
+
+def test_in_spell_counts_equal_brute_force(spark):
+    rng = random.Random(9)
+    day = lambda: D("2021-01-01") + dt.timedelta(days=rng.randrange(200))
+    paid = [(p, day(), line, rng.choice([0, 1, 3, None])) for p in (1, 2, 3) for line in ("ACH+", "VCC") for _ in range(rng.randrange(12))]
+    rows = []
+    for p in (1, 2, 3, 4):
+        for _ in range(25):
+            end = day()
+            rows.append((1, p, day(), end, "a", "b", "c", rng.choice([None, end, end + dt.timedelta(days=rng.randrange(60))])))
+    rows += [(1, 1, None, None, "a", "b", "c", None), rows[0], rows[0]]
+    spell = spark.createDataFrame(
+        rows, "tin int, providerid int, date_start date, date_end date, start_status string, end_status string, next_productline string, next_start_date date")
+    p = spark.createDataFrame(
+        [(1, i, d, line, PAID, 1, n, 9.0) for i, d, line, n in paid],
+        "tin int, providerid int, paymentweek date, productline string, statusname string, payerid int, paymentcount int, paymentamount double")
+    out = spells.with_in_spell_counts(spell, bronze.paid_days(p, S), S)
+    assert out.count() == len(rows)
+    for r in out.collect():
+        until = r.next_start_date or S.as_of
+        for line, got in (("ACH+", r.ach_counts_during_optin), ("VCC", r.vcc_counts_during_optin)):
+            hits = [n or 0 for i, d, x, n in paid if r.date_end and i == r.providerid and x == line and r.date_end <= d <= until]
+            assert got == (sum(hits) if hits else None)
+
+
+def test_payments_are_read_three_times(spark, sf_dir):
+    from spellcast.plans import pipeline
+
+    reads = []
+    t = pipeline.fixture_table(spark, sf_dir)
+    plans = [bronze.paid_days(t.src.payments, S), t.rows]
+    for df in plans:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        reads.append(len(re.findall(r"Relation \[[^\]]*l_shipdate", plan)))
+    assert reads == [1, 2]
