@@ -9,12 +9,14 @@ two of them lies a further band, a seam, so that two similar sets always share a
    sets differ in at most K2 shingles, so N2 - K2 of its cells hold the same shingles in both.
 2. For every partition and every choice of N2 - K2 of its cells a set has one signature, a hash of its
    shingles in these cells. So two similar sets share a signature.
-3. A choice of cells that is empty in a set says nothing, and would bring all such sets together. A set
-   with at least K2 + 1 filled cells in so many partitions that one of them must be shared needs no
-   signatures of empty cells. Other sets are signed again with another hash, until that holds or
-   ``TRIES`` is reached, when they give their empty signatures too. A pair is lost in no case: the first
-   hash under which either set needs no empty signatures is one under which both are signed.
-4. Sets that share a signature are candidates. Those with so many shingles that no other candidate has
+3. A choice of cells that is empty in a set says nothing, and would bring all such sets together. A
+   partition with at least K2 + 1 filled cells needs no signature of empty ones, as a filled cell is
+   among those that agree. So a set is signed in its first partitions only, up to as many of that kind
+   as must hold one in which it agrees with any similar set, and for filled choices only. Where it has
+   too few, it is signed again with another hash, until it has enough or ``TRIES`` is reached, when
+   it gives its empty signatures too. No pair is lost: under the first hash under which either set has
+   enough, both are signed, and the set with more partitions is signed in all those of the other.
+4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Those with so many shingles that no other candidate has
    that they can't reach the limit are set aside, in two passes. The others are compared with one leader
    of each bucket, in rounds; in the end only members of different components of a bucket are compared.
    Pairs are screened by bounds (sizes, shingles of their own, and counts of shingles by hash, which
@@ -31,6 +33,7 @@ its row; a row without id has the smallest id of its component, or NULL if that
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -39,17 +42,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spellcast.llm.components import connect
-from spellcast.llm.text import hash_lists, long_lists, lower_ascii, mixed, shingles, slices, word_hashes
+from spellcast.llm.text import long_lists, lower_ascii, mixed, set_lists, slices, word_hashes
 from spellcast.session import checkpointed
 
 WORDS = 5
 PERCENT = 80
 #: Differences that a partition may have, and cells of a partition.
 K2, N2 = 1, 3
+#: Sizes of a band: from one size up to this often the largest size similar to the one before.
+STEPS = 4
 #: Hashes under which a set is signed before its empty signatures are needed.
 TRIES = 8
 #: Hash cells whose shingle counts bound the difference of two sets.
 CELLS = 64
+#: Bits of the filter of wanted documents; its size is fixed, and a full filter lets every document pass.
+FILTER_BITS = 24
 
 _CHOICES = list(combinations(range(N2), N2 - K2))
 
@@ -64,51 +71,71 @@ def partner(n: int) -> int:
     return n * 100 // PERCENT
 
 
-def bands(n: int) -> Iterator[tuple[int, int, int]]:
+@lru_cache(maxsize=2**16)
+def bands(n: int) -> tuple[tuple[int, int, int], ...]:
     """The bands of a set of size ``n``: number, most differences in the band, and most for this set."""
-    low, i = 1, 0
-    while True:
-        high = max(low, partner(partner(low)))
+    found, low, i = [], 1, 0
+    while PERCENT * low <= 100 * n:
+        high = low
+        for _ in range(STEPS):
+            high = partner(high)
         if low <= n <= high:
-            yield 2 * i, differences(high, high), differences(n, min(high, partner(n)))
-        if n <= partner(high) and high + 1 <= partner(n):  # the seam between this band and the next
-            yield 2 * i + 1, differences(high, partner(high)), differences(n, partner(n)) if n <= high else differences(n, high)
-        if PERCENT * low > 100 * n:
-            return
+            found.append((2 * i, differences(high, high), differences(n, min(high, partner(n)))))
+        if n <= partner(high) and high < partner(n):  # the seam between this band and the next
+            found.append((2 * i + 1, differences(high, partner(high)), differences(n, partner(n) if n <= high else high)))
         low, i = high + 1, i + 1
+    return tuple(found)
 
 
-def signatures(values: np.ndarray) -> np.ndarray:
-    """The signatures of a set of shingle hashes in all its bands.
+def signatures(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of the sets that follow each other in ``values``, and the number of the set of each.
 
     Sets so small that only equal ones are similar have none, as equal sets are one.
     """
-    out = []
-    for band, most, own in bands(len(values)):
-        if own == 0:
-            continue
+    starts = np.concatenate([[0], ends[:-1]])
+    jobs = [(k, band, most, own) for k, n in enumerate((ends - starts).tolist()) for band, most, own in bands(n) if own]
+    out, of = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for seed in range(TRIES):
+        if not jobs:
+            break
+        doc, band, most, own = np.array(jobs, dtype=np.int64).T
+        need = own // (K2 + 1) + 1
         parts = most // (K2 + 1) + 1
         parts += parts // 16
-        for seed in range(TRIES):
-            tag = np.uint64((band * TRIES + seed + 1) << 36)
-            spread = mixed(values, int(tag))
-            cell = ((spread >> np.uint64(32)) * np.uint64(parts * N2) >> np.uint64(32)).astype(np.int64)
-            sums = np.zeros(parts * N2, dtype=np.uint64)
-            np.add.at(sums, cell, mixed(spread))
-            filled = np.bincount(cell, minlength=parts * N2).reshape(parts, N2) > 0
-            sums = sums.reshape(parts, N2)
-            enough = np.count_nonzero(filled.sum(axis=1) > K2) > own // (K2 + 1)
-            for c, choice in enumerate(_CHOICES):
-                place = mixed(np.arange(parts, dtype=np.uint64) * np.uint64(len(_CHOICES)) + np.uint64(c) + tag)
-                key = mixed(sums[:, choice].sum(axis=1, dtype=np.uint64) ^ place)
-                out.append(key if not enough and seed == TRIES - 1 else key[filled[:, choice].any(axis=1)])
-            if enough:
-                break
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
-
-
-def _digest(values: np.ndarray) -> tuple[int, int]:
-    return mixed(values, 1).sum(dtype=np.uint64), mixed(values, 2).sum(dtype=np.uint64)
+        n = (ends - starts)[doc]
+        job = np.repeat(np.arange(len(jobs)), n)
+        place = np.arange(len(job)) + np.repeat(starts[doc] - (np.cumsum(n) - n), n)
+        tag = (band * TRIES + seed + 1).astype(np.uint64) << np.uint64(36)
+        spread = mixed(values[place] ^ tag[job])
+        first = np.cumsum(parts) - parts
+        cell = ((spread >> np.uint64(32)) * (parts * N2).astype(np.uint64)[job] >> np.uint64(32)).astype(np.int64) + (first * N2)[job]
+        sums = np.zeros(parts.sum() * N2, dtype=np.uint64)
+        np.add.at(sums, cell, mixed(spread))
+        filled = (np.bincount(cell, minlength=len(sums)) > 0).reshape(-1, N2)
+        sums = sums.reshape(-1, N2)
+        of_part = np.repeat(np.arange(len(jobs)), parts)
+        good = np.cumsum(filled.sum(axis=1) > K2)
+        before = np.concatenate([[0], good])  # good partitions of all jobs before each partition
+        enough = before[first + parts] - before[first] >= need
+        asked = before[:-1] - before[first][of_part] < need[of_part]
+        last = seed == TRIES - 1
+        slot = (np.arange(len(of_part)) - first[of_part]).astype(np.uint64)
+        for c, choice in enumerate(_CHOICES):
+            taken = asked & (filled[:, choice].any(axis=1) | (last & ~enough[of_part]))
+            salt = mixed(slot[taken] * np.uint64(len(_CHOICES)) + np.uint64(c) + tag[of_part[taken]])
+            out.append(mixed(sums[taken][:, choice].sum(axis=1, dtype=np.uint64) ^ salt))
+            of.append(doc[of_part[taken]])
+        jobs = [j for j, done in zip(jobs, enough.tolist()) if not done]
+    return np.concatenate(out), np.concatenate(of)
+
+
+def _digests(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests of each whole set."""
+    out = []
+    for seed in (1, 2):
+        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed(values, seed), dtype=np.uint64)])
+        out.append((total[ends] - total[np.concatenate([[0], ends[:-1]])]).view(np.int64))
+    return out[0], out[1]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -123,14 +150,15 @@ def sized(keyed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(h, WORDS) for h in hash_lists(batch.column("h"))]
-            k = np.array([_digest(s) for s in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("doc_id"), pa.array([len(s) for s in found], pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1])],
-                names=["key", "doc_id", "n", "k1", "k2"],
-            )
+            for part in slices(batch):
+                values, ends = set_lists(part.column("h"), WORDS)
+                k1, k2 = _digests(values, ends)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(k1), pa.array(k2)],
+                    names=["key", "doc_id", "n", "k1", "k2"],
+                )
 
-    return keyed.mapInArrow(lambda batches: run(p for b in batches for p in slices(b)), "key long, doc_id long, n long, k1 long, k2 long")
+    return keyed.mapInArrow(run, "key long, doc_id long, n long, k1 long, k2 long")
 
 
 def signed(keyed: DataFrame) -> DataFrame:
@@ -140,34 +168,55 @@ def signed(keyed: DataFrame) -> DataFrame:
         seen = set()
         for batch in batches:
             for part in slices(batch):
-                keys, rows = [], []
-                for key, h in zip(part.column("key").to_pylist(), hash_lists(part.column("h"))):
-                    s = shingles(h, WORDS)
-                    digest = _digest(s)
-                    if digest not in seen:
-                        seen.add(digest)
-                        rows.append(signatures(s))
-                        keys.append(np.full(len(rows[-1]), key, dtype=np.int64))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(rows).view(np.int64))], names=["key", "sig"])
+                values, ends = set_lists(part.column("h"), WORDS)
+                new = []
+                for digest in zip(*(k.tolist() for k in _digests(values, ends))):
+                    new.append(digest not in seen)
+                    seen.add(digest)
+                size = np.diff(ends, prepend=0)
+                chosen = np.array(new, dtype=bool)
+                found, of = signatures(values[np.repeat(chosen, size)], np.cumsum(size[chosen]))
+                keys = part.column("key").to_numpy()[chosen][of]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(found.view(np.int64))], names=["key", "sig"])
 
     return keyed.select("key", "h").mapInArrow(run, "key long, sig long")
 
 
-def shingled(keyed: DataFrame) -> DataFrame:
-    """Rows (key, k1, k2, shingles, cells): the set, its digests and its shingle counts by hash cell."""
+def _filter_place(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 64 - FILTER_BITS)
+
+
+def wanted_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for the hash of every key, gathered word by word on the executors; 2 MB at most."""
+    place = _filter_place(F.col("key"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    out = np.zeros(2 ** (FILTER_BITS - 6), dtype=np.uint64)
+    found = words.toArrow()
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Rows (k1, k2, shingles, cells) of the texts that pass the filter: the set, its digests and its shingle counts by hash cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = [shingles(h, WORDS) for h in hash_lists(part.column("h"))]
-                k = np.array([_digest(s) for s in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+                place = part.column("place").to_numpy()
+                passed = np.flatnonzero(wanted[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1))
+                if not len(passed):
+                    continue
+                values, ends = set_lists(part.column("h").take(pa.array(passed)), WORDS)
+                k1, k2 = _digests(values, ends)
+                found = np.split(values, ends[:-1])
                 cells = [np.bincount((mixed(s, 3) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint64) for s in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(k[:, 0]), pa.array(k[:, 1]), long_lists(found), long_lists(cells)], names=["key", "k1", "k2", "shingles", "cells"]
+                    [pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)], names=["k1", "k2", "shingles", "cells"]
                 )
 
-    return keyed.select("key", "h").mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
+    placed = keyed.select(_filter_place(F.col("key")).alias("place"), "h")
+    return placed.mapInArrow(run, "k1 long, k2 long, shingles array<long>, cells array<long>")
 
 
 def _able(sets: DataFrame) -> DataFrame:
@@ -205,20 +254,24 @@ def _links(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rows (sig, node) of signatures that two sets or more share; of buckets with the same sets, one.
+    """Rows (bucket, node): the sets that share signatures; signatures with the same documents are one bucket.
 
-    ``nodes`` (key, node) gives the sets of a document's texts.
+    ``nodes`` (key, node) gives the sets of a document's texts. Rows of one signature are only
+    brought together in joins and sums, which can be split; the name of a bucket is a hash of its
+    documents, and a chance collision of two would only add candidates.
     """
     one = signed(keyed)
     other = one.select(F.col("sig").alias("other"), F.col("key").alias("by"))
-    shared = checkpointed(one.join(other, (F.col("sig") == F.col("other")) & (F.col("key") != F.col("by")), "left_semi"))
-    of = nodes.join(shared.select("key").distinct(), "key", "left_semi")
-    members = shared.join(of, "key").select("sig", "node").distinct()
-    content = members.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
-    ).filter("members > 1")
-    kept = content.groupBy("members", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
-    return checkpointed(members.join(kept, "sig", "left_semi"))
+    shared = one.join(other, (F.col("sig") == F.col("other")) & (F.col("key") != F.col("by")), "left_semi")
+    shared = shared.select(F.bitwise_not("sig").alias("sig"), "key")
+    content = shared.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")
+    )
+    bucket = F.xxhash64("n", "x", "y").alias("bucket")
+    members = checkpointed(shared.join(content.select("sig", bucket), "sig").select("bucket", "key").distinct())
+    members = members.join(nodes, "key").select("bucket", "node").distinct()
+    several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    return checkpointed(members.join(several, "bucket"))
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -231,9 +284,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     members = _buckets(keyed, nodes)
     wanted = distinct.join(members.select("node").distinct(), "node", "left_semi")
-    texts = keyed.join(wanted.select("key").distinct(), "key", "left_semi")
-    full = shingled(texts).drop("key").dropDuplicates(["k1", "k2"])
-    sets = checkpointed(full.join(wanted.select("k1", "k2", "node"), ["k1", "k2"]).select("node", "shingles", "cells"))
+    full = shingled(keyed, wanted_filter(wanted.select("key")))
+    sets = checkpointed(full.join(wanted.select("k1", "k2", "node"), ["k1", "k2"]).dropDuplicates(["node"]).select("node", "shingles", "cells"))
     for _ in range(2):  # the second pass counts without the sets that the first one left out
         able = checkpointed(_able(sets))
         sets = sets.join(able.select("node"), "node", "left_semi")
@@ -249,17 +301,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     for order in (F.struct(F.col("own") / F.col("n"), "node"), F.xxhash64("node")):
         placed = members.join(labels, "node")
-        leaders = placed.groupBy("sig").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
-        apart = placed.join(leaders, "sig").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+        leaders = placed.groupBy("bucket").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
+        apart = placed.join(leaders, "bucket").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
         labels = connect(labels, checkpointed(_links(apart, facts, sets)))
 
     # What is left: members of a bucket outside its main component against its other components.
-    placed = members.select("sig", "node").join(labels, "node")
-    counts = placed.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("n"))
-    split = counts.groupBy("sig").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    rest = checkpointed(placed.join(split.select("sig", "main"), "sig"))
-    outside = rest.filter("comp <> main").select("sig", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-    apart = outside.join(rest, "sig").filter((F.col("comp_a") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node"))))
+    placed = members.select("bucket", "node").join(labels, "node")
+    counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+    rest = checkpointed(placed.join(split.select("bucket", "main"), "bucket"))
+    outside = rest.filter("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
+    apart = outside.join(rest, "bucket").filter((F.col("comp_a") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node"))))
     labels = connect(labels, checkpointed(_links(apart.select("a", F.col("node").alias("b")).distinct(), facts, sets)))
 
     least = labels.join(distinct.select("node", "least"), "node")

@@ -59,6 +59,31 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     return np.unique(window_hashes(hashes, min(k, len(hashes))))
 
 
+def set_lists(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of every row of a list<int64> column of word hashes: all sets in one array, and their ends."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    hashes = column.values.to_numpy(zero_copy_only=False).view(np.uint64)[offsets[0] : offsets[-1]]
+    size = np.diff(offsets)
+    row = np.repeat(np.arange(len(size)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(hashes))  # words from here to the row's end
+    found, of = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for width in range(1, k + 1):
+        inside = size == width if width < k else size >= k
+        begins = (left[: max(len(hashes) - width + 1, 0)] >= width) & inside[row[: max(len(hashes) - width + 1, 0)]]
+        if begins.any():
+            found.append(window_hashes(hashes, width)[begins])
+            of.append(row[: len(begins)][begins])
+    values, of = np.concatenate(found), np.concatenate(of)
+    order = np.argsort(of, kind="stable")
+    values, of = values[order], of[order]
+    ends = np.cumsum(np.bincount(of, minlength=len(size)))
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        values[a:b].sort()
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (of[1:] != of[:-1])
+    return values[new], np.cumsum(np.bincount(of[new], minlength=len(size)))
+
+
 def hash_lists(column: pa.Array) -> Iterator[np.ndarray]:
     """The rows of a list<int64> column as unsigned arrays; NULL rows are empty."""
     offsets = column.offsets.to_numpy()

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from spellcast.llm import centroid_clusters, gnat, queries, signature_join, vector_codes
-from spellcast.llm.text import mixed
+from spellcast.llm.text import long_lists, mixed, set_lists, shingles
 
 NAN, INF = float("nan"), float("inf")
 
@@ -90,12 +90,24 @@ def test_similar_sets_share_a_signature(n):
         one, two = pool[:n], np.concatenate([pool[gone:n], pool[n : n + b - n + gone]])
         shared = n - gone
         assert len(two) == b and 100 * shared >= 80 * (n + b - shared)
-        assert np.intersect1d(signature_join.signatures(one), signature_join.signatures(two)).size
+        found, of = signature_join.signatures(np.concatenate([one, two]), np.array([len(one), len(one) + len(two)]))
+        assert np.intersect1d(found[of == 0], found[of == 1]).size
 
 
 def test_unrelated_sets_share_no_signature():
-    seen = [set(signature_join.signatures(mixed(np.arange(n, dtype=np.uint64) + np.uint64(i * 1000), 5)).tolist()) for i in range(300) for n in (5, 30)]
-    assert sum(len(s) for s in seen) == len(set().union(*seen))
+    sizes = [5, 30] * 300
+    found, of = signature_join.signatures(mixed(np.arange(sum(sizes), dtype=np.uint64), 5), np.cumsum(sizes))
+    assert set(of.tolist()) == set(range(600))
+    assert len(set(zip(found.tolist(), of.tolist()))) == len(set(found.tolist()))
+
+
+def test_set_lists_equal_shingles():
+    rng = np.random.default_rng(2)
+    rows = [rng.integers(0, 4, n).astype(np.uint64) for n in (0, 1, 3, 4, 5, 6, 0, 40, 200, 0)] + [np.zeros(0, dtype=np.uint64)]
+    for part in (rows, rows[:1], rows[7:8], []):
+        values, ends = set_lists(long_lists(part), 5)
+        got = np.split(values, ends[:-1]) if part else []
+        assert [g.tolist() for g in got] == [shingles(r, 5).tolist() for r in part]
 
 
 @pytest.mark.parametrize("spread", [1, 3, 1000])
