@@ -179,7 +179,7 @@ def signed(keyed: DataFrame) -> DataFrame:
                 keys = part.column("key").to_numpy()[chosen][of]
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(found.view(np.int64))], names=["key", "sig"])
 
-    return keyed.select("key", "h").mapInArrow(run, "key long, sig long")
+    return keyed.select("key", "h").mapInArrow(run, "key long not null, sig long not null")
 
 
 def _filter_place(key: Column) -> Column:
@@ -260,9 +260,8 @@ def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     brought together in joins and sums, which can be split; the name of a bucket is a hash of its
     documents, and a chance collision of two would only add candidates.
     """
-    one = signed(keyed)
-    other = one.select(F.col("sig").alias("other"), F.col("key").alias("by"))
-    shared = one.join(other, (F.col("sig") == F.col("other")) & (F.col("key") != F.col("by")), "left_semi")
+    every = signed(keyed)  # both sides of the join read one shuffle
+    shared = every.alias("a").join(every.alias("b"), F.expr("a.sig = b.sig and a.key <> b.key"), "left_semi")
     shared = shared.select(F.bitwise_not("sig").alias("sig"), "key")
     content = shared.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")
