@@ -42,6 +42,21 @@ ORACLE["one_hot_table"] = query(
     + ")",
     "bn",
 )
+ORACLE["level_dictionary"] = query(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {x} AS level, count(*) AS n, row_number() OVER (ORDER BY {x} NULLS LAST) - 1 AS position FROM bn GROUP BY {x}"
+        for c, x in (("segment", "segment"), ("taxonomygeneral", "taxonomygeneral"), ("cell", "nullif(state || '-' || cycle, 'CHINA-7')"))
+    ),
+    "bn",
+)
+ORACLE["level_positions"] = query(
+    """SELECT row_id, coalesce(position, (SELECT count(DISTINCT state || '-' || cycle || '-' || segment) FROM bn WHERE split = 'train' AND cycle > 3)) AS position
+       FROM bn LEFT JOIN (
+         SELECT cell, row_number() OVER (ORDER BY cell) - 1 AS position
+         FROM (SELECT DISTINCT state || '-' || cycle || '-' || segment AS cell FROM bn WHERE split = 'train' AND cycle > 3))
+       ON cell = state || '-' || cycle || '-' || segment""",
+    "bn",
+)
 ORACLE["undersample_counts"] = query(
     """SELECT split, target, count(*) AS n_before,
               CASE WHEN split = 'train' AND target = 0

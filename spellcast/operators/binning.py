@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,34 +163,12 @@ def fit_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str | None]]:
     """Sorted levels per column; NULL, if present, is a level of its own at the end.
 
     For columns that the caller names to be widened by ``one_hot``, where every level becomes a
-    column. ``fit_encoder`` gives the same levels as one sparse vector per column instead.
+    column of the table. Runs encode with ``levels.LevelEncoder``, which holds no levels.
     """
     levels: dict[str, list[str | None]] = {c: [] for c in cols}
     return levels | stored_levels(levels_table(df, cols)) if cols else levels
 
 
-def _level(c: str) -> Column:
-    """A level as text that tells NULL from every value."""
-    return F.when(F.col(c).isNull(), "nan").otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
-
-
-def fit_encoder(df: DataFrame, cols: list[str]) -> PipelineModel:
-    """Levels of any number, NULL among them, to a sparse vector ``<column>_onehot`` per column.
-
-    Apply it with ``encode_levels``; an unseen level takes the extra last position.
-    """
-    names = [f"_{c}_level" for c in cols]
-    indexer = StringIndexer(inputCols=names, outputCols=[f"_{c}_index" for c in cols], stringOrderType="alphabetAsc", handleInvalid="keep")
-    encoder = OneHotEncoder(inputCols=[f"_{c}_index" for c in cols], outputCols=[f"{c}_onehot" for c in cols], dropLast=False)
-    return Pipeline(stages=[indexer, encoder]).fit(df.select(*(_level(c).alias(n) for c, n in zip(cols, names))))
-
-
-def encode_levels(df: DataFrame, encoder: PipelineModel, cols: list[str]) -> DataFrame:
-    """Add the fitted encoder's vectors; it is saved and loaded as any MLlib pipeline."""
-    leveled = df.withColumns({f"_{c}_level": _level(c) for c in cols})
-    return encoder.transform(leveled).select(*df.columns, *(f"{c}_onehot" for c in cols))
-
-
 def one_hot(df: DataFrame, levels: dict[str, list[str | None]]) -> DataFrame:
     """One 0/1 column ``<column>_<level>`` per fitted level; unseen levels are all 0."""
     cols = []

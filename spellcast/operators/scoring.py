@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,17 +63,21 @@ def tier_rank(category: Column) -> Column:
 def call_order(scored: DataFrame, key: list[str], category: str = "opt_in_category", prob: str = "opt_in_probability") -> DataFrame:
     """Number the rows by tier, then descending score, over all rows and within the tier.
 
-    One global numbering serves both: the rank in a tier is the global rank less the rows
-    of the tiers before it (five rows). Rows without a score come last in their tier.
+    Only tier, score and key are sorted and numbered; the numbers are then joined to the rows by
+    the unique key (NULL equals NULL). ``scored`` is read twice, so pass rows that are stored when
+    they are dear to compute. One global numbering serves both orders: the rank in a tier is the
+    global rank less the rows of the tiers before it (five rows). Rows without a score come last
+    in their tier.
     """
-    order = [tier_rank(F.col(category)), known_score(F.col(prob)).desc_nulls_last(), *key]
-    numbered = with_row_number(scored, order, "call_target_order")
-    sizes = numbered.groupBy(category).agg(F.min("call_target_order").alias("_first"))
-    return (
-        numbered.join(F.broadcast(sizes), category)
-        .withColumn("opt_in_order_within_category", F.col("call_target_order") - F.col("_first") + 1)
-        .drop("_first")
+    narrow = scored.select(F.col(category).alias("_tier"), known_score(F.col(prob)).alias("_score"), *(F.col(k).alias(f"_{k}") for k in key))
+    own = [f"_{k}" for k in key]
+    numbered = with_row_number(narrow, [tier_rank(F.col("_tier")), F.col("_score").desc_nulls_last(), *own], "call_target_order")
+    firsts = numbered.groupBy(F.col("_tier").alias("_of")).agg(F.min("call_target_order").alias("_first"))
+    ranks = numbered.join(F.broadcast(firsts), F.col("_tier").eqNullSafe(F.col("_of"))).select(
+        *own, "call_target_order", (F.col("call_target_order") - F.col("_first") + 1).alias("opt_in_order_within_category")
     )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(key, own)])
+    return scored.join(ranks, same).drop(*own)
 
 
 def campaign_flag(category: Column) -> Column:

@@ -11,11 +11,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, StandardScaler, StandardScalerModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spellcast.operators import levels
 from spellcast.operators.evaluate import auc_ap, score_table
 from spellcast.operators.sampling import SEED, stratified_split, with_weights
 from spellcast.session import checkpointed
@@ -68,21 +69,37 @@ class Fitted:
     error: str | None = None
 
 
-def _pipeline(family: Family, features: list[str], params: dict, rows: int, target: str) -> Pipeline:
-    inputs, stages = features, []
+def _pipeline(family: Family, features: list[str], params: dict, rows: int, target: str, encoder: levels.LevelEncoder | None = None) -> Pipeline:
+    """Preparation and classifier. Numbers come first in the model's vector, then the levels.
+
+    The sparse vectors of levels are scaled without centring, which would fill them; the model is
+    the same, as its intercept takes up the difference.
+    """
+    coded = encoder.vectors if encoder else []
+    numbers, coded = [f for f in features if f not in coded], [f for f in coded if f in features]
+    stages = [VectorSizeHint(inputCol=f, size=n, handleInvalid="optimistic") for f, n in (encoder.widths(coded) if encoder else [])]
     if family.scaled:  # these models have no place for missing values: the training median stands in
-        inputs = [f"_filled_{f}" for f in features]
-        stages.append(Imputer(inputCols=features, outputCols=inputs, strategy="median"))
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_raw", handleInvalid="keep"))
-    column = "_raw"
-    if family.scaled:
-        stages.append(StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True))
-        column = "_scaled"
+        filled = [f"_filled_{f}" for f in numbers]
+        stages += [
+            Imputer(inputCols=numbers, outputCols=filled, strategy="median"),
+            VectorAssembler(inputCols=filled, outputCol="_numbers", handleInvalid="keep"),
+            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
+        ]
+        parts = ["_scaled"]
+        if coded:
+            stages += [
+                VectorAssembler(inputCols=coded, outputCol="_levels"),
+                StandardScaler(inputCol="_levels", outputCol="_scaled_levels", withMean=False, withStd=True),
+            ]
+            parts.append("_scaled_levels")
+    else:
+        parts = numbers + coded
+    stages.append(VectorAssembler(inputCols=parts, outputCol="_inputs", handleInvalid="keep"))
     clf = family.make()
     settings = {k: v for k, v in params.items() if k != "C"}
     if "C" in params:
         settings["regParam"] = 1.0 / (params["C"] * max(rows, 1))
-    settings |= {"featuresCol": column, "labelCol": target}
+    settings |= {"featuresCol": "_inputs", "labelCol": target}
     if family.weights:
         settings["weightCol"] = "weight"
     if family.validated and "is_validation" in params.get("_columns", ()):
@@ -92,6 +109,11 @@ def _pipeline(family: Family, features: list[str], params: dict, rows: int, targ
     return Pipeline(stages=[*stages, clf])
 
 
+def scalers(model: PipelineModel) -> list[StandardScalerModel]:
+    """The scalers of numbers and of levels, in that order, where the family has them."""
+    return [stage for stage in model.stages if isinstance(stage, StandardScalerModel)]
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "prob") -> DataFrame:
     """Add the probability of the positive class, NULL where there is none, and drop working columns."""
     prob = vector_to_array("probability")[1]
@@ -113,15 +135,19 @@ def grid_points(grid: dict[str, list], n_iter: int, seed: int = SEED) -> list[di
 
 def tune(
     name: str, train: DataFrame, features: list[str], target: str, key: list[str],
-    val: DataFrame | None = None, overrides: dict | None = None,
+    val: DataFrame | None = None, overrides: dict | None = None, encoder: levels.LevelEncoder | None = None,
 ) -> Fitted:
     """Random search on one stratified 80/20 split by average precision, then a full refit.
 
+    ``encoder`` tells which features are vectors of levels; they stand after the others.
+
     ``overrides`` replaces grid entries (``{param: [values]}``). Falls back to the base
     model when the search fails. The training columns, read by every fit, are materialised
     once; with undersampling they are a small part of the data.
     """
     family = FAMILIES[name]
+    if encoder:
+        features = [f for f in features if f not in encoder.vectors] + [f for f in encoder.vectors if f in features]
     out = Fitted(name, features)
     grid = family.grid | (overrides or {})
     train = train.select(*key, *features, target)
@@ -145,29 +171,29 @@ def tune(
             fit_rows, test_rows = marked.where(~F.col("is_test")), marked.where("is_test")
             for point in points:
                 t0 = time.time()
-                model = _pipeline(family, features, point, rows, target).fit(fit_rows)
+                model = _pipeline(family, features, point, rows, target, encoder).fit(fit_rows)
                 seconds = time.time() - t0
                 score = average_precision(model, test_rows, target)
                 out.log.append({"params": point, "pr_auc_score": score, "train_time_s": seconds})
             out.params = max(out.log, key=lambda r: r["pr_auc_score"])["params"]
         elif points:
             out.params = points[0]
-        out.model = _pipeline(family, features, out.params | extra, rows, target).fit(full)
+        out.model = _pipeline(family, features, out.params | extra, rows, target, encoder).fit(full)
     except Exception as e:  # the search failed: plain fit with default parameters
         out.error, out.params, out.log = str(e), {}, []
-        out.model = _pipeline(family, features, {}, rows, target).fit(train)
+        out.model = _pipeline(family, features, {}, rows, target, encoder).fit(train)
     return out
 
 
 def fit_all(
     names: list[str], train: DataFrame, features: list[str], target: str, key: list[str],
-    val: DataFrame | None = None, overrides: dict[str, dict] | None = None,
+    val: DataFrame | None = None, overrides: dict[str, dict] | None = None, encoder: levels.LevelEncoder | None = None,
 ) -> dict[str, Fitted]:
     """Fit each family; one failure does not stop the others."""
     fitted = {}
     for name in names:
         try:
-            fitted[name] = tune(name, train, features, target, key, val, (overrides or {}).get(name))
+            fitted[name] = tune(name, train, features, target, key, val, (overrides or {}).get(name), encoder)
         except Exception as e:
             fitted[name] = Fitted(name, features, error=str(e))
     return fitted
@@ -185,17 +211,18 @@ def tuning_log(spark: SparkSession, fitted: Fitted, head: int | None = None) ->
     return df.limit(head) if head else df
 
 
-def feature_importance(spark: SparkSession, fitted: Fitted) -> DataFrame:
-    """Tree gain or absolute coefficient per feature, largest first."""
+def feature_importance(spark: SparkSession, fitted: Fitted, encoder: levels.LevelEncoder | None = None) -> DataFrame:
+    """Tree gain or absolute coefficient per feature, and per level of an encoded column, largest first."""
     clf = fitted.model.stages[-1]
+    encoder = encoder or levels.fit_encoder(spark.range(0), [])
     if hasattr(clf, "featureImportances"):
         values = clf.featureImportances.toArray()
     elif hasattr(clf, "coefficients"):
         values = abs(clf.coefficients.toArray())
     else:
-        values = [0.0] * len(fitted.features)
-    rows = [(fitted.name, f, float(v)) for f, v in zip(fitted.features, values)]
-    return spark.createDataFrame(rows, "model string, feature string, importance double").orderBy(
+        values = [0.0] * sum(width for _, width in encoder.widths(fitted.features))
+    named = levels.named_positions(encoder, fitted.features, values, spark)
+    return named.select(F.lit(fitted.name).alias("model"), "feature", F.col("value").alias("importance")).orderBy(
         F.desc("importance"), "feature"
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from spellcast.operators import binning, contributions, sampling, scoring, selection, train
+from spellcast.operators import binning, contributions, levels, sampling, scoring, selection, train
 from spellcast.operators import evaluate as ev
 from spellcast.plans.evaluation_queries import TRAIN_END, VAL_END, rounded
 from spellcast.plans.registry import query
@@ -49,8 +49,7 @@ def tree_bins(spark, sf_dir):
 @query
 def one_hot(spark, sf_dir):
     df = binned(spark, sf_dir).select("row_id", "segment", "taxonomygeneral")
-    levels = binning.fit_levels(df, ["segment", "taxonomygeneral"])
-    return binning.one_hot(df, levels)
+    return binning.one_hot(df, binning.fit_levels(df, ["segment", "taxonomygeneral"]))
 
 
 @query
@@ -58,7 +57,7 @@ def one_hot_table(spark, sf_dir):
     """Rows and encoded positions per level of two columns."""
     cols = ["segment", "taxonomygeneral"]
     df = binned(spark, sf_dir).select(*cols)
-    coded = binning.encode_levels(df, binning.fit_encoder(df, cols), cols)
+    coded = levels.fit_encoder(df, cols).transform(df)
     cells = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("level"), F.array_position(vector_to_array(f"{c}_onehot"), 1.0).alias("position"))
         for c in cols
@@ -66,6 +65,21 @@ def one_hot_table(spark, sf_dir):
     return coded.select(F.inline(F.array(*cells))).groupBy("column_name", "level", "position").agg(F.count("*").alias("n"))
 
 
+@query
+def level_dictionary(spark, sf_dir):
+    """Levels, rows and positions of three columns, one of them with a level for every few rows."""
+    df = binned(spark, sf_dir).withColumn("cell", F.nullif(F.concat_ws("-", "state", "cycle"), F.lit("CHINA-7")))
+    return levels.fit_dictionary(df, ["segment", "taxonomygeneral", "cell"])
+
+
+@query
+def level_positions(spark, sf_dir):
+    """The position of every row's level, fitted on the training split; unseen levels come last."""
+    df = binned(spark, sf_dir).withColumn("cell", F.concat_ws("-", "state", "cycle", "segment"))
+    encoder = levels.fit_encoder(df.where(is_train() & (F.col("cycle") > 3)), ["cell"])
+    return encoder.transform(df).select("row_id", F.col("cell_index").cast("long").alias("position"))
+
+
 @query
 def undersample(spark, sf_dir):
     """Training rows at two negatives per positive."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spellcast.config import ROW_KEY, Settings
 from spellcast.functions import features as fx
-from spellcast.operators import binning, quality, sampling, train
+from spellcast.operators import binning, levels, quality, sampling, train
 from spellcast.operators import evaluate as ev
 from spellcast.session import checkpointed
 from spellcast.sources import io
@@ -37,8 +37,9 @@ class RetrainConfig:
 class RetrainResult:
     splits: DataFrame
     checks: dict[str, DataFrame]
+    encoded: DataFrame
     binners: dict[str, binning.Binner]
-    levels: dict[str, list[str | None]]
+    encoder: levels.LevelEncoder
     features: list[str]
     fitted: dict[str, train.Fitted]
     scored: DataFrame
@@ -48,8 +49,28 @@ class RetrainResult:
     metadata: dict
 
 
+def unique_rows(rows: DataFrame, key: list[str] = ROW_KEY) -> DataFrame:
+    """``rows`` without exact repeats; different rows of one key are an error.
+
+    Keys are counted first, on narrow rows; whole rows are only compared where a key repeats.
+    """
+    repeated = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return rows
+    once = rows.dropDuplicates()
+    left = once.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").first()
+    if left is not None:
+        raise ValueError(f"different rows with the key {left.asDict()}")
+    return once
+
+
 def prepare(rows: DataFrame, s: Settings, cfg: RetrainConfig) -> DataFrame:
-    """Filter, fill, engineer and split the training table."""
+    """Filter, fill, engineer and split the training table.
+
+    Rows whose payer-sponsored flag is unknown are not trained on; scoring keeps them
+    (``score.prepare_retrained``).
+    """
+    rows = unique_rows(rows)
     df = fx.engineer(fx.fill_and_filter(rows, cfg.time_col), s.focus_payer, cfg.time_col)
     fx.require_columns(df, [cfg.date_col, cfg.target], "training table")
     return ev.date_split(df, cfg.date_col, cfg.train_end, cfg.val_end)
@@ -71,7 +92,7 @@ def drift_checks(df: DataFrame, cfg: RetrainConfig) -> dict[str, DataFrame]:
 
 
 def fit_encoders(df: DataFrame, cfg: RetrainConfig):
-    """Fit binners and one-hot levels on the training split and apply them to all rows."""
+    """Fit binners and level dictionaries on the training split and apply them to all rows."""
     training = df.where(F.col("split") == "train")
     binners = {}
     for col, n in cfg.binned:
@@ -81,10 +102,11 @@ def fit_encoders(df: DataFrame, cfg: RetrainConfig):
     keep = ROW_KEY + ["split", cfg.target, cfg.time_col]
     selected = fx.select_available(df, keep + [f for f in fx.SELECTED_FEATURES if f not in keep])
     cats = binning.categorical_columns(selected, keep)
-    levels = binning.fit_levels(selected.where(F.col("split") == "train"), cats)
-    encoded = binning.one_hot(selected, levels)
-    ids = set(ROW_KEY) | {"split", cfg.target}
-    return binners, levels, encoded, [c for c in encoded.columns if c not in ids]
+    encoder = levels.fit_encoder(selected.where(F.col("split") == "train"), cats)
+    encoded = encoder.transform(selected)
+    ids = set(ROW_KEY) | {"split", cfg.target, *cats}
+    numbers = [c for c in selected.columns if c not in ids]
+    return binners, encoder, encoded, numbers + encoder.vectors
 
 
 def evaluate(df: DataFrame, fitted: dict[str, train.Fitted], cfg: RetrainConfig):
@@ -134,7 +156,7 @@ def evaluate(df: DataFrame, fitted: dict[str, train.Fitted], cfg: RetrainConfig)
 def retrain(rows: DataFrame, s: Settings, cfg: RetrainConfig, with_checks: bool = True) -> RetrainResult:
     df = checkpointed(prepare(rows, s, cfg))
     checks = drift_checks(df, cfg) if with_checks else {}
-    binners, levels, encoded, features = fit_encoders(df, cfg)
+    binners, encoder, encoded, features = fit_encoders(df, cfg)
     encoded = checkpointed(encoded)
     training = encoded.where(F.col("split") == "train")
     if cfg.undersample_ratio is not None:
@@ -142,7 +164,7 @@ def retrain(rows: DataFrame, s: Settings, cfg: RetrainConfig, with_checks: bool
     training = checkpointed(training)
     fitted = train.fit_all(
         list(cfg.models), training, features, cfg.target, ROW_KEY,
-        encoded.where(F.col("split") == "val"), cfg.overrides,
+        encoded.where(F.col("split") == "val"), cfg.overrides, encoder,
     )
     scored, tables, age, board = evaluate(encoded, fitted, cfg)
     metadata = train.selection_metadata(
@@ -150,38 +172,41 @@ def retrain(rows: DataFrame, s: Settings, cfg: RetrainConfig, with_checks: bool
         sampling.imbalance_ratio(training, cfg.target), cfg.undersample_ratio, io.run_stamp(),
     )
     return RetrainResult(
-        ev.split_summary(df, cfg.date_col), checks, binners, levels, features, fitted, scored, tables, age, board, metadata
+        ev.split_summary(df, cfg.date_col), checks, encoded, binners, encoder, features, fitted, scored, tables, age, board, metadata
     )
 
 
-def store_encoders(spark: SparkSession, binners: dict[str, binning.Binner], levels: dict[str, list[str | None]], path: str) -> None:
-    """Write the fitted binners and levels: rate maps as tables, the rest as one document."""
+def store_encoders(spark: SparkSession, binners: dict[str, binning.Binner], encoder: levels.LevelEncoder, path: str) -> None:
+    """Write the fitted binners and dictionary: rate maps and levels as tables, the rest as documents."""
     for col, b in binners.items():
         b.rates.select(col, "rate").write.mode("overwrite").parquet(f"{path}/rates/{col}")
     fitted = {c: {"mean": b.mean, "thresholds": b.thresholds, "bin_of_leaf": b.bin_of_leaf} for c, b in binners.items()}
-    io.write_json(spark, {"binners": fitted, "levels": levels}, f"{path}/settings")
+    io.write_json(spark, {"binners": fitted}, f"{path}/settings")
+    encoder.store(f"{path}/levels")
 
 
-def load_encoders(spark: SparkSession, path: str) -> tuple[dict[str, binning.Binner], dict[str, list[str | None]]]:
-    """The binners and levels that ``store_encoders`` wrote."""
+def load_encoders(spark: SparkSession, path: str) -> tuple[dict[str, binning.Binner], levels.LevelEncoder]:
+    """The binners and the dictionary that ``store_encoders`` wrote."""
     settings = io.read_json(spark, f"{path}/settings")
     binners = {
         col: binning.Binner(col, b["mean"], spark.read.parquet(f"{path}/rates/{col}"), tuple(b["thresholds"]), tuple(b["bin_of_leaf"]))
         for col, b in settings["binners"].items()
     }
-    return binners, settings["levels"]
+    return binners, levels.load_encoder(spark, f"{path}/levels")
 
 
 def store(spark: SparkSession, result: RetrainResult, catalog: io.Catalog, stamp: str) -> None:
-    """Write models, encoders, checks, tuning logs, importances, result tables and metadata of a run."""
-    store_encoders(spark, result.binners, result.levels, f"{catalog.path('models')}/{catalog.project}__encoders__{stamp}")
+    """Write splits, models, encoders, checks, logs, importances, result tables and metadata of a run."""
+    for split in ("train", "val", "oos"):
+        io.write_run(result.encoded.where(F.col("split") == split), catalog.path(f"preprocessed_{split}"), stamp, sort_by=["date_end"])
+    store_encoders(spark, result.binners, result.encoder, f"{catalog.path('models')}/{catalog.project}__encoders__{stamp}")
     results = catalog.path("results")
     for other, checks in result.checks.items():
         io.write_run(checks, f"{results}/checks_{other}", stamp)
     done = [f for f in result.fitted.values() if f.model is not None]
-    for name, table in (("tuning_log", train.tuning_log), ("feature_importance", train.feature_importance)):
-        for f in done:
-            io.write_run(table(spark, f), f"{results}/{name}/{f.name}", stamp)
+    for f in done:
+        io.write_run(train.tuning_log(spark, f), f"{results}/tuning_log/{f.name}", stamp)
+        io.write_run(train.feature_importance(spark, f, result.encoder), f"{results}/feature_importance/{f.name}", stamp)
     for name, f in result.fitted.items():
         if f.model is not None:
             path = f"{catalog.path('models')}/{catalog.project}__{name}__{stamp}"

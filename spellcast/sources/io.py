@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,12 +61,6 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixed) if fixed else df
 
 
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    if df.isEmpty():
-        raise FileNotFoundError(f"no rows in {what}")
-    return df
-
-
 # --- newest artifacts ---------------------------------------------------------------------
 
 
@@ -141,8 +136,75 @@ def latest_run(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFram
     return reader.load(f"{base.rstrip('/')}/run_ts={stamp}")
 
 
-def write_output(df: DataFrame, table: str) -> int:
-    """Overwrite the output table: names in upper case, non-atomic types as text. Returns rows."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system Spark reads it from."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def publish(df: DataFrame, table: str, base: str | None = None) -> int:
+    """Replace the rows of ``table`` in one step, or leave it as it was. Returns the rows.
+
+    The rows are staged in a folder of their own under ``base`` (the warehouse by default), counted
+    while they are written and again from the files, and compared in schema. Only then is the table
+    pointed at them: by its location where the columns stay the same, else by giving its name to a new
+    table, which is undone if it fails. Readers see the former or the new rows; a run that fails leaves
+    the former ones, and its staged folder is deleted. Former folders stay until ``drop_former``.
+    """
+    spark = df.sparkSession
+    run = f"{run_stamp()}_{uuid.uuid4().hex[:8]}"
+    path = f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{table}__runs/{run}"
+    written = Observation()
+    try:
+        df.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        staged = spark.read.parquet(path)
+        n = staged.count()
+        if n != written.get["n"] or [(f.name, f.dataType) for f in staged.schema] != [(f.name, f.dataType) for f in df.schema]:
+            raise RuntimeError(f"staged rows of {table} differ from those written")
+        _switch(spark, table, staged, path, run)
+    except Exception:
+        delete_path(spark, path)
+        raise
+    return n
+
+
+def _switch(spark: SparkSession, table: str, staged: DataFrame, path: str, run: str) -> None:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in staged.schema)
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
+    elif [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in staged.schema]:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:
+        new, old = f"{table}__new_{run}", f"{table}__old_{run}"
+        spark.sql(f"CREATE TABLE {new} ({columns}) USING parquet LOCATION '{path}'")
+        try:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+            try:
+                spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+            except Exception:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+                raise
+        except Exception:
+            spark.sql(f"DROP TABLE {new}")
+            raise
+        spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(table)
+
+
+def drop_former(spark: SparkSession, table: str, base: str | None = None) -> int:
+    """Delete the folders of earlier ``publish`` runs of ``table``; returns how many."""
+    root = f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/{table}__runs"
+    live = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first().data_type.rstrip("/").rsplit("/", 1)[-1]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    former = [n for n in names if n != live]
+    for name in former:
+        delete_path(spark, f"{root}/{name}")
+    return len(former)
+
+
+def write_output(df: DataFrame, table: str, base: str | None = None) -> int:
+    """Publish the output table: names in upper case, non-atomic types as text. Returns rows."""
     atomic = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.StringType)
     cols = [
         F.col(f.name).alias(f.name.upper())
@@ -150,8 +212,7 @@ def write_output(df: DataFrame, table: str) -> int:
         else F.col(f.name).cast("string").alias(f.name.upper())
         for f in df.schema
     ]
-    df.select(*cols).write.mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table).count()
+    return publish(df.select(*cols), table, base)
 
 
 def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], object], fallback_path: str) -> bool:

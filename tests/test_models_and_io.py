@@ -200,14 +200,78 @@ def test_tree_contributions_equal_brute_force(spark):
             assert all(abs(value([r.a, r.b, r.c], {0, 1, 2}) - probs[r.id]) < 1e-9 for r in got)
 
 
-def test_encoder_takes_any_number_of_levels(spark):
-    df = spark.range(5000).selectExpr("cast(id as string) k").unionByName(spark.createDataFrame([(None,)], "k string"))
+def test_levels_are_positions_and_unseen_ones_are_all_zero(spark):
     from pyspark.ml.functions import vector_to_array
-    from pyspark.sql import functions as F
 
-    coded = binning.encode_levels(df, binning.fit_encoder(df, ["k"]), ["k"])
-    places = coded.select(F.array_position(vector_to_array("k_onehot"), 1.0).alias("p"))
-    assert places.distinct().count() == 5001 and places.filter("p between 1 and 5001").count() == 5001
+    from spellcast.operators import levels
+
+    df = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "y"), ("a", None)], "k string, m string")
+    encoder = levels.fit_encoder(df, ["k", "m"])
+    assert encoder.sizes == {"k": 3, "m": 3}
+    new = spark.createDataFrame([("z", "x"), ("a", "q"), (None, None)], "k string, m string")
+    got = [tuple(r) for r in encoder.transform(new).select("k_index", vector_to_array("k_onehot"), vector_to_array("m_onehot")).collect()]
+    assert sorted(got) == sorted([(3.0, [0, 0, 0], [1, 0, 0]), (0.0, [1, 0, 0], [0, 0, 0]), (2.0, [0, 0, 1], [0, 0, 1])])
+    none = levels.fit_encoder(df.where("false"), ["k"])
+    assert none.sizes == {"k": 0} and none.transform(new).select(F.sum("k_index")).first()[0] == 3
+
+
+def test_200000_levels_fit_store_load_and_score(spark, tmp_path):
+    """A column with a level for nearly every row: dictionary, sparse vectors, a linear model and its drivers."""
+    from spellcast.operators import contributions, levels, scoring, train
+
+    n = 200_000
+    df = spark.range(n + 20_000).select(
+        "id", F.when(F.col("id") >= n, "hot").otherwise(F.concat(F.lit("v"), "id")).alias("k"), (F.col("id") % 7).cast("double").alias("x"),
+        ((F.col("id") % 7 > 3) | (F.col("id") >= n)).cast("int").alias("y"),
+    )
+    encoder = levels.fit_encoder(df, ["k"])
+    assert encoder.sizes == {"k": n + 1}
+    plan = encoder.index(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and len(plan) < 20_000  # no level is part of the plan
+    coded = encoder.transform(df)
+    fitted = train.tune("LogisticRegression", coded, ["x", "k_onehot"], "y", ["id"], None, {"C": [1.0]}, encoder)
+    assert fitted.error is None and fitted.features == ["x", "k_onehot"]
+    encoder.store(str(tmp_path / "levels"))
+    again = levels.load_encoder(spark, str(tmp_path / "levels"))
+    new = spark.createDataFrame([(1, "v5", 0.0), (2, "hot", 0.0), (3, "unseen", 0.0), (4, "unseen", 6.0)], "id long, k string, x double")
+    scored = train.predict(fitted.model, again.transform(new))
+    prob = {r.id: r.prob for r in scored.collect()}
+    assert prob[2] > prob[3] and prob[4] > prob[3]
+    out = scoring.top_drivers(contributions.linear_contributions(scored, fitted.model, fitted.features, again))
+    top = {r.id: (r.optindriver_1, r.optindriver_2) for r in out.collect()}
+    assert top[2][0] == "k_hot" and top[4][0] == "x"
+    importance = train.feature_importance(spark, fitted, again).limit(2).collect()
+    assert {r.feature for r in importance} == {"x", "k_hot"}
+
+
+def test_sparse_levels_give_the_model_of_widened_ones(spark):
+    """Scaled without centring, the vectors lead to the same probabilities and drivers as 0/1 columns."""
+    from spellcast.operators import contributions, levels, scoring, train
+
+    rows = [(i, "abcd"[(i * i) % 4 if i % 9 else 3], float(i * 7 % 23), int((i * 31) % 11 < 3 + i % 4)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, k string, x double, y int")
+    encoder = levels.fit_encoder(df, ["k"])
+    sparse = train.tune("LogisticRegression", encoder.transform(df), ["x", "k_onehot"], "y", ["id"], None, {"C": [0.5]}, encoder)
+    wide_rows = binning.one_hot(df, binning.fit_levels(df, ["k"]))
+    names = [c for c in wide_rows.columns if c not in ("id", "y")]
+    wide = train.tune("LogisticRegression", wide_rows, names, "y", ["id"], None, {"C": [0.5]})
+    assert sparse.error is None and wide.error is None
+    a = {r.id: r.prob for r in train.predict(sparse.model, encoder.transform(df)).collect()}
+    b = {r.id: r.prob for r in train.predict(wide.model, wide_rows).collect()}
+    assert max(abs(a[i] - b[i]) for i in a) < 1e-4
+    none = levels.fit_encoder(df, [])
+    one = {r.id: {c.feature: c.contribution for c in r.contributions} for r in contributions.linear_contributions(encoder.transform(df), sparse.model, sparse.features, encoder).collect()}
+    two = {r.id: {c.feature: c.contribution for c in r.contributions} for r in contributions.linear_contributions(wide_rows, wide.model, names, none).collect()}
+    assert all(set(one[i]) == set(two[i]) and max(abs(one[i][f] - two[i][f]) for f in one[i]) < 1e-3 for i in one)
+    tree = train.tune("DecisionTreeClassifier", encoder.transform(df), ["x", "k_onehot"], "y", ["id"], None, {"maxDepth": [4], "minInstancesPerNode": [5]}, encoder)
+    leaves = contributions.tree_leaves(tree.model)
+    got = contributions.tree_contributions(encoder.transform(df), tree.model, tree.features, encoder)
+    base = sum(leaf.value * float(np.prod([share for *_, share in leaf.path])) for leaf in leaves)
+    probs = {r.id: r.prob for r in train.predict(tree.model, encoder.transform(df)).collect()}
+    for r in got.collect():
+        assert {c.feature for c in r.contributions} <= {"x", "k_a", "k_b", "k_c", "k_d"}
+        assert abs(sum(c.contribution for c in r.contributions) + base - probs[r.id]) < 1e-9
+    assert len(scoring.top_drivers(got).first().asDict()) > 10
 
 
 def test_two_documents_are_an_error(spark, tmp_path):
@@ -241,3 +305,73 @@ def test_checks_report_a_retyped_column(spark):
     b = spark.createDataFrame([(1, "one", "a", "x"), (2, "two", "b", "y")], "id long, v string, c string, t string")
     got = {r.check_name: r for r in quality.run_all_checks(a, b, ["id"], ["v"], ["c"], ["t"]).collect()}
     assert got["Data Type Check"].status == "FAIL" and got["Unique Value Check"].checked > 0
+
+
+def test_publish_leaves_the_former_rows_when_a_run_fails(spark, tmp_path):
+    base, table = str(tmp_path), "published_rows"
+    runs = tmp_path / f"{table}__runs"
+    assert io.publish(spark.range(3).toDF("id"), table, base) == 3
+    assert io.publish(spark.range(5).toDF("id"), table, base) == 5 and spark.table(table).count() == 5
+    broken = spark.range(40).select(F.when(F.col("id") == 39, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        io.publish(broken.repartition(4), table, base)
+    assert sorted(r.id for r in spark.table(table).collect()) == [0, 1, 2, 3, 4]
+    assert len(list(runs.iterdir())) == 2
+    # Other columns: the name goes to a new table.
+    assert io.write_output(spark.range(2).select("id", F.array("id").alias("several")), table, base) == 2
+    assert [tuple(r) for r in spark.table(table).orderBy("ID").collect()] == [(0, "[0]"), (1, "[1]")]
+    assert [t.name for t in spark.catalog.listTables() if table in t.name] == [table]
+    assert io.drop_former(spark, table, base) == 2 and spark.table(table).count() == 2
+    assert io.publish(spark.range(0).toDF("id"), table, base) == 0 and spark.table(table).count() == 0
+    spark.sql(f"DROP TABLE {table}")
+
+
+def quantile_rows(spark):
+    rng = np.random.default_rng(3)
+    groups = {
+        "a": rng.normal(size=20_000), "b": np.repeat([1.0, 2.0, 2.0, 7.0], 3_000), "c": np.array([5.0]), "d": np.array([1.0, 2.0]),
+        "e": np.concatenate([np.zeros(9_000), rng.integers(-5, 5, 9_000)]), "f": np.array([]), "g": rng.uniform(size=3_001) ** 9,
+    }
+    rows = [(k, float(x)) for k, xs in groups.items() for x in xs] + [(k, None) for k in groups] + [("a", float("nan"))] * 7
+    return groups, spark.createDataFrame(rows, "k string, v double").repartition(5)
+
+
+PROBS = {"p00": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p999": 0.999, "p100": 1.0}
+
+
+@pytest.mark.parametrize("close", [2_000_000, 400, 1])
+def test_quantiles_by_sketch_are_exact(spark, monkeypatch, close):
+    from spellcast.operators import ranking
+
+    sorts = []
+    monkeypatch.setattr(ranking, "CLOSE_VALUES", close)
+    plain = ranking.sorted_quantiles
+    monkeypatch.setattr(ranking, "sorted_quantiles", lambda *a: sorts.append(a) or plain(*a))
+    groups, df = quantile_rows(spark)
+    got = {r.k: [r[p] for p in PROBS] for r in ranking.exact_quantiles(df, ["k"], "v", PROBS).collect()}
+    assert set(got) == {k for k, xs in groups.items() if len(xs)} and not sorts
+    for k, values in got.items():
+        assert np.allclose(values, np.quantile(groups[k], list(PROBS.values())), rtol=0, atol=1e-12)
+
+
+def test_ranks_outside_their_fences_are_found_by_sorting(spark, monkeypatch):
+    from spellcast.operators import ranking
+
+    monkeypatch.setattr(ranking, "SKETCH_K", 8)
+    monkeypatch.setattr(ranking, "SKETCH_ERROR", 0.0)
+    groups, df = quantile_rows(spark)
+    got = {r.k: [r[p] for p in PROBS] for r in ranking.exact_quantiles(df, ["k"], "v", PROBS).collect()}
+    for k, values in got.items():
+        assert np.allclose(values, np.quantile(groups[k], list(PROBS.values())), rtol=0, atol=1e-12)
+
+
+def test_outlier_check_does_not_sort_the_values(spark, monkeypatch):
+    from spellcast.operators import ranking
+
+    plans = []
+    plain = ranking.checkpointed
+    monkeypatch.setattr(ranking, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    df = spark.range(1000).select(F.when(F.col("id") < 600, "train").otherwise("cmp").alias("dataset"), F.col("id").cast("double").alias("v"))
+    row = quality.outlier_check(df, ["v"]).first()
+    assert abs(row.lower - (59.9 - 1.5 * 479.2)) < 1e-9 and plans
+    assert not any("rangepartitioning" in p for p in plans)

@@ -63,28 +63,67 @@ def test_retrain_and_score(spark, table, tmp_path):
         models=("LogisticRegression", "DecisionTreeClassifier"), n_bins=(10, 20), min_bin_rows=100,
         overrides={"LogisticRegression": {"C": [1.0]}, "DecisionTreeClassifier": {"maxDepth": [3], "minInstancesPerNode": [20]}},
     )
-    result = retrain.retrain(table.rows, FIXTURE_SETTINGS, cfg, with_checks=False)
+    result = retrain.retrain(table.rows, FIXTURE_SETTINGS, cfg)
     assert all(f.model is not None and f.error is None for f in result.fitted.values())
+    assert {"providertype", "segment"} <= set(result.encoder.sizes) and not set(result.encoder.sizes) & set(result.features)
     board = result.leaderboard.toPandas()
     assert len(board) == 6 and set(board.model_rank) == {1, 2}
-    catalog = io.Catalog(str(tmp_path))
-    retrain.store(spark, result, catalog, "20240101_000000")
-    path = f"{catalog.path('models')}/project__LogisticRegression__20240101_000000"
+    assert set(result.checks) == {"val", "oos"}
+    catalog, stamp = io.Catalog(str(tmp_path)), "20240101_000000"
+    retrain.store(spark, result, catalog, stamp)
+    path = f"{catalog.path('models')}/project__LogisticRegression__{stamp}"
     model, features = io.load_model(spark, path)
     assert features == result.features
-    for name in ("tuning_log/LogisticRegression", "feature_importance/DecisionTreeClassifier"):
-        assert io.latest_run(spark, f"{catalog.path('results')}/{name}") is not None
+    for name in ("tuning_log/LogisticRegression", "feature_importance/DecisionTreeClassifier", "checks_val", "checks_oos", "leaderboard"):
+        assert io.latest_run(spark, f"{catalog.path('results')}/{name}").count() > 0
+    sizes = [io.latest_run(spark, catalog.path(f"preprocessed_{split}")).count() for split in ("train", "val", "oos")]
+    assert all(sizes) and sum(sizes) == result.encoded.count()
     # The stored artifacts alone score new rows as the run itself did.
-    binners, levels = retrain.load_encoders(spark, f"{catalog.path('models')}/project__encoders__20240101_000000")
-    assert levels == result.levels and set(binners) == set(result.binners)
-    prepared = score.prepare_retrained(table.rows, FIXTURE_SETTINGS, binners, levels)
+    binners, encoder = retrain.load_encoders(spark, f"{catalog.path('models')}/project__encoders__{stamp}")
+    assert encoder.sizes == result.encoder.sizes and set(binners) == set(result.binners)
+    prepared = score.prepare_retrained(table.rows, FIXTURE_SETTINGS, binners, encoder)
     again = score.score(prepared, model, features, scoring.TIER_CUTOFFS["june"], scoring.DECILE_CUTOFFS["june"])
     ids = ["tin", "providerid", "date_start", "date_end"]
     before = result.scored.where(F.col("model") == "LogisticRegression").select(*ids, "prob")
     both = before.join(again.select(*ids, "opt_in_probability"), ids).withColumn("off", F.abs(F.col("prob") - F.col("opt_in_probability")))
     n, off = both.agg(F.count("*"), F.max("off")).first()
     assert n == before.count() and off < 1e-9
-    scored = result.scored.where(F.col("model") == "LogisticRegression").withColumnRenamed("prob", "opt_in_probability")
-    tiers = scored.withColumn("opt_in_category", scoring.tier(F.col("opt_in_probability"), scoring.TIER_CUTOFFS["june"]))
-    out = score.output(tiers, ["account_age"], ids)
-    assert out.columns[:4] == [c.upper() for c in ids] and out.count() == scored.count()
+
+    # A scoring run from a scan to the written rows, with a linear and a tree model.
+    table.rows.write.parquet(str(tmp_path / "new"))
+    rows = io.scan_since(spark, str(tmp_path / "new"), "date_end", dt.date(1999, 6, 1))
+    for name in ("LogisticRegression", "DecisionTreeClassifier"):
+        done = score.run(
+            spark, rows, FIXTURE_SETTINGS, catalog, name, stamp, scoring.TIER_CUTOFFS["june"], scoring.DECILE_CUTOFFS["june"], f"scored_{name.lower()}",
+            base=str(tmp_path / "out"),
+        )
+        out = spark.table(done.table)
+        assert out.count() == done.n > 0 and out.columns[:4] == [c.upper() for c in ids] and {"SEGMENT", "CALL_TARGET_ORDER", "OPTINDRIVER_1"} <= set(out.columns)
+        order = [r[0] for r in out.select("CALL_TARGET_ORDER").orderBy("CALL_TARGET_ORDER").collect()]
+        assert order == list(range(1, done.n + 1))
+        falling = out.orderBy("CALL_TARGET_ORDER").select("OPT_IN_PROBABILITY").toPandas().OPT_IN_PROBABILITY
+        assert falling.is_monotonic_decreasing
+        assert out.where("OPTINDRIVER_1 is not null").count() > 0
+        assert sum(r.n for r in done.tiers.collect()) == done.n
+        spark.sql(f"DROP TABLE {done.table}")
+
+
+def test_only_key_tier_and_score_are_numbered(spark, monkeypatch):
+    """The numbering stores narrow rows; the wide ones are joined to it."""
+    from spellcast.operators import ranking
+
+    stored = []
+    plain = ranking.checkpointed
+    monkeypatch.setattr(ranking, "checkpointed", lambda df: stored.append(df.columns) or plain(df))
+    df = spark.createDataFrame([(1, None, 0.5, "w"), (None, 2, 0.9, "x"), (1, 1, None, "y"), (None, None, 0.1, "z")], "a int, b int, opt_in_probability double, wide string")
+    df = df.withColumn("opt_in_category", scoring.tier(F.col("opt_in_probability"), scoring.TIER_CUTOFFS["june"]))
+    got = {r.wide: (r.call_target_order, r.opt_in_order_within_category) for r in scoring.call_order(df, ["a", "b"]).collect()}
+    assert got == {"x": (1, 1), "w": (2, 1), "z": (3, 1), "y": (4, 2)}
+    assert stored == [["_tier", "_score", "_a", "_b", "_at"]]
+
+
+def test_repeated_and_clashing_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    assert retrain.unique_rows(df, ["k"]).count() == 2
+    with pytest.raises(ValueError):
+        retrain.unique_rows(df.union(spark.createDataFrame([(2, "c")], "k int, v string")), ["k"])
