@@ -16,11 +16,13 @@ two of them lies a further band, a seam, so that two similar sets always share a
    too few, it is signed again with another hash, until it has enough or ``TRIES`` is reached, when
    it gives its empty signatures too. No pair is lost: under the first hash under which either set has
    enough, both are signed, and the set with more partitions is signed in all those of the other.
-4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Those with so many shingles that no other candidate has
-   that they can't reach the limit are set aside, in two passes. The others are compared with one leader
-   of each bucket, in rounds; in the end only members of different components of a bucket are compared.
-   Pairs are screened by bounds (sizes, shingles of their own, and counts of shingles by hash, which
-   bound the number of different ones from below) and confirmed by intersecting the full sets.
+4. Sets that share a signature are candidates; signatures with the same sets are one bucket. In two
+   rounds every bucket has one leader that its members in other components are compared with. Of the
+   buckets that then still hold several components, sets with so many shingles that no other one of
+   these has that they can't reach the limit are set aside, and the members outside a bucket's main
+   component are compared with its other components. Pairs are screened by bounds (sizes, shingles of
+   their own, and counts of shingles by hash, which bound the number of different ones from below) and
+   confirmed by intersecting the full sets.
 
 Equal sets collapse to one before anything is compared; no pairs within a component are made.
 
@@ -198,7 +200,7 @@ def wanted_filter(keys: DataFrame) -> np.ndarray:
 
 
 def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows (k1, k2, shingles, cells) of the texts that pass the filter: the set, its digests and its shingle counts by hash cell."""
+    """Rows (key, k1, k2, shingles, cells) of the texts that pass the filter: the set, its digests and its shingle counts by hash cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,23 +214,24 @@ def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
                 found = np.split(values, ends[:-1])
                 cells = [np.bincount((mixed(s, 3) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint64) for s in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)], names=["k1", "k2", "shingles", "cells"]
+                    [part.column("key").take(pa.array(passed)), pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)],
+                    names=["key", "k1", "k2", "shingles", "cells"],
                 )
 
-    placed = keyed.select(_filter_place(F.col("key")).alias("place"), "h")
-    return placed.mapInArrow(run, "k1 long, k2 long, shingles array<long>, cells array<long>")
+    placed = keyed.select("key", _filter_place(F.col("key")).alias("place"), "h")
+    return placed.mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
 
 
 def _able(sets: DataFrame) -> DataFrame:
-    """Sets (node, n, own) that can reach the limit with another one of ``sets``.
+    """Sets (node, own) that can reach the limit with another one of ``sets``.
 
     own counts the shingles that no other set has.
     """
     each = sets.select("node", F.explode("shingles").alias("shingle"))
     single = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).filter("sets = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    counted = sets.select("node", F.size("shingles").alias("n")).join(own, "node", "left")
-    return counted.select("node", "n", F.coalesce("own", F.lit(0)).alias("own")).filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n"))
+    counted = sets.select("node", F.size("shingles").alias("n")).join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    return counted.filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")).select("node", "own")
 
 
 def _may_link(n_a: Column, own_a: Column, cells_a: Column, n_b: Column, own_b: Column, cells_b: Column) -> Column:
@@ -284,21 +287,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     members = _buckets(keyed, nodes)
     wanted = distinct.join(members.select("node").distinct(), "node", "left_semi")
     full = shingled(keyed, wanted_filter(wanted.select("key")))
-    sets = checkpointed(full.join(wanted.select("k1", "k2", "node"), ["k1", "k2"]).dropDuplicates(["node"]).select("node", "shingles", "cells"))
-    for _ in range(2):  # the second pass counts without the sets that the first one left out
-        able = checkpointed(_able(sets))
-        sets = sets.join(able.select("node"), "node", "left_semi")
-    sets = checkpointed(sets)
-    facts = checkpointed(sets.select("node", "cells").join(able, "node"))
-    members = checkpointed(members.join(able, "node"))
+    same = ["key", "k1", "k2"]
+    sets = checkpointed(full.join(wanted.select(*same, "node"), same).dropDuplicates(same).select("node", "shingles", "cells"))
+    facts = checkpointed(sets.select("node", "cells", F.size("shingles").alias("n"), F.lit(0).alias("own")))
 
     # Texts of one document are linked, whatever they share.
     several = nodes.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     of_one = checkpointed(nodes.join(several, "key").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")))
-    start = able.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
+    start = facts.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
     labels = connect(checkpointed(start.select("node", F.col("node").alias("comp"))), of_one)
 
-    for order in (F.struct(F.col("own") / F.col("n"), "node"), F.xxhash64("node")):
+    for order in (F.col("node"), F.xxhash64("node")):
         placed = members.join(labels, "node")
         leaders = placed.groupBy("bucket").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
         apart = placed.join(leaders, "bucket").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
@@ -309,6 +308,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
     rest = checkpointed(placed.join(split.select("bucket", "main"), "bucket"))
+    able = checkpointed(_able(sets.join(rest.select("node").distinct(), "node", "left_semi")))
+    rest, facts = rest.join(able, "node"), facts.drop("own").join(able, "node")
     outside = rest.filter("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
     apart = outside.join(rest, "bucket").filter((F.col("comp_a") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node"))))
     labels = connect(labels, checkpointed(_links(apart.select("a", F.col("node").alias("b")).distinct(), facts, sets)))
