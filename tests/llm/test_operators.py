@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -253,11 +254,51 @@ def test_html_extraction_keeps_text_inside_marked_wrappers():
     assert html_extract.main_text(f"<nav>Menu<article>{body}</article>") == kept  # left open
     several = "".join(f"<div class='widget'><article><p>post {i}</p></article></div>" for i in range(5))
     assert html_extract.main_text(several) == "\n".join(f"post {i}" for i in range(5))
+    comments = "<div class='comments'><p>" + "long remarks " * 200 + "</p></div>"
     # What is beside the article or inside it is still dropped.
+    assert html_extract.main_text(f"<article>{body}{comments}</article>") == kept
     assert html_extract.main_text(f"<article>{body}<div class='comments'><article>no</article></div></article><form>q</form><div class='comments'><article>no</article></div>") == kept
     assert html_extract.main_text(f"{body}<aside><article>teaser</article></aside>") == kept
 
 
+def test_html_extraction_never_keeps_marked_elements():
+    """Comments, adverts, notices and forms are dropped however long they are."""
+    short, remarks = "<h1>T</h1><p>short article text here.</p>", "long remarks " * 50
+    for mark in ("div class='comments'", "div class='ad'", "div class='cookie-notice'", "form", "div id=commentlist", "div class='adsbox x'", "section class='topnav'", "div class=mainMenu"):
+        block = f"<{mark}>{remarks}</{mark.split()[0]}>"
+        for page in (short + block, f"<article>{short}{block}</article>", f"<main>{short}{block}</main>", f"<article>{short}</article>{block}"):
+            assert html_extract.main_text(page) == "T\nshort article text here.", page[:90]
+    content = "<div id='content'><h1>T</h1><p>" + "main text " * 60 + "</p><p>End.</p></div>"
+    kept = "T\n" + ("main text " * 60).strip() + "\nEnd."
+    assert html_extract.main_text(content + "<div class='teasers'><article>teaser</article></div>") == kept
+    assert html_extract.main_text("<header><h1>Site</h1></header><div class='page-header'>Site</div><div>text</div>") == "text"
+    assert html_extract.main_text("<head><title>x</title><body><p>no end of the head") == "no end of the head"
+
+
+def test_html_extraction_is_linear():
+    for page, n in (("<a " * 350_000, 1_049_999), ("<a \">\" " * 100_000, None), ("<a \"" * 250_000 + ">", 0), ("<div class=ad><b>" * 50_000 + "</b>" * 50_000, 0),
+                    ("<div>" * 8000 + "</b>" * 8000, 0), ("<" * 500_000 + ">", 500_001), ("<p>x" * 100_000, 199_999), ("<!--" * 200_000 + ">", 0)):
+        began = time.process_time()
+        text = html_extract.main_text(page)
+        assert time.process_time() - began < 6 and (n is None or len(text) == n), page[:20]
+
+
+def test_html_region_equals_brute_force():
+    """The region with most text among all runs of windows over the limit, and pages built from it."""
+    rng = random.Random(11)
+    for _ in range(300):
+        weights = [rng.choice([0, 0, 5, 40, 400]) for _ in range(rng.randrange(1, 14))]
+        windows = {i: sum(weights[i : i + html_extract.WINDOW]) for i in range(max(len(weights) - html_extract.WINDOW + 1, 1))}
+        high = [i for i in windows if windows[i] > html_extract.SURGE * max(windows.values())]
+        runs = [(a, min(b + html_extract.WINDOW, len(weights))) for a in high for b in high if a <= b
+                and all(i in high for i in range(a, b + 1)) and a - 1 not in high and b + 1 not in high]
+        best = max(runs, key=lambda r: (sum(weights[r[0] : r[1]]), -r[0]), default=(0, 0))
+        assert html_extract.densest(weights) == best
+        parts = [("ad", "x" * w) if rng.random() < 0.2 else ("p", "y" * w) for w in weights if w]
+        page = "".join(f"<div class='ad'>{t}</div>" if k == "ad" else f"<p>{t}</p>" for k, t in parts)
+        assert html_extract.main_text(page) == "\n".join(t for k, t in parts if k == "p")
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
