@@ -45,7 +45,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.components(_table(spark, sf_dir, "documents"))
+    return minhash_dedup.components(_table(spark, sf_dir, "documents")).drop("key")
 
 
 #: The conversation that the query adds, whose texts hold control strings.

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spellcast.llm.components import connect
-from spellcast.llm.text import long_lists, lower_ascii, mixed, set_lists, slices, word_hashes
+from spellcast.llm.text import keyed_hashes, long_lists, mixed, set_lists, slices
 from spellcast.session import checkpointed
 
 WORDS = 5
@@ -140,13 +140,6 @@ def _digests(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (key, doc_id, h): word hashes, and the id or, without one, a number made from the text."""
-    doc_id, text = F.col(id_col).cast("long"), lower_ascii(F.col(text_col))
-    made = F.lit(-(2**62) - 1) - F.xxhash64(text).bitwiseAND(F.lit(2**62 - 1))
-    return docs.select(F.coalesce(doc_id, made).alias("key"), doc_id.alias("doc_id"), word_hashes(text).alias("h"))
-
-
 def sized(keyed: DataFrame) -> DataFrame:
     """Per row: key, doc_id, n (set size) and two digests of the whole set."""
 
@@ -278,7 +271,7 @@ def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest id that links lead to."""
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = keyed_hashes(docs, id_col, text_col)
     rows = checkpointed(sized(keyed))
     distinct = rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
     distinct = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BREAKS = r"[\x20\x09-\x0D]+"
@@ -30,6 +30,19 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
+def keyed_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (key, doc_id, h): word hashes, and the id or, without one, a number made from the text.
+
+    Such a number lies below -2**62, where no ids are allowed.
+    """
+    return docs.select(document_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).cast("long").alias("doc_id"), word_hashes(lower_ascii(F.col(text_col))).alias("h"))
+
+
+def document_key(doc_id: Column, text: Column) -> Column:
+    made = F.lit(-(2**62) - 1) - F.xxhash64(lower_ascii(text)).bitwiseAND(F.lit(2**62 - 1))
+    return F.coalesce(doc_id.cast("long"), made)
+
+
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit values that scatters them over the whole range."""
     with np.errstate(over="ignore"):

@@ -103,6 +103,22 @@ def test_minhash_dedup(spark, docs):
     assert minhash_dedup.components(docs.limit(0)).count() == 0
 
 
+def test_minhash_dedup_of_shared_and_missing_ids(spark):
+    """Texts of one id are one document; rows without id are linked, searched and dropped like others."""
+    one, other, third = prose(100, 21), prose(1000, 22), prose(80, 23)
+    near = " ".join(one.split()[:-3])
+    rows = [(1, one), (2, near), (2, other), (3, other), (2, ""), (None, one), (None, third), (None, third), (None, third + " more"), (None, ""), (None, None), (None, "x y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.components(frame).collect()), key=str)
+    want = [(1, 96, 1, True), (2, 93, 1, False), (2, 996, 1, False), (3, 996, 1, False), (2, 0, 2, True), (None, 96, 1, False), (None, 0, None, True), (None, 0, None, True), (None, 1, None, True)]
+    assert [g for g in got if g[1] not in (76, 77)] == sorted(want, key=str)
+    loose = [g for g in got if g[1] in (76, 77)]
+    assert sorted(g[1] for g in loose) == [76, 76, 77] and len({g[3] for g in loose if g[1] == 76}) == 1 and {g[3] for g in loose} == {True, False}
+    kept = [tuple(r) for r in minhash_dedup.keep_one(frame).collect()]
+    assert (1, one) in kept and len(kept) == 5 and not any(i in (2, 3) for i, _ in kept)  # a document goes with all its rows
+    assert sum(t in (third, third + " more") for _, t in kept) == 1
+
+
 def test_minhash_dedup_chain_of_partial_links(spark):
     """A group where most pairs are below the limit: components must still be those of all pairs."""
     rng = random.Random(9)
