@@ -28,8 +28,7 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every component of near-duplicates."""
-    gone = minhash_dedup.components(docs).filter("not kept").select("doc_id").distinct()
-    return docs.select(COLUMNS).join(gone, "doc_id", "left_anti")
+    return minhash_dedup.keep_one(docs.select(COLUMNS))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
