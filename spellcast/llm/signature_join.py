@@ -16,8 +16,9 @@ two of them lies a further band, a seam, so that two similar sets always share a
    too few, it is signed again with another hash, until it has enough or ``TRIES`` is reached, when
    it gives its empty signatures too. No pair is lost: under the first hash under which either set has
    enough, both are signed, and the set with more partitions is signed in all those of the other.
-4. Sets that share a signature are candidates; signatures with the same sets are one bucket. In two
-   rounds every bucket has one leader that its members in other components are compared with. Of the
+4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Every
+   bucket has a leader; a set is compared with the one that leads most of its buckets, and in a second
+   round with all leaders (others than before) of buckets in other components. Of the
    buckets that then still hold several components, sets with so many shingles that no other one of
    these has that they can't reach the limit are set aside, and the members outside a bucket's main
    component are compared with its other components. Pairs are screened by bounds (sizes, shingles of
@@ -34,6 +35,7 @@ its row; a row without id has the smallest id of its component, or NULL if that
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -45,7 +47,8 @@ from pyspark.sql import functions as F
 
 from spellcast.llm.components import connect
 from spellcast.llm.text import keyed_hashes, long_lists, mixed, set_lists, slices
-from spellcast.session import checkpointed
+from spellcast.session import checkpointed, shared_folder
+from spellcast.sources.io import delete_path
 
 WORDS = 5
 PERCENT = 80
@@ -256,19 +259,30 @@ def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     brought together in joins and sums, which can be split; the name of a bucket is a hash of its
     documents, and a chance collision of two would only add candidates.
     """
+    spark = keyed.sparkSession
     every = signed(keyed)  # both sides of the join read one shuffle
-    shared = every.alias("a").join(every.alias("b"), F.expr("a.sig = b.sig and a.key <> b.key"), "left_semi")
-    shared = shared.select(F.bitwise_not("sig").alias("sig"), "key")
+    place = f"{shared_folder(spark)}/signatures-{uuid.uuid4().hex}"
+    every.alias("a").join(every.alias("b"), F.expr("a.sig = b.sig and a.key <> b.key"), "left_semi").write.parquet(place)
+    shared = spark.read.schema("key long, sig long").parquet(place)
     content = shared.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")
     )
     bucket = F.xxhash64("n", "x", "y").alias("bucket")
     members = checkpointed(shared.join(content.select("sig", bucket), "sig").select("bucket", "key").distinct())
+    delete_path(spark, place)
     members = members.join(nodes, "key").select("bucket", "node").distinct()
     several = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     return checkpointed(members.join(several, "bucket"))
 
 
+def _led(members: DataFrame, labels: DataFrame, order: Column) -> DataFrame:
+    """Pairs (a, b, buckets) of a bucket's leader and its members in other components, with the buckets that give a pair."""
+    placed = members.join(labels, "node")
+    leaders = placed.groupBy("bucket").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
+    apart = placed.join(leaders, "bucket").filter("lead.comp <> comp").select(F.col("node").alias("a"), F.col("lead.node").alias("b"))
+    return apart.groupBy("a", "b").agg(F.count(F.lit(1)).alias("buckets"))
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest id that links lead to."""
     keyed = keyed_hashes(docs, id_col, text_col)
@@ -290,11 +304,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     start = facts.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
     labels = connect(checkpointed(start.select("node", F.col("node").alias("comp"))), of_one)
 
-    for order in (F.col("node"), F.xxhash64("node")):
-        placed = members.join(labels, "node")
-        leaders = placed.groupBy("bucket").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))
-        apart = placed.join(leaders, "bucket").filter("lead.comp <> comp").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-        labels = connect(labels, checkpointed(_links(apart, facts, sets)))
+    # First every set with the leader that it shares most buckets with, which joins most of a group.
+    most = _led(members, labels, F.col("node")).groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
+    labels = connect(labels, checkpointed(_links(most, facts, sets)))
+    again = _led(members, labels, F.xxhash64("node")).select("a", "b")
+    labels = connect(labels, checkpointed(_links(again, facts, sets)))
 
     # What is left: members of a bucket outside its main component against its other components.
     placed = members.select("bucket", "node").join(labels, "node")
