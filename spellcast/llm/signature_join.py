@@ -16,7 +16,8 @@ two of them lies a further band, a seam, so that two similar sets always share a
    too few, it is signed again with another hash, until it has enough or ``TRIES`` is reached, when
    it gives its empty signatures too. No pair is lost: under the first hash under which either set has
    enough, both are signed, and the set with more partitions is signed in all those of the other.
-4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Every
+4. Sets that share a signature under one hashing of the domain are signed again under a second, and are
+   candidates if they share one there too; signatures with the same sets are one bucket. Every
    bucket has a leader; a set is compared with the one that leads most of its buckets, and in a second
    round with all leaders (others than before) of buckets in other components. Of the
    buckets that then still hold several components, sets with so many shingles that no other one of
@@ -92,9 +93,11 @@ def bands(n: int) -> tuple[tuple[int, int, int], ...]:
     return tuple(found)
 
 
-def signatures(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(values: np.ndarray, ends: np.ndarray, cut: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of the sets that follow each other in ``values``, and the number of the set of each.
 
+    ``cut`` 0 and 1 are two independent ways to cut the domain; either alone leaves no similar pair out.
+
     Sets so small that only equal ones are similar have none, as equal sets are one.
     """
     starts = np.concatenate([[0], ends[:-1]])
@@ -110,7 +113,7 @@ def signatures(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         n = (ends - starts)[doc]
         job = np.repeat(np.arange(len(jobs)), n)
         place = np.arange(len(job)) + np.repeat(starts[doc] - (np.cumsum(n) - n), n)
-        tag = (band * TRIES + seed + 1).astype(np.uint64) << np.uint64(36)
+        tag = (2 * (band * TRIES + seed + 1) + cut).astype(np.uint64) << np.uint64(36)
         spread = mixed(values[place] ^ tag[job])
         first = np.cumsum(parts) - parts
         cell = ((spread >> np.uint64(32)) * (parts * N2).astype(np.uint64)[job] >> np.uint64(32)).astype(np.int64) + (first * N2)[job]
@@ -159,13 +162,41 @@ def sized(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, "key long, doc_id long, n long, k1 long, k2 long")
 
 
-def signed(keyed: DataFrame) -> DataFrame:
+def _filter_place(key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 64 - FILTER_BITS)
+
+
+def wanted_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for the hash of every key, gathered word by word on the executors; 2 MB at most."""
+    place = _filter_place(F.col("key"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    out = np.zeros(2 ** (FILTER_BITS - 6), dtype=np.uint64)
+    found = words.toArrow()
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _passing(part: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
+    """The rows whose document passes the filter."""
+    if wanted is None:
+        return part
+    place = part.column("place").to_numpy()
+    return part.filter(pa.array(wanted[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1))
+
+
+def _placed(keyed: DataFrame) -> DataFrame:
+    return keyed.select("key", _filter_place(F.col("key")).alias("place"), "h")
+
+
+def signed(keyed: DataFrame, cut: int, wanted: np.ndarray | None = None) -> DataFrame:
     """Rows (key, sig), one a signature. Of equal sets that a task reads, the first one is signed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for part in slices(batch):
+                part = _passing(part, wanted)
                 values, ends = set_lists(part.column("h"), WORDS)
                 new = []
                 for digest in zip(*(k.tolist() for k in _digests(values, ends))):
@@ -173,26 +204,16 @@ def signed(keyed: DataFrame) -> DataFrame:
                     seen.add(digest)
                 size = np.diff(ends, prepend=0)
                 chosen = np.array(new, dtype=bool)
-                found, of = signatures(values[np.repeat(chosen, size)], np.cumsum(size[chosen]))
+                found, of = signatures(values[np.repeat(chosen, size)], np.cumsum(size[chosen]), cut)
                 keys = part.column("key").to_numpy()[chosen][of]
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(found.view(np.int64))], names=["key", "sig"])
 
-    return keyed.select("key", "h").mapInArrow(run, "key long not null, sig long not null")
+    return _placed(keyed).mapInArrow(run, "key long not null, sig long not null")
 
 
-def _filter_place(key: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 64 - FILTER_BITS)
-
-
-def wanted_filter(keys: DataFrame) -> np.ndarray:
-    """A bit for the hash of every key, gathered word by word on the executors; 2 MB at most."""
-    place = _filter_place(F.col("key"))
-    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    words = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    out = np.zeros(2 ** (FILTER_BITS - 6), dtype=np.uint64)
-    found = words.toArrow()
-    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
+def sharing(every: DataFrame) -> DataFrame:
+    """Rows of ``every`` (key, sig) whose signature another document has too; both sides read one shuffle."""
+    return every.alias("a").join(every.alias("b"), F.expr("a.sig = b.sig and a.key <> b.key"), "left_semi")
 
 
 def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -201,21 +222,19 @@ def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                place = part.column("place").to_numpy()
-                passed = np.flatnonzero(wanted[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1))
-                if not len(passed):
+                part = _passing(part, wanted)
+                if not part.num_rows:
                     continue
-                values, ends = set_lists(part.column("h").take(pa.array(passed)), WORDS)
+                values, ends = set_lists(part.column("h"), WORDS)
                 k1, k2 = _digests(values, ends)
                 found = np.split(values, ends[:-1])
                 cells = [np.bincount((mixed(s, 3) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint64) for s in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(pa.array(passed)), pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)],
+                    [part.column("key"), pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)],
                     names=["key", "k1", "k2", "shingles", "cells"],
                 )
 
-    placed = keyed.select("key", _filter_place(F.col("key")).alias("place"), "h")
-    return placed.mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
+    return _placed(keyed).mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
 
 
 def _able(sets: DataFrame) -> DataFrame:
@@ -255,14 +274,16 @@ def _links(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
 def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Rows (bucket, node): the sets that share signatures; signatures with the same documents are one bucket.
 
+    The domain is cut twice. Documents that share a signature under the first cut are signed under the
+    second, whose signatures make the buckets: many that share a passage only drop out between the two.
     ``nodes`` (key, node) gives the sets of a document's texts. Rows of one signature are only
     brought together in joins and sums, which can be split; the name of a bucket is a hash of its
     documents, and a chance collision of two would only add candidates.
     """
     spark = keyed.sparkSession
-    every = signed(keyed)  # both sides of the join read one shuffle
+    once = checkpointed(sharing(signed(keyed, 0)).select("key").distinct())
     place = f"{shared_folder(spark)}/signatures-{uuid.uuid4().hex}"
-    every.alias("a").join(every.alias("b"), F.expr("a.sig = b.sig and a.key <> b.key"), "left_semi").write.parquet(place)
+    sharing(signed(keyed, 1, wanted_filter(once))).write.parquet(place)
     shared = spark.read.schema("key long, sig long").parquet(place)
     content = shared.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")
