@@ -12,9 +12,11 @@ shingles of the documents, which misses none. Candidates are confirmed on the fu
 Before the join, minima of documents pass a bitmap of the items' minima. Its size is fixed, so it can
 be sent to all tasks; when items outgrow it, more minima pass and the join gives the same result.
 
-Defined cases: NULL and empty texts contain nothing; items of fewer words than a shingle are not
-searched; rows that share an id are searched one by one, and pairs are distinct; a document or item
-with a NULL id is ignored; other columns are ignored.
+Defined cases: NULL and empty texts contain nothing and are contained in nothing; the words of a text
+with fewer than a shingle has are one shingle, so a short item is found where it is a whole text;
+rows that share an id are searched one by one, and pairs are distinct; documents and items without id
+are searched like others, those with one text as one (their pairs have a NULL there); other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spellcast.llm.text import hash_lists, long_lists, lower_ascii, mixed, slices, window_hashes, word_hashes
+from spellcast.llm.text import document_key, hash_lists, keyed_hashes, long_lists, mixed, shingles, slices, window_hashes
 from spellcast.session import checkpointed
 
 WORDS = 5
@@ -66,20 +68,21 @@ def item_keys(values: np.ndarray, bound: int) -> np.ndarray:
 
 
 def item_sketches(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Per item: item_id, size class, shingles, sketch keys."""
-    rows = items.select(F.col(id_col).cast("long").alias("item_id"), word_hashes(lower_ascii(F.col(text_col))).alias("h")).filter("item_id is not null")
+    """Per item: item (its key), item_id, size class, shingles, sketch keys."""
+    rows = keyed_hashes(items, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                sets = [np.unique(window_hashes(h, WORDS)) for h in hash_lists(part.column("h"))]
+                sets = [shingles(h, WORDS) for h in hash_lists(part.column("h"))]
                 bounds = [size_class(len(s)) if len(s) else 0 for s in sets]
                 keys = [item_keys(s, b) if b else s for s, b in zip(sets, bounds)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("item_id"), pa.array(bounds, pa.int32()), long_lists(sets), long_lists(keys)], names=["item_id", "bound", "shingles", "keys"]
+                    [part.column("key"), part.column("doc_id"), pa.array(bounds, pa.int32()), long_lists(sets), long_lists(keys)],
+                    names=["item", "item_id", "bound", "shingles", "keys"],
                 )
 
-    return rows.mapInArrow(run, "item_id long, bound int, shingles array<long>, keys array<long>").filter("bound > 0")
+    return rows.mapInArrow(run, "item long, item_id long, bound int, shingles array<long>, keys array<long>").filter("bound > 0")
 
 
 def _passing(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
@@ -110,55 +113,61 @@ def document_keys(values: np.ndarray, bounds: list[int], bitmap: np.ndarray) ->
     return np.unique(np.concatenate(found))
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Per row (doc_id, text): doc_id and its distinct shingles."""
-    rows = docs.select("doc_id", word_hashes(lower_ascii(F.col("text"))).alias("h"))
+def shingle_sets(keyed: DataFrame) -> DataFrame:
+    """Per row (key, doc_id, h): key, doc_id and its distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                sets = long_lists([np.unique(window_hashes(h, WORDS)) for h in hash_lists(part.column("h"))])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], names=["doc_id", "doc_shingles"])
+                sets = long_lists([shingles(h, WORDS) for h in hash_lists(part.column("h"))])
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("doc_id"), sets], names=["key", "doc_id", "doc_shingles"])
 
-    return rows.mapInArrow(run, "doc_id long, doc_shingles array<long>")
+    return keyed.mapInArrow(run, "key long, doc_id long, doc_shingles array<long>")
+
+
+def item_bitmap(keys: DataFrame) -> np.ndarray:
+    """A bit for the first bits of every key (column key), gathered on the executors: 2**BITMAP_BITS of them."""
+    place = keys.select(F.shiftrightunsigned("key", 64 - BITMAP_BITS).alias("place"))
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")
+    found = place.groupBy(F.shiftright("place", 6).alias("word")).agg(bits).toArrow()
+    words = np.zeros(1 << (BITMAP_BITS - 6), dtype="<u8")
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return words.view(np.uint8)
 
 
 def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **item_columns: str) -> DataFrame:
-    """Pairs (doc_id, item_id) with n_item and n_shared shingles, where n_shared reaches 75 % of n_item."""
+    """Pairs (doc_id, item_id) with n_item and n_shared shingles, where n_shared reaches 75 % of n_item; and the document's key."""
     sketched = checkpointed(item_sketches(items, **item_columns))
-    exploded = sketched.select("item_id", F.explode("keys").alias("key"))
+    exploded = sketched.select("item", F.explode("keys").alias("key"))
     bounds = sorted(r.bound for r in sketched.select("bound").distinct().collect())  # at most one per power of two
-    bits = exploded.select(F.shiftrightunsigned("key", 64 - BITMAP_BITS).alias("bit")).distinct()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
-    place = np.array([r.bit for r in bits.collect()], dtype=np.int64)  # at most 2**BITMAP_BITS numbers
-    np.bitwise_or.at(bitmap, place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
+    sent = docs.sparkSession.sparkContext.broadcast(item_bitmap(exploded))
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 found = []
                 for h in hash_lists(part.column("h")):
-                    values = window_hashes(h, WORDS)
+                    values = window_hashes(h, min(WORDS, len(h))) if len(h) else h
                     found.append(document_keys(values, bounds, sent.value) if len(values) and bounds else values[:0])
-                ids = np.repeat(part.column("doc_id").to_numpy(), list(map(len, found)))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["doc_id", "key"])
-
-    hits = rows.select("doc_id", word_hashes(lower_ascii(F.col("text"))).alias("h")).mapInArrow(run, "doc_id long, key long")
-    pairs = checkpointed(hits.join(exploded, "key").select("doc_id", "item_id").distinct())
-    candidates = rows.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    sizes = shingle_sets(candidates).join(pairs, "doc_id").join(sketched.select("item_id", "shingles"), "item_id").select(
-        "doc_id", "item_id",
+                ids = np.repeat(part.column("key").to_numpy(), list(map(len, found)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(found).view(np.int64))], names=["doc", "key"])
+
+    hits = keyed_hashes(named, "doc_id", "text").select("key", "h").mapInArrow(run, "doc long, key long")
+    pairs = checkpointed(hits.join(exploded, "key").select(F.col("doc").alias("key"), "item").distinct())
+    placed = named.withColumn("_key", document_key(F.col("doc_id"), F.col("text")))
+    candidates = placed.join(pairs.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
+    sizes = shingle_sets(keyed_hashes(candidates, "doc_id", "text")).join(pairs, "key").join(sketched.select("item", "item_id", "shingles"), "item").select(
+        "key", "doc_id", "item", "item_id",
         F.size("shingles").cast("long").alias("n_item"),
         F.size(F.array_intersect("shingles", "doc_shingles")).cast("long").alias("n_shared"),
     )
-    best = sizes.groupBy("doc_id", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
-    return best.filter(100 * F.col("n_shared") >= PERCENT * F.col("n_item"))
+    best = sizes.groupBy("key", "doc_id", "item", "item_id").agg(F.max("n_item").alias("n_item"), F.max("n_shared").alias("n_shared"))
+    return best.filter(100 * F.col("n_shared") >= PERCENT * F.col("n_item")).select("doc_id", "item_id", "n_item", "n_shared", "key")
 
 
-def clean(docs: DataFrame, items: DataFrame, **columns: str) -> DataFrame:
-    """Rows of ``docs`` (with a doc_id) that contain no test item."""
-    leaks = contained(docs, items, **columns).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **item_columns: str) -> DataFrame:
+    """Rows of ``docs`` that contain no test item."""
+    leaks = contained(docs, items, id_col, text_col, **item_columns).select(F.col("key").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", document_key(F.col(id_col), F.col(text_col)))
+    return keyed.join(leaks, "__key", "left_anti").drop("__key")

@@ -26,7 +26,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,8 +154,8 @@ def test_decontamination(spark, docs):
     )
     got = {(r.doc_id, r.item_id) for r in decontaminate.contained(docs, items).collect()}
     want = {
-        (d, i) for d, t in ROWS for i, u in [(1, PASSAGE), (5, prose(20, 99)), (6, prose(300, 2)), (7, cut)]
-        if d is not None and len(words(t)) >= 5 and 100 * len(shingled(t) & shingled(u)) >= 75 * len(shingled(u))
+        (d, i) for d, t in ROWS for i, u in [(1, PASSAGE), (4, "two words"), (5, prose(20, 99)), (6, prose(300, 2)), (7, cut), (None, PASSAGE)]
+        if shingled(t) and 100 * len(shingled(t) & shingled(u)) >= 75 * len(shingled(u))
     }
     assert got == want and {(8, 1), (9, 1), (8, 7)} <= got
     assert decontaminate.clean(docs, items).columns == docs.columns
@@ -163,6 +163,17 @@ def test_decontamination(spark, docs):
     assert decontaminate.contained(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_without_ids_and_with_short_items(spark):
+    item, other = prose(20, 61), prose(30, 62)
+    items = spark.createDataFrame([(None, item), (2, other), (3, "just three words"), (4, ""), (5, None)], "item_id long, text string")
+    rows = [(1, "x " + item), (None, prose(9, 63) + " " + other), (None, "clean text without any item"), (2, "Just  three WORDS"), (3, "these are just three words too"), (4, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_item) for r in decontaminate.contained(docs, items).collect()}
+    assert got == {(1, None, 16), (None, 2, 26), (2, 3, 1)}
+    left = sorted((tuple(r) for r in decontaminate.clean(docs, items).collect()), key=str)
+    assert left == sorted([rows[2], rows[4], rows[5], rows[6]], key=str)
+
+
 def test_decontamination_finds_short_items(spark):
     """Items of 1 to 8 shingles in many documents, whole and with the last shingles cut off."""
     texts = {n: prose(n, 500 + n).split() for n in range(5, 13)}
