@@ -16,15 +16,14 @@ two of them lies a further band, a seam, so that two similar sets always share a
    too few, it is signed again with another hash, until it has enough or ``TRIES`` is reached, when
    it gives its empty signatures too. No pair is lost: under the first hash under which either set has
    enough, both are signed, and the set with more partitions is signed in all those of the other.
-4. Sets that share a signature under one hashing of the domain are signed again under a second, and are
-   candidates if they share one there too; signatures with the same sets are one bucket. Every
-   bucket has a leader; a set is compared with the one that leads most of its buckets, and in a second
-   round with all leaders (others than before) of buckets in other components. Of the
-   buckets that then still hold several components, sets with so many shingles that no other one of
-   these has that they can't reach the limit are set aside, and the members outside a bucket's main
-   component are compared with its other components. Pairs are screened by bounds (sizes, shingles of
-   their own, and counts of shingles by hash, which bound the number of different ones from below) and
-   confirmed by intersecting the full sets.
+4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Candidates
+   with so many shingles that no other candidate has that they can't reach the limit are set aside,
+   which most are that share only a passage. Every bucket has a leader; a set is compared with the one
+   that leads most of its buckets, and in a second round with all leaders (others than before) of its
+   buckets in other components. In the end the members outside a bucket's main component are compared
+   with its other components. Pairs are screened by bounds (sizes, shingles of their own, and counts of
+   shingles by hash, which bound the number of different ones from below) and confirmed by
+   intersecting the full sets.
 
 Equal sets collapse to one before anything is compared; no pairs within a component are made.
 
@@ -93,11 +92,9 @@ def bands(n: int) -> tuple[tuple[int, int, int], ...]:
     return tuple(found)
 
 
-def signatures(values: np.ndarray, ends: np.ndarray, cut: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def signatures(values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of the sets that follow each other in ``values``, and the number of the set of each.
 
-    ``cut`` 0 and 1 are two independent ways to cut the domain; either alone leaves no similar pair out.
-
     Sets so small that only equal ones are similar have none, as equal sets are one.
     """
     starts = np.concatenate([[0], ends[:-1]])
@@ -113,7 +110,7 @@ def signatures(values: np.ndarray, ends: np.ndarray, cut: int = 0) -> tuple[np.n
         n = (ends - starts)[doc]
         job = np.repeat(np.arange(len(jobs)), n)
         place = np.arange(len(job)) + np.repeat(starts[doc] - (np.cumsum(n) - n), n)
-        tag = (2 * (band * TRIES + seed + 1) + cut).astype(np.uint64) << np.uint64(36)
+        tag = (band * TRIES + seed + 1).astype(np.uint64) << np.uint64(36)
         spread = mixed(values[place] ^ tag[job])
         first = np.cumsum(parts) - parts
         cell = ((spread >> np.uint64(32)) * (parts * N2).astype(np.uint64)[job] >> np.uint64(32)).astype(np.int64) + (first * N2)[job]
@@ -177,10 +174,8 @@ def wanted_filter(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def _passing(part: pa.RecordBatch, wanted: np.ndarray | None) -> pa.RecordBatch:
+def _passing(part: pa.RecordBatch, wanted: np.ndarray) -> pa.RecordBatch:
     """The rows whose document passes the filter."""
-    if wanted is None:
-        return part
     place = part.column("place").to_numpy()
     return part.filter(pa.array(wanted[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) == 1))
 
@@ -189,14 +184,13 @@ def _placed(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", _filter_place(F.col("key")).alias("place"), "h")
 
 
-def signed(keyed: DataFrame, cut: int, wanted: np.ndarray | None = None) -> DataFrame:
+def signed(keyed: DataFrame) -> DataFrame:
     """Rows (key, sig), one a signature. Of equal sets that a task reads, the first one is signed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for part in slices(batch):
-                part = _passing(part, wanted)
                 values, ends = set_lists(part.column("h"), WORDS)
                 new = []
                 for digest in zip(*(k.tolist() for k in _digests(values, ends))):
@@ -204,11 +198,11 @@ def signed(keyed: DataFrame, cut: int, wanted: np.ndarray | None = None) -> Data
                     seen.add(digest)
                 size = np.diff(ends, prepend=0)
                 chosen = np.array(new, dtype=bool)
-                found, of = signatures(values[np.repeat(chosen, size)], np.cumsum(size[chosen]), cut)
+                found, of = signatures(values[np.repeat(chosen, size)], np.cumsum(size[chosen]))
                 keys = part.column("key").to_numpy()[chosen][of]
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(found.view(np.int64))], names=["key", "sig"])
 
-    return _placed(keyed).mapInArrow(run, "key long not null, sig long not null")
+    return keyed.select("key", "h").mapInArrow(run, "key long not null, sig long not null")
 
 
 def sharing(every: DataFrame) -> DataFrame:
@@ -237,16 +231,20 @@ def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
     return _placed(keyed).mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
 
 
-def _able(sets: DataFrame) -> DataFrame:
-    """Sets (node, own) that can reach the limit with another one of ``sets``.
+def own_counts(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """Rows (key, own): for documents that pass the filter, how many shingles no other one of them has."""
 
-    own counts the shingles that no other set has.
-    """
-    each = sets.select("node", F.explode("shingles").alias("shingle"))
-    single = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).filter("sets = 1")
-    own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    counted = sets.select("node", F.size("shingles").alias("n")).join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    return counted.filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")).select("node", "own")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                part = _passing(part, wanted)
+                values, ends = set_lists(part.column("h"), WORDS)
+                keys = np.repeat(part.column("key").to_numpy(), np.diff(ends, prepend=0))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(values.view(np.int64))], names=["key", "shingle"])
+
+    each = _placed(keyed).mapInArrow(run, "key long, shingle long")
+    single = each.groupBy("shingle").agg(F.min("key").alias("key"), F.max("key").alias("last")).filter("key = last")
+    return single.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
 
 
 def _may_link(n_a: Column, own_a: Column, cells_a: Column, n_b: Column, own_b: Column, cells_b: Column) -> Column:
@@ -274,16 +272,13 @@ def _links(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
 def _buckets(keyed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Rows (bucket, node): the sets that share signatures; signatures with the same documents are one bucket.
 
-    The domain is cut twice. Documents that share a signature under the first cut are signed under the
-    second, whose signatures make the buckets: many that share a passage only drop out between the two.
     ``nodes`` (key, node) gives the sets of a document's texts. Rows of one signature are only
     brought together in joins and sums, which can be split; the name of a bucket is a hash of its
     documents, and a chance collision of two would only add candidates.
     """
     spark = keyed.sparkSession
-    once = checkpointed(sharing(signed(keyed, 0)).select("key").distinct())
     place = f"{shared_folder(spark)}/signatures-{uuid.uuid4().hex}"
-    sharing(signed(keyed, 1, wanted_filter(once))).write.parquet(place)
+    sharing(signed(keyed)).write.parquet(place)
     shared = spark.read.schema("key long, sig long").parquet(place)
     content = shared.groupBy("sig").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")
@@ -308,21 +303,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row: doc_id, n_shingles and component_id, the smallest id that links lead to."""
     keyed = keyed_hashes(docs, id_col, text_col)
     rows = checkpointed(sized(keyed))
-    distinct = rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
+    distinct = rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"), F.min("n").alias("n"))
     distinct = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()))
     nodes = rows.filter("n > 0").join(distinct.select("k1", "k2", "node"), ["k1", "k2"]).select("key", "node").distinct()
 
+    several = checkpointed(nodes.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b"))
+
+    # Sets that can't reach the limit with any other candidate go; documents with several texts stay.
     members = _buckets(keyed, nodes)
-    wanted = distinct.join(members.select("node").distinct(), "node", "left_semi")
-    full = shingled(keyed, wanted_filter(wanted.select("key")))
     same = ["key", "k1", "k2"]
-    sets = checkpointed(full.join(wanted.select(*same, "node"), same).dropDuplicates(same).select("node", "shingles", "cells"))
-    facts = checkpointed(sets.select("node", "cells", F.size("shingles").alias("n"), F.lit(0).alias("own")))
+    found = checkpointed(distinct.join(members.select("node").distinct(), "node", "left_semi").select(*same, "node", "n"))
+    own = own_counts(keyed, wanted_filter(found.select("key"))).join(several.select("key"), "key", "left_anti")
+    able = found.join(own, "key", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    able = checkpointed(able.filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")))
+    members = checkpointed(members.join(able.select("node"), "node"))
+    full = shingled(keyed, wanted_filter(able.select("key")))
+    sets = checkpointed(full.join(able, same).dropDuplicates(same).select("node", "n", "own", "cells", "shingles"))
+    facts = sets.drop("shingles")
 
     # Texts of one document are linked, whatever they share.
-    several = nodes.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     of_one = checkpointed(nodes.join(several, "key").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")))
-    start = facts.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
+    start = able.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
     labels = connect(checkpointed(start.select("node", F.col("node").alias("comp"))), of_one)
 
     # First every set with the leader that it shares most buckets with, which joins most of a group.
@@ -336,8 +337,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
     rest = checkpointed(placed.join(split.select("bucket", "main"), "bucket"))
-    able = checkpointed(_able(sets.join(rest.select("node").distinct(), "node", "left_semi")))
-    rest, facts = rest.join(able, "node"), facts.drop("own").join(able, "node")
     outside = rest.filter("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
     apart = outside.join(rest, "bucket").filter((F.col("comp_a") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node"))))
     labels = connect(labels, checkpointed(_links(apart.select("a", F.col("node").alias("b")).distinct(), facts, sets)))
