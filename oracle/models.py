@@ -91,6 +91,30 @@ ORACLE["correlation_select"] = query(
           ON t.f = g.feature""",
     "pairs", "bn",
 )
+cte(
+    "gaps",
+    """SELECT target, balance, cycle, CASE WHEN row_id % 3 <> 0 THEN amount END AS amount_gaps,
+              CASE WHEN row_id % 5 < 3 THEN amount_twin END AS twin_gaps,
+              CASE WHEN row_id % 7 = 0 OR cycle > 60 THEN balance END AS balance_gaps FROM bn""",
+    "bn",
+)
+_G = ["balance", "amount_gaps", "twin_gaps", "balance_gaps", "cycle"]
+cte(
+    "gap_pairs",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS a, {i} AS ia, '{b}' AS b, {j} AS ib, corr({a}, {b}) AS r FROM gaps"
+        for i, a in enumerate(_G) for j, b in enumerate(_G)
+    ),
+    "gaps",
+)
+ORACLE["correlation_with_gaps"] = query(
+    f"""SELECT feature, group_of, {rnd('target_correlation', digits=6)},
+               row_number() OVER (PARTITION BY group_of ORDER BY abs(target_correlation) DESC, i) = 1 AS kept
+        FROM (SELECT a AS feature, ia AS i, arg_min(b, ib) FILTER (WHERE abs(r) > 0.8) AS group_of FROM gap_pairs GROUP BY ALL) g
+        JOIN ({' UNION ALL '.join(f"SELECT '{a}' AS f, corr({a}, target) AS target_correlation FROM gaps" for a in _G)}) t
+          ON t.f = g.feature""",
+    "gap_pairs", "gaps", "bn",
+)
 ORACLE["latest_version"] = query("SELECT path FROM artifacts ORDER BY modified DESC, path DESC LIMIT 1", "artifacts")
 ORACLE["latest_per_model"] = query(
     """SELECT model, max(path) AS path, max(stamp) AS stamp FROM (

@@ -43,6 +43,11 @@ ORACLE: dict[str, str] = {
     "phone_counts": select("phone_counts"),
     "exclusion_flags": select("exclusion_flags"),
     "gold_training_row": select("training_row"),
+    "training_run": query(
+        """SELECT CAST(date_trunc('month', date_end) AS DATE) AS month, count(*) AS n_rows, 0 AS rebuilt,
+                  CAST(sum(sumtotalpaymentcount) AS BIGINT) AS payments FROM training_row GROUP BY 1""",
+        "training_row",
+    ),
 }
 ORACLE |= {k: select(k) for k in FEATURE_KEYS}
 ORACLE["feat_fill_filter"] = select("prepared", ", ".join([ROW, "duration", *FILLED, *RECENT]))

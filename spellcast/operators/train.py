@@ -7,8 +7,10 @@ import json
 import random
 import time
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml.feature import Imputer, StandardScaler, StandardScalerModel, VectorAssembler, VectorSizeHint
@@ -66,6 +68,7 @@ class Fitted:
     model: PipelineModel | None = None
     params: dict = field(default_factory=dict)
     log: list[dict] = field(default_factory=list)
+    losses: list[float] = field(default_factory=list)
     error: str | None = None
 
 
@@ -102,9 +105,6 @@ def _pipeline(family: Family, features: list[str], params: dict, rows: int, targ
     settings |= {"featuresCol": "_inputs", "labelCol": target}
     if family.weights:
         settings["weightCol"] = "weight"
-    if family.validated and "is_validation" in params.get("_columns", ()):
-        settings |= {"validationIndicatorCol": "is_validation"}
-    settings.pop("_columns", None)
     clf.setParams(**settings)
     return Pipeline(stages=[*stages, clf])
 
@@ -133,17 +133,77 @@ def grid_points(grid: dict[str, list], n_iter: int, seed: int = SEED) -> list[di
     return points if len(points) <= n_iter else random.Random(seed).sample(points, n_iter)
 
 
+PATIENCE = 20  # fixed value: rounds without improvement after which boosting stops
+
+
+def best_round(losses: list[float], patience: int = PATIENCE) -> int:
+    """Rounds to keep: the one of least loss before ``patience`` rounds in a row bring no less."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def truncated(model: C.GBTClassificationModel, rounds: int) -> C.GBTClassificationModel:
+    """The boosted model of the first ``rounds`` trees, with the same settings."""
+    old = model._java_obj
+    gateway, trees, weights = SparkSession.active().sparkContext._gateway, old.trees(), old.treeWeights()
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    shares = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], shares[i] = trees[i], weights[i]
+    new = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(old.uid(), kept, shares, old.numFeatures(), old.numClasses())
+    return model._from_java(new.copy(old.extractParamMap()))
+
+
+def early_stopped(model: PipelineModel, held: DataFrame, target: str, patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
+    """A boosted model cut after its best round on held-out rows, and the loss of every round.
+
+    The margins after each tree are running sums over the trees of a row, so one pass over the held-out
+    rows gives the loss of all rounds.
+    """
+    boosted, prepared = model.stages[-1], PipelineModel(model.stages[:-1]).transform(held.withColumn(target, F.col(target).cast("double")))
+    losses = list(boosted.evaluateEachIteration(prepared))
+    rounds = best_round(losses, patience)
+    if rounds < len(losses):
+        model = PipelineModel([*model.stages[:-1], truncated(boosted, rounds)])
+    return model, losses
+
+
+def search(points: list[dict], fit: Callable[[dict], PipelineModel], judge: Callable[[PipelineModel], float], parallelism: int) -> list[dict]:
+    """Fit and judge every point, some at a time; the log is in the order of the points.
+
+    Each fit runs in a scheduler pool of its own, which shares the executors fairly between them
+    where the session's scheduler is FAIR.
+    """
+
+    def one(at: int) -> dict:
+        SparkSession.active().sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{at % parallelism}")
+        t0 = time.time()
+        model = fit(points[at])
+        seconds = time.time() - t0
+        return {"params": points[at], "pr_auc_score": judge(model), "train_time_s": seconds}
+
+    if parallelism <= 1 or len(points) < 2:
+        return [one(i) for i in range(len(points))]
+    with ThreadPool(min(parallelism, len(points))) as pool:
+        return pool.map(inheritable_thread_target(one), range(len(points)), chunksize=1)
+
+
 def tune(
     name: str, train: DataFrame, features: list[str], target: str, key: list[str],
-    val: DataFrame | None = None, overrides: dict | None = None, encoder: levels.LevelEncoder | None = None,
+    val: DataFrame | None = None, overrides: dict | None = None, encoder: levels.LevelEncoder | None = None, parallelism: int = 4,
 ) -> Fitted:
     """Random search on one stratified 80/20 split by average precision, then a full refit.
 
     ``encoder`` tells which features are vectors of levels; they stand after the others.
-
     ``overrides`` replaces grid entries (``{param: [values]}``). Falls back to the base
     model when the search fails. The training columns, read by every fit, are materialised
-    once; with undersampling they are a small part of the data.
+    once; with undersampling they are a small part of the data. ``parallelism`` points are
+    fitted at a time. Boosted models are cut after their best round on ``val``.
     """
     family = FAMILIES[name]
     if encoder:
@@ -154,34 +214,30 @@ def tune(
     train = with_weights(train, target, family.weights) if family.weights else train
     train = checkpointed(train)
     rows = train.count()
-    extra: dict = {}
-    full = train
-    if family.validated and family.weights and val is not None:
-        held = with_weights(val.select(*key, *features, target), target, family.weights)
-        full = checkpointed(
-            train.withColumn("is_validation", F.lit(False)).unionByName(
-                held.withColumn("is_validation", F.lit(True))
-            )
-        )
-        extra = {"_columns": ("is_validation",)}
+
+    def fit(params: dict, on: DataFrame) -> PipelineModel:
+        return _pipeline(family, features, params, rows, target, encoder).fit(on)
+
+    def final(params: dict) -> PipelineModel:
+        model = fit(params, train)
+        if family.validated and val is not None:
+            held = val.select(*features, target).where(F.col(target).isNotNull())
+            model, out.losses = early_stopped(model, with_weights(held, target, family.weights) if family.weights else held, target)
+        return model
+
     points = grid_points(grid, family.n_iter) if grid else []
     try:
         if len(points) > 1:
             marked = checkpointed(stratified_split(train, key, target))
             fit_rows, test_rows = marked.where(~F.col("is_test")), marked.where("is_test")
-            for point in points:
-                t0 = time.time()
-                model = _pipeline(family, features, point, rows, target, encoder).fit(fit_rows)
-                seconds = time.time() - t0
-                score = average_precision(model, test_rows, target)
-                out.log.append({"params": point, "pr_auc_score": score, "train_time_s": seconds})
+            out.log = search(points, lambda p: fit(p, fit_rows), lambda m: average_precision(m, test_rows, target), parallelism)
             out.params = max(out.log, key=lambda r: r["pr_auc_score"])["params"]
         elif points:
             out.params = points[0]
-        out.model = _pipeline(family, features, out.params | extra, rows, target, encoder).fit(full)
+        out.model = final(out.params)
     except Exception as e:  # the search failed: plain fit with default parameters
         out.error, out.params, out.log = str(e), {}, []
-        out.model = _pipeline(family, features, {}, rows, target, encoder).fit(train)
+        out.model = final({})
     return out
 
 
@@ -228,11 +284,12 @@ def feature_importance(spark: SparkSession, fitted: Fitted, encoder: levels.Leve
 
 
 def selection_metadata(
-    project: str, features: list[str], target: str, models: list[str], ratio: float, undersample_ratio: float | None, timestamp: str
+    project: str, features: list[str], target: str, models: list[str], ratio: float, undersample_ratio: float | None, timestamp: str,
+    errors: dict[str, str] | None = None,
 ) -> dict:
     """What a training run selected, the content of its metadata file."""
     return {
         "project_name": project, "selected_features": features, "target": target,
         "selected_models": models, "imbalance_ratio": ratio, "undersample_ratio": undersample_ratio,
-        "training_timestamp": timestamp,
+        "training_timestamp": timestamp, "errors": errors or {},
     }

@@ -145,6 +145,19 @@ def correlation_select(spark, sf_dir):
     return rounded(selection.correlation_select(binned(spark, sf_dir), features, "target"), 6)
 
 
+@query
+def correlation_with_gaps(spark, sf_dir):
+    """The same over columns with missing values, each pair over the rows that have both."""
+    df = binned(spark, sf_dir)
+    gaps = {
+        "amount_gaps": F.when(F.col("row_id") % 3 != 0, F.col("amount")),
+        "twin_gaps": F.when(F.col("row_id") % 5 < 3, F.col("amount_twin")),
+        "balance_gaps": F.when((F.col("row_id") % 7 == 0) | (F.col("cycle") > 60), F.col("balance")),
+    }
+    features = ["balance", *gaps, "cycle"]
+    return rounded(selection.correlation_select(df.withColumns(gaps), features, "target"), 6)
+
+
 @query
 def latest_version(spark, sf_dir):
     """The artifact changed last."""

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from spellcast.config import FIXTURE_SETTINGS, Settings
 from spellcast.operators import bronze, lookback, snapshots, spells
 from spellcast.session import checkpointed
-from spellcast.sources.fixtures import Fixtures
+from spellcast.sources import io
+from spellcast.sources.fixtures import BASE_TABLES, Fixtures
 
 
 @dataclass(frozen=True)
@@ -28,6 +32,11 @@ class Sources:
         fx = Fixtures(spark, sf_dir)
         return cls(**{name: fx.view(name) for name in cls.__dataclass_fields__})
 
+    @classmethod
+    def fixture_versions(cls, spark: SparkSession, sf_dir: str) -> dict[str, str]:
+        files = {t: io.files_version(spark, f"{sf_dir}/{t}.parquet") for name in cls.__dataclass_fields__ for t in BASE_TABLES[name]}
+        return {name: ",".join(files[t] for t in BASE_TABLES[name]) for name in cls.__dataclass_fields__}
+
 
 class TrainingTable:
     """Bronze, silver and gold layers of one run.
@@ -48,15 +57,19 @@ class TrainingTable:
         self.settings = settings
         self.materialise = materialise
 
+    def layer(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """The rows of a layer that is read several times, stored."""
+        return self.materialise(make())
+
     @cached_property
     def paid_days(self) -> DataFrame:
-        return self.materialise(bronze.paid_days(self.src.payments, self.settings))
+        return self.layer("paid_days", lambda: bronze.paid_days(self.src.payments, self.settings))
 
     @cached_property
     def eligible(self) -> DataFrame:
         s = self.src
-        return self.materialise(
-            bronze.eligible_providers(self.paid_days, s.providers, s.history, self.settings)
+        return self.layer(
+            "eligible", lambda: bronze.eligible_providers(self.paid_days, s.providers, s.history, self.settings)
         )
 
     @cached_property
@@ -69,8 +82,8 @@ class TrainingTable:
 
     @cached_property
     def spells(self) -> DataFrame:
-        return self.materialise(
-            spells.all_spells(self.eligible, self.paid_days, self.src.history, self.settings)
+        return self.layer(
+            "spells", lambda: spells.all_spells(self.eligible, self.paid_days, self.src.history, self.settings)
         )
 
     @cached_property
@@ -90,15 +103,89 @@ class TrainingTable:
         )
 
 
-def build_training_table(
-    spark: SparkSession, sources: Sources, settings: Settings, target: str | None = None
-) -> DataFrame:
-    """Build the training table and, when ``target`` names a table, store it there."""
-    rows = TrainingTable(sources, settings).rows
-    if target is None:
+# What each layer is made from: the layers before it and the source tables.
+LAYERS = {
+    "paid_days": ((), ("payments",)),
+    "eligible": (("paid_days",), ("providers", "history")),
+    "spells": (("eligible", "paid_days"), ("history",)),
+    "rows": (("spells", "eligible"), ("payments", "history", "interactions", "provider_map", "provider_flags")),
+}
+
+
+def fingerprint(layer: str, settings: Settings, versions: dict[str, str]) -> str:
+    """A digest of all that a layer depends on: settings, source versions, and the layers before it."""
+    before, sources = LAYERS[layer]
+    parts = [layer, repr(settings), *(f"{t}={versions[t]}" for t in sources), *(fingerprint(b, settings, versions) for b in before)]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+class StoredTable(TrainingTable):
+    """A training table whose layers lie under ``base``, each with a manifest of what it was made from.
+
+    A layer whose manifest has the fingerprint of this run is read instead of built, so a run that
+    failed goes on after its last complete layer, and a run on unchanged sources builds nothing. The
+    manifest is written after the rows, so an incomplete layer is never taken for one.
+    """
+
+    def __init__(self, spark: SparkSession, sources: Sources, settings: Settings, versions: dict[str, str], base: str):
+        super().__init__(sources, settings)
+        self.spark, self.versions, self.base = spark, versions, base.rstrip("/")
+        self.built: list[str] = []
+        self.reused: list[str] = []
+
+    def manifest(self, name: str) -> dict:
+        try:
+            return io.read_json(self.spark, f"{self.base}/manifest/{name}")
+        except (AnalysisException, FileNotFoundError):  # not there yet
+            return {}
+
+    def layer(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        mark = fingerprint(name, self.settings, self.versions)
+        known = self.manifest(name)
+        if known.get("fingerprint") == mark:
+            self.reused.append(name)
+            return self.spark.read.parquet(known["path"])
+        path = f"{self.base}/{name}/{mark[:16]}_{uuid.uuid4().hex[:8]}"
+        make().write.parquet(path)
+        rows = self.spark.read.parquet(path)
+        io.write_json(self.spark, {"fingerprint": mark, "path": path, "rows": rows.count()}, f"{self.base}/manifest/{name}")
+        if known.get("path"):
+            io.delete_path(self.spark, known["path"])
+        self.built.append(name)
         return rows
-    rows.write.mode("overwrite").saveAsTable(target)
-    return spark.table(target)
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return self.layer("rows", lambda: TrainingTable.rows.func(self))
+
+
+@dataclass(frozen=True)
+class RunStatus:
+    """How a run ended: a message as text (the error's, if it failed), and which layers it built or reused."""
+
+    ok: bool
+    message: str
+    table: str | None
+    n_rows: int | None
+    built: tuple[str, ...]
+    reused: tuple[str, ...]
+
+
+def run_training_table(
+    spark: SparkSession, sources: Sources, settings: Settings, versions: dict[str, str], base: str, target: str | None = None
+) -> RunStatus:
+    """Build the training table under ``base``, from where an earlier run stopped, and publish it as ``target``.
+
+    ``versions`` names the state of each source table (a table version, or ``io.files_version``). A
+    failure is returned with its text and leaves the complete layers and the former target.
+    """
+    table = StoredTable(spark, sources, settings, versions, base)
+    try:
+        rows = table.rows
+        n = io.publish(rows, target, base) if target else rows.count()
+    except Exception as e:
+        return RunStatus(False, f"error: {e}", target, None, tuple(table.built), tuple(table.reused))
+    return RunStatus(True, f"{n} rows for {target or base}", target, n, tuple(table.built), tuple(table.reused))
 
 
 def fixture_table(spark: SparkSession, sf_dir: str) -> TrainingTable:

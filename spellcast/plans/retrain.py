@@ -170,6 +170,7 @@ def retrain(rows: DataFrame, s: Settings, cfg: RetrainConfig, with_checks: bool
     metadata = train.selection_metadata(
         "project", features, cfg.target, list(cfg.models),
         sampling.imbalance_ratio(training, cfg.target), cfg.undersample_ratio, io.run_stamp(),
+        {name: f.error for name, f in fitted.items() if f.error},
     )
     return RetrainResult(
         ev.split_summary(df, cfg.date_col), checks, encoded, binners, encoder, features, fitted, scored, tables, age, board, metadata

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from spellcast.config import FIXTURE_SETTINGS as S
 from spellcast.functions.dates import date_spine as spine
 from spellcast.operators import bronze, lookback, snapshots, spells
-from spellcast.plans.pipeline import Sources, fixture_table
+from spellcast.plans.pipeline import Sources, StoredTable, fixture_table, run_training_table
 from spellcast.plans.registry import query
+from spellcast.session import shared_folder
 
 
 @query
@@ -148,3 +151,18 @@ def exclusion_flags(spark, sf_dir):
 @query
 def gold_training_row(spark, sf_dir):
     return fixture_table(spark, sf_dir).rows
+
+
+@query
+def training_run(spark, sf_dir):
+    """The training table as a run writes it, layer by layer, with a second run that finds all of them."""
+    base = f"{shared_folder(spark)}/training-{uuid.uuid4().hex}"
+    versions = Sources.fixture_versions(spark, sf_dir)
+    for _ in range(2):
+        status = run_training_table(spark, Sources.from_fixtures(spark, sf_dir), S, versions, base)
+        if not status.ok:
+            raise RuntimeError(status.message)
+    rows = StoredTable(spark, Sources.from_fixtures(spark, sf_dir), S, versions, base).rows
+    return rows.groupBy(F.trunc("date_end", "MM").alias("month")).agg(
+        F.count("*").alias("n_rows"), F.lit(len(status.built)).alias("rebuilt"), F.sum("sumtotalpaymentcount").alias("payments")
+    )

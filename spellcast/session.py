@@ -20,6 +20,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Candidate fits that run at the same time share the cores.
+        .config("spark.scheduler.mode", "FAIR")
         # Checkpoints of results that nothing refers to any more are deleted.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()

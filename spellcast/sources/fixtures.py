@@ -134,8 +134,3 @@ class Fixtures:
 
     def view(self, name: str) -> DataFrame:
         return self.spark.sql(VIEWS[name], **{t: self.table(t) for t in BASE_TABLES[name]})
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in VIEWS:
-            return self.view(name)
-        raise AttributeError(name)

@@ -61,6 +61,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns(fixed) if fixed else df
 
 
+def files_version(spark: SparkSession, path: str) -> str:
+    """A text that changes when the files under ``path`` do: names, sizes and times, not contents."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    mark = F.xxhash64("path", "modificationTime", "length")
+    r = files.agg(F.count("*").alias("n"), F.bit_xor(mark).alias("mark"), F.sum("length").alias("size")).first()
+    return f"{r.n}-{r['size']}-{r.mark}"
+
+
 # --- newest artifacts ---------------------------------------------------------------------
 
 

@@ -375,3 +375,46 @@ def test_outlier_check_does_not_sort_the_values(spark, monkeypatch):
     row = quality.outlier_check(df, ["v"]).first()
     assert abs(row.lower - (59.9 - 1.5 * 479.2)) < 1e-9 and plans
     assert not any("rangepartitioning" in p for p in plans)
+
+
+def test_best_round_waits_for_patience():
+    from spellcast.operators import train
+
+    assert train.best_round([3, 2, 1, 2, 2, 2, 0.5], patience=3) == 3
+    assert train.best_round([3, 2, 1, 2, 2, 0.5], patience=3) == 6
+    assert train.best_round([3, 2, 1], patience=20) == 3 and train.best_round([1, 1, 1]) == 1
+
+
+def test_boosting_stops_at_the_best_round(spark):
+    """Held-out rows that contradict what later trees learn: the model is that of the best round, also in the fallback."""
+    from spellcast.operators import train
+
+    rng = np.random.default_rng(5)
+    x, noise = rng.integers(0, 40, 1200), rng.random(1200)
+    rows = [(i, float(a), float(i % 37), int((a + i % 37 > 38) != (u < 0.08))) for i, (a, u) in enumerate(zip(x, noise))]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    fit, held = df.where("id < 600"), df.where("id >= 600")
+    grid = {"maxIter": [60], "maxDepth": [2], "stepSize": [0.3], "subsamplingRate": [1.0], "featureSubsetStrategy": ["all"]}
+    done = train.tune("GBTClassifier", fit, ["a", "b"], "y", ["id"], held, grid)
+    assert done.error is None and len(done.losses) == 60
+    best = train.best_round(done.losses)
+    assert best == int(np.argmin(done.losses[: best + train.PATIENCE])) + 1 < 60 and best > 1
+    model = done.model.stages[-1]
+    assert model.getNumTrees == best and len(model.treeWeights) == best and model.getMaxDepth() == 2
+    # The cut model is the one that so many rounds would have given.
+    short = train.tune("GBTClassifier", fit, ["a", "b"], "y", ["id"], None, grid | {"maxIter": [best]})
+    a, b = ({r.id: r.prob for r in train.predict(m, held).collect()} for m in (done.model, short.model))
+    assert max(abs(a[i] - b[i]) for i in a) < 1e-12
+    broken = train.tune("GBTClassifier", fit, ["a", "b"], "y", ["id"], held, grid | {"maxDepth": [-1]})
+    assert broken.error and broken.losses and broken.model.stages[-1].getNumTrees == train.best_round(broken.losses)
+
+
+def test_concurrent_search_equals_the_serial_one(spark):
+    from spellcast.operators import train
+
+    rows = [(i, float(i * 7 % 31), float(i * 11 % 17), int((i * 7 % 31) > 15 and i % 5 > 0)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [5, 50]}
+    one, four = (train.tune("DecisionTreeClassifier", df, ["a", "b"], "y", ["id"], None, grid, parallelism=n) for n in (1, 4))
+    assert [(r["params"], r["pr_auc_score"]) for r in one.log] == [(r["params"], r["pr_auc_score"]) for r in four.log]
+    assert one.params == four.params and len(one.log) == 4 and one.error is None and four.error is None

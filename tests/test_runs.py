@@ -1,5 +1,6 @@
 """Whole runs on the smallest scale factor."""
 
+import dataclasses
 import datetime as dt
 import shutil
 import subprocess
@@ -10,9 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from spellcast.config import FIXTURE_SETTINGS
+from spellcast.config import FIXTURE_SETTINGS, ROW_KEY
 from spellcast.operators import scoring
 from spellcast.plans import pipeline, retrain, score
+from spellcast.session import checkpointed
 from spellcast.sources import io
 
 
@@ -63,7 +65,11 @@ def test_retrain_and_score(spark, table, tmp_path):
         models=("LogisticRegression", "DecisionTreeClassifier"), n_bins=(10, 20), min_bin_rows=100,
         overrides={"LogisticRegression": {"C": [1.0]}, "DecisionTreeClassifier": {"maxDepth": [3], "minInstancesPerNode": [20]}},
     )
-    result = retrain.retrain(table.rows, FIXTURE_SETTINGS, cfg)
+    rows = checkpointed(table.rows)
+    checked = {"duration", "sumcheckpaymentcount30", "account_age", "opt_in_vcc", "segment", "state", "payerid_list_check", *ROW_KEY}
+    engineered = retrain.prepare(rows, FIXTURE_SETTINGS, cfg).columns
+    cfg = dataclasses.replace(cfg, not_considered=tuple(c for c in engineered if c not in checked | {"split"}))
+    result = retrain.retrain(rows, FIXTURE_SETTINGS, cfg)
     assert all(f.model is not None and f.error is None for f in result.fitted.values())
     assert {"providertype", "segment"} <= set(result.encoder.sizes) and not set(result.encoder.sizes) & set(result.features)
     board = result.leaderboard.toPandas()
@@ -74,14 +80,15 @@ def test_retrain_and_score(spark, table, tmp_path):
     path = f"{catalog.path('models')}/project__LogisticRegression__{stamp}"
     model, features = io.load_model(spark, path)
     assert features == result.features
-    for name in ("tuning_log/LogisticRegression", "feature_importance/DecisionTreeClassifier", "checks_val", "checks_oos", "leaderboard"):
+    assert io.latest_run(spark, f"{catalog.path('results')}/tuning_log/LogisticRegression").columns[0] == "model"
+    for name in ("feature_importance/DecisionTreeClassifier", "checks_val", "checks_oos", "leaderboard"):
         assert io.latest_run(spark, f"{catalog.path('results')}/{name}").count() > 0
     sizes = [io.latest_run(spark, catalog.path(f"preprocessed_{split}")).count() for split in ("train", "val", "oos")]
     assert all(sizes) and sum(sizes) == result.encoded.count()
     # The stored artifacts alone score new rows as the run itself did.
     binners, encoder = retrain.load_encoders(spark, f"{catalog.path('models')}/project__encoders__{stamp}")
     assert encoder.sizes == result.encoder.sizes and set(binners) == set(result.binners)
-    prepared = score.prepare_retrained(table.rows, FIXTURE_SETTINGS, binners, encoder)
+    prepared = score.prepare_retrained(rows, FIXTURE_SETTINGS, binners, encoder)
     again = score.score(prepared, model, features, scoring.TIER_CUTOFFS["june"], scoring.DECILE_CUTOFFS["june"])
     ids = ["tin", "providerid", "date_start", "date_end"]
     before = result.scored.where(F.col("model") == "LogisticRegression").select(*ids, "prob")
@@ -90,7 +97,7 @@ def test_retrain_and_score(spark, table, tmp_path):
     assert n == before.count() and off < 1e-9
 
     # A scoring run from a scan to the written rows, with a linear and a tree model.
-    table.rows.write.parquet(str(tmp_path / "new"))
+    rows.write.parquet(str(tmp_path / "new"))
     rows = io.scan_since(spark, str(tmp_path / "new"), "date_end", dt.date(1999, 6, 1))
     for name in ("LogisticRegression", "DecisionTreeClassifier"):
         done = score.run(
@@ -127,3 +134,30 @@ def test_repeated_and_clashing_rows(spark):
     assert retrain.unique_rows(df, ["k"]).count() == 2
     with pytest.raises(ValueError):
         retrain.unique_rows(df.union(spark.createDataFrame([(2, "c")], "k int, v string")), ["k"])
+
+
+def test_a_failed_run_resumes_after_its_last_layer(spark, sf_dir, tmp_path):
+    """A run that fails after the spells leaves them, with the error as text; the next one builds only the rest."""
+    src = pipeline.Sources.from_fixtures(spark, sf_dir)
+    versions = pipeline.Sources.fixture_versions(spark, sf_dir)
+    broken = dataclasses.replace(src, interactions=src.interactions.withColumn("actionname", F.raise_error(F.lit("lost contacts")).cast("string")))
+    base, target = str(tmp_path / "base"), "trained_rows"
+    first = pipeline.run_training_table(spark, broken, FIXTURE_SETTINGS, versions, base, target)
+    assert not first.ok and "lost contacts" in first.message and first.built == ("paid_days", "eligible", "spells")
+    assert not spark.catalog.tableExists(target)
+    # The payments are not needed for the layers that are there.
+    gone = dataclasses.replace(src, history=src.history.withColumn("statusname", F.raise_error(F.lit("read again")).cast("string")))
+    table = pipeline.StoredTable(spark, gone, FIXTURE_SETTINGS, versions, base)
+    assert table.spells.count() > 0 and table.reused == ["spells"] and not table.built
+    second = pipeline.run_training_table(spark, src, FIXTURE_SETTINGS, versions, base, target)
+    assert second.ok and second.built == ("rows",) and set(second.reused) == {"spells", "eligible"}
+    assert spark.table(target).count() == second.n_rows > 0
+    third = pipeline.run_training_table(spark, broken, FIXTURE_SETTINGS, versions, base, target)
+    assert third.ok and third.built == () and third.n_rows == second.n_rows
+    # Another version of one source rebuilds what depends on it, and only that.
+    changed = versions | {"interactions": "2"}
+    fourth = pipeline.run_training_table(spark, broken, FIXTURE_SETTINGS, changed, base, target)
+    assert not fourth.ok and spark.table(target).count() == second.n_rows
+    assert pipeline.fingerprint("spells", FIXTURE_SETTINGS, changed) == pipeline.fingerprint("spells", FIXTURE_SETTINGS, versions)
+    assert pipeline.fingerprint("spells", FIXTURE_SETTINGS, versions | {"payments": "2"}) != pipeline.fingerprint("spells", FIXTURE_SETTINGS, versions)
+    spark.sql(f"DROP TABLE {target}")
