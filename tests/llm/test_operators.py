@@ -372,3 +372,89 @@ def test_queries_have_the_agreed_columns(spark, sf_dir):
         assert queries.QUERIES[name](spark, sf_dir).columns[: len(columns.split())] == columns.split()
     extra = queries.op7_chat_format(spark, sf_dir).filter("conv_id = -7").first()
     assert extra.loss_sha256 == hashlib.sha256(queries.CONTROL_TEXT.encode()).hexdigest()
+
+
+def plain_components(rows):
+    """The document kept of every group of rows (id, text), and all ids that stay."""
+    sets = [(i, shingled(t)) for i, t in rows]
+    group = {i: i for i, _ in sets}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                x, y = sorted((top(i), top(j)))
+                group[y] = x
+    return {i for i, _ in sets if top(i) == i}
+
+
+def plain_repeats(rows):
+    """Texts after removing 13-word windows that start in a document with a smaller id."""
+    first, out = {}, {}
+    for i, t in sorted(rows):
+        w = words(t)
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), i)
+    for i, t in rows:
+        w = words(t)
+        gone = {k + j for k in range(len(w) - 12) if first[tuple(w[k : k + 13])] < i for j in range(13)}
+        if not gone:
+            out[i] = t
+        elif len(gone) < len(w):
+            out[i] = b" ".join(x for k, x in enumerate(w) if k not in gone).decode()
+    return out
+
+
+def test_pipeline_equals_plain_python(spark, sf_dir, tmp_path):
+    """Every stage's rows against a plain version over what the stage before kept; the classifier's verdicts are given."""
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    made = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        made[name] = sorted(map(tuple, docs.collect()), key=lambda r: r[0])
+    rows = [(r[0], r[1]) for r in made["quality_classifier"]]
+    stay = plain_components(rows)
+    assert [(r[0], r[1]) for r in made["minhash_dedup"]] == [r for r in rows if r[0] in stay] and len(stay) < len(rows)
+    cut = plain_repeats([(r[0], r[1]) for r in made["minhash_dedup"]])
+    assert {r[0]: r[1] for r in made["substring_dedup"]} == cut
+    items = [shingled(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    leaks = {i for i, t in cut.items() if any(x and 100 * len(shingled(t) & x) >= 75 * len(x) for x in items)}
+    assert [r[0] for r in made["decontamination"]] == sorted(set(cut) - leaks) and leaks
+    coder = Tokenizer.from_file(VOCABULARY)
+    coder.encode_special_tokens = True
+    for (i, n, ids, _), r in zip(made["bpe"], made["decontamination"]):
+        want = coder.encode(r[1] or "", add_special_tokens=False).ids
+        assert (i, n, ids) == (r[0], len(want), hashlib.sha256(",".join(map(str, want)).encode()).hexdigest())
+
+
+def test_license_base_columns_equal_brute_force(spark, sf_dir):
+    """Places, words and labels of the base phrases by a plain scan of every word."""
+    import re
+
+    phrases = {("mit", "license"): "mit", ("apache", "license"): "apache", ("general", "public", "license"): "gpl"}
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rows += [(-1, None), (-2, ""), (-3, "MIT-License mit LICENSE apache\nlicense; general public license general public"), (-3, "mit license " * 300), (-4, "smit license")]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = []
+    for i, t in rows:
+        text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+        hits = [(k, label) for p, label in phrases.items() for k in range(len(w)) if tuple(w[k : k + len(p)]) == p]
+        at = [k for k, _ in hits]
+        want.append((i, len(w), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits}))))
+    key = lambda r: (r[0], r[1])
+    assert sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got), key=key) == sorted(want, key=key)
+    assert sum(r[2] for r in want) > 300 and all(set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+    assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_empty_tables_of_the_text_operators(spark):
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert bpe.encode(spark.createDataFrame([], "doc_id long, text string"), VOCABULARY, decoded=True).count() == 0
