@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from spellcast.llm import bpe, decontaminate, minhash_dedup, quality_classifier, substring_dedup
 from spellcast.session import shared_folder
+from spellcast.sources.io import delete_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -71,12 +72,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; results between stages lie in the session's shared folder."""
+    """All stages over documents; results between stages lie in the session's shared folder.
+
+    A stage's copy is deleted when the next one is complete; the last one is what the result reads.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{name}")
         docs = spark.read.parquet(f"{place}/{name}")
+        if before is not None:
+            delete_path(spark, before)
+        before = f"{place}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
