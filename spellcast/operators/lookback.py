@@ -106,13 +106,14 @@ def call_days(interactions: DataFrame, s: Settings) -> DataFrame:
 
 
 def optout_days(history: DataFrame) -> DataFrame:
-    """Opt-outs per provider-day, with the last note and two keyword flags."""
+    """Opt-outs per provider-day, with the time of the last one, its note and two keyword flags."""
     note = F.lower(F.coalesce("notes", F.lit("")))
     return (
         history.where((F.col("statusname") == "Opt-Out") & (F.col("optout_reason") == 0))
         .groupBy(*KEY, F.to_date("statusstartdate").alias("day"))
         .agg(
             F.count("*").alias("optouts"),
+            F.max("statusstartdate").alias("optout_at"),
             F.max_by("notes", F.struct("statusstartdate", F.coalesce("notes", F.lit("")))).alias("note"),
             F.max(_any_like(note, FEE_NOTE_PATTERNS).cast("int")).alias("fee"),
             F.max(_any_like(note, CONFUSED_NOTE_PATTERNS).cast("int")).alias("confused"),
@@ -193,7 +194,7 @@ def _optouts(days: int | None, suffix: str) -> list[Column]:
     w = _before(KEY, days)
     return [
         F.coalesce(F.sum("optouts").over(w), F.lit(0).cast("long")).alias(f"total_prev_optouts{suffix}"),
-        F.max("optout_day").over(w).alias(f"date_last_optout{suffix}"),
+        F.max("optout_at").over(w).alias(f"date_last_optout{suffix}"),
         F.max_by("note", "optout_day").over(w).alias(f"last_optout_note{suffix}"),
         F.coalesce(F.max("fee").over(w), F.lit(0)).alias(f"optout_notes_fee_flag{suffix}"),
         F.coalesce(F.max("confused").over(w), F.lit(0)).alias(

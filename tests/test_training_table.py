@@ -153,6 +153,14 @@ def test_prior_optout_notes(spark):
     assert (y.total_prev_optouts_last_year, y.optout_notes_fee_flag_last_year) == (1, 0)
 
 
+def test_last_optout_keeps_its_time(spark):
+    gold = gold_of(spark, "2021-01-01", "2021-05-10")
+    h = history(spark, [(1, "Opt-Out", "x", "2021-03-01", "early"), (1, "Opt-Out", "x", "2021-03-01", "late")])
+    h = h.withColumn("statusstartdate", F.when(F.col("notes") == "early", F.lit("2021-03-01 08:00:00")).otherwise("2021-03-01 17:30:00").cast("timestamp_ntz"))
+    r = lookback.prior_optouts(gold, h, S).first()
+    assert (r.date_last_optout, r.last_optout_note, r.total_prev_optouts) == (dt.datetime(2021, 3, 1, 17, 30), "late", 2)
+
+
 def test_exclusions_do_not_fan_out(spark):
     m = spark.createDataFrame([(1, 1, False, False, 31, 3), (1, 1, False, False, 31, 1)],
                               "tin int, providerid int, donotcall boolean, globalexcluded boolean, statusid int, productlineid int")
