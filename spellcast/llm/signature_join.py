@@ -19,10 +19,10 @@ two of them lies a further band, a seam, so that two similar sets always share a
 4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Candidates
    with so many shingles that no other candidate has that they can't reach the limit are set aside,
    which most are that share only a passage. Every bucket has a leader; a set is compared with the one
-   that leads most of its buckets, and in a second round with all leaders (others than before) of its
+   that leads most of its buckets, and in two more rounds with all leaders (others each time) of its
    buckets in other components. In the end the members outside a bucket's main component are compared
-   with its other components. Pairs are screened by bounds (sizes, shingles of their own, and counts of
-   shingles by hash, which bound the number of different ones from below) and confirmed by
+   with its other components. Pairs are screened by bounds (sizes, shingles of their own, and parities of
+   shingle counts by hash, which bound the number of different ones from below) and confirmed by
    intersecting the full sets.
 
 Equal sets collapse to one before anything is compared; no pairs within a component are made.
@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -58,8 +58,9 @@ K2, N2 = 1, 3
 STEPS = 4
 #: Hashes under which a set is signed before its empty signatures are needed.
 TRIES = 8
-#: Hash cells whose shingle counts bound the difference of two sets.
-CELLS = 64
+#: Hash cells, a multiple of 64. The cells in which two sets have an odd and an even number of shingles
+#: are no more than the shingles in which they differ.
+CELLS = 1024
 #: Bits of the filter of wanted documents; its size is fixed, and a full filter lets every document pass.
 FILTER_BITS = 24
 
@@ -211,7 +212,7 @@ def sharing(every: DataFrame) -> DataFrame:
 
 
 def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Rows (key, k1, k2, shingles, cells) of the texts that pass the filter: the set, its digests and its shingle counts by hash cell."""
+    """Rows (key, k1, k2, shingles, odd) of the texts that pass the filter: the set, its digests and the parities by hash cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,13 +223,19 @@ def shingled(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
                 values, ends = set_lists(part.column("h"), WORDS)
                 k1, k2 = _digests(values, ends)
                 found = np.split(values, ends[:-1])
-                cells = [np.bincount((mixed(s, 3) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS).astype(np.uint64) for s in found]
+                odd = [parities(s) for s in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), pa.array(k1), pa.array(k2), long_lists(found), long_lists(cells)],
-                    names=["key", "k1", "k2", "shingles", "cells"],
+                    [part.column("key"), pa.array(k1), pa.array(k2), long_lists(found), long_lists(odd)],
+                    names=["key", "k1", "k2", "shingles", "odd"],
                 )
 
-    return _placed(keyed).mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, cells array<long>")
+    return _placed(keyed).mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>, odd array<long>")
+
+
+def parities(values: np.ndarray) -> np.ndarray:
+    """A bit a hash cell: whether the set has an odd number of shingles there."""
+    counts = np.bincount((mixed(values, 3) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<u8").astype(np.uint64)
 
 
 def own_counts(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -247,10 +254,10 @@ def own_counts(keyed: DataFrame, wanted: np.ndarray) -> DataFrame:
     return single.groupBy("key").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _may_link(n_a: Column, own_a: Column, cells_a: Column, n_b: Column, own_b: Column, cells_b: Column) -> Column:
-    """Whether two sets can reach the limit by their sizes, own shingles and counts by cell."""
+def _may_link(n_a: Column, own_a: Column, odd_a: Column, n_b: Column, own_b: Column, odd_b: Column) -> Column:
+    """Whether two sets can reach the limit by their sizes, own shingles and parities."""
     most = F.least(n_a - own_a, n_b - own_b)
-    apart = F.aggregate(F.zip_with(cells_a, cells_b, lambda x, y: F.abs(x - y)), F.lit(0).cast("long"), lambda s, x: s + x)
+    apart = reduce(lambda a, b: a + b, [F.bit_count(odd_a[i].bitwiseXOR(odd_b[i])) for i in range(CELLS // 64)])
     return (100 * most >= PERCENT * (n_a + n_b - most)) & (apart * (100 + PERCENT) <= (n_a + n_b) * (100 - PERCENT))
 
 
@@ -263,7 +270,7 @@ def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 def _links(pairs: DataFrame, facts: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full sets reach the limit."""
-    seen = _both(pairs, facts, "n", "own", "cells").filter(_may_link(*(F.col(f"{c}_{e}") for e in "ab" for c in ("n", "own", "cells"))))
+    seen = _both(pairs, facts, "n", "own", "odd").filter(_may_link(*(F.col(f"{c}_{e}") for e in "ab" for c in ("n", "own", "odd"))))
     full = _both(seen.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n")), sets, "shingles")
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return full.select("a", "b", "n", shared.alias("shared")).filter(100 * F.col("shared") >= PERCENT * (F.col("n") - F.col("shared"))).select("a", "b")
@@ -318,7 +325,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     able = checkpointed(able.filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")))
     members = checkpointed(members.join(able.select("node"), "node"))
     full = shingled(keyed, wanted_filter(able.select("key")))
-    sets = checkpointed(full.join(able, same).dropDuplicates(same).select("node", "n", "own", "cells", "shingles"))
+    sets = checkpointed(full.join(able, same).dropDuplicates(same).select("node", "n", "own", "odd", "shingles"))
     facts = sets.drop("shingles")
 
     # Texts of one document are linked, whatever they share.
@@ -329,17 +336,22 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # First every set with the leader that it shares most buckets with, which joins most of a group.
     most = _led(members, labels, F.col("node")).groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
     labels = connect(labels, checkpointed(_links(most, facts, sets)))
-    again = _led(members, labels, F.xxhash64("node")).select("a", "b")
-    labels = connect(labels, checkpointed(_links(again, facts, sets)))
+    for seed in (1, 2):
+        again = _led(members, labels, F.xxhash64("node", F.lit(seed))).select("a", "b")
+        labels = connect(labels, checkpointed(_links(again, facts, sets)))
 
     # What is left: members of a bucket outside its main component against its other components.
     placed = members.select("bucket", "node").join(labels, "node")
     counts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-    rest = checkpointed(placed.join(split.select("bucket", "main"), "bucket"))
-    outside = rest.filter("comp <> main").select("bucket", F.col("node").alias("a"), F.col("comp").alias("comp_a"))
-    apart = outside.join(rest, "bucket").filter((F.col("comp_a") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("a") < F.col("node"))))
-    labels = connect(labels, checkpointed(_links(apart.select("a", F.col("node").alias("b")).distinct(), facts, sets)))
+    rest = checkpointed(placed.join(split.select("bucket", "main"), "bucket").join(facts, "node"))
+    outside = rest.filter("comp <> main").select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("node", "comp", "n", "own", "odd")))
+    apart = outside.join(rest, "bucket").filter(
+        (F.col("comp_a") != F.col("comp"))
+        & ((F.col("comp") == F.col("main")) | (F.col("node_a") < F.col("node")))
+        & _may_link(*map(F.col, ("n_a", "own_a", "odd_a", "n", "own", "odd")))
+    )
+    labels = connect(labels, checkpointed(_links(apart.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), facts, sets)))
 
     least = labels.join(distinct.select("node", "least"), "node")
     least = least.join(least.groupBy("comp").agg(F.min("least").alias("of_comp")), "comp").select("node", "of_comp")
