@@ -217,14 +217,16 @@ def _profile(cols, numeric: bool) -> str:
         f"""SELECT dataset, '$c' AS column_name, count(*) AS n_rows, count(*) - count($c) AS nulls,
                    count(DISTINCT $c) AS distinct_values,
                    (SELECT max(n) FROM (SELECT i.$c, count(*) AS n FROM checked i WHERE i.dataset = o.dataset
-                                        AND i.$c IS NOT NULL GROUP BY 1)) AS top_count, {num}
+                                        AND i.$c IS NOT NULL GROUP BY 1)) AS top_count,
+                   {'NULL' if numeric else """(SELECT arg_min(v, lpad(CAST(1000000000 - n AS VARCHAR), 12, '0') || v) FROM (
+                      SELECT CAST(i.$c AS VARCHAR) AS v, count(*) AS n FROM checked i WHERE i.dataset = o.dataset AND i.$c IS NOT NULL GROUP BY 1))"""} AS top_value, {num}
             FROM checked o GROUP BY dataset""",
         cols,
     )
 
 
 ORACLE["column_profile"] = query(
-    f"""SELECT dataset, column_name, n_rows, nulls, distinct_values, top_count,
+    f"""SELECT dataset, column_name, n_rows, nulls, distinct_values, top_count, top_value,
         {rnd('min', 'max', 'mean', 'std', 'p05', 'p25', 'p50', 'p75', 'p95', digits=6)}
         FROM ({_profile(NUMERIC, True)} UNION ALL {_profile(CATEGORIES + LONG_TAIL, False)})""",
     "checked",

@@ -378,7 +378,8 @@ def verdict(checks: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, numeric: list[str], others: list[str]) -> DataFrame:
-    """Per dataset and column: counts, nulls, distinct values, range, moments and quantiles."""
+    """Per dataset and column: counts, nulls, distinct values, the most frequent text (the first of
+    equals), range, moments and quantiles."""
     text = long_form(df, numeric + others, lambda c: c.cast("string"))
     counts = text.groupBy("dataset", "column_name", "value").agg(F.count("*").alias("n"))
     common = counts.groupBy("dataset", "column_name").agg(
@@ -386,7 +387,8 @@ def profile(df: DataFrame, numeric: list[str], others: list[str]) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0).cast("long")).alias("nulls"),
         F.count("value").alias("distinct_values"),
         F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("top_count"),
-    )
+        F.min_by("value", F.when(F.col("value").isNotNull(), F.struct(-F.col("n"), "value"))).alias("top_value"),
+    ).withColumn("top_value", F.when(F.col("column_name").isin(*others) if others else F.lit(False), F.col("top_value")))
     numbers = _long_numbers(df, numeric)
     moments = numbers.groupBy("dataset", "column_name").agg(
         F.min("value").alias("min"), F.max("value").alias("max"),
