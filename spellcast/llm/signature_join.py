@@ -18,9 +18,9 @@ two of them lies a further band, a seam, so that two similar sets always share a
    enough, both are signed, and the set with more partitions is signed in all those of the other.
 4. Sets that share a signature are candidates; signatures with the same sets are one bucket. Candidates
    with so many shingles that no other candidate has that they can't reach the limit are set aside,
-   which most are that share only a passage. Every bucket has a leader; a set is compared with the one
-   that leads most of its buckets, and in two more rounds with all leaders (others each time) of its
-   buckets in other components. In the end the members outside a bucket's main component are compared
+   which most are that share only a passage. Every bucket has a leader; in ``ROUNDS`` rounds, with other
+   leaders each, a set is compared with the one that leads most of its buckets in other components,
+   one pair a set. In the end the members outside a bucket's main component are compared
    with its other components. Pairs are screened by bounds (sizes, shingles of their own, and parities of
    shingle counts by hash, which bound the number of different ones from below) and confirmed by
    intersecting the full sets.
@@ -56,6 +56,8 @@ PERCENT = 80
 K2, N2 = 1, 3
 #: Sizes of a band: from one size up to this often the largest size similar to the one before.
 STEPS = 4
+#: Times that every set is compared with a leader before pairs are.
+ROUNDS = 4
 #: Hashes under which a set is signed before its empty signatures are needed.
 TRIES = 8
 #: Hash cells, a multiple of 64. The cells in which two sets have an odd and an even number of shingles
@@ -333,12 +335,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     start = able.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
     labels = connect(checkpointed(start.select("node", F.col("node").alias("comp"))), of_one)
 
-    # First every set with the leader that it shares most buckets with, which joins most of a group.
-    most = _led(members, labels, F.col("node")).groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
-    labels = connect(labels, checkpointed(_links(most, facts, sets)))
-    for seed in (1, 2):
-        again = _led(members, labels, F.xxhash64("node", F.lit(seed))).select("a", "b")
-        labels = connect(labels, checkpointed(_links(again, facts, sets)))
+    # Every set with the leader that it shares most buckets with, other leaders each time.
+    for seed in range(ROUNDS):
+        order = F.xxhash64("node", F.lit(seed)) if seed else F.col("node")
+        most = _led(members, labels, order).groupBy("a").agg(F.max_by("b", F.struct("buckets", "b")).alias("b"))
+        labels = connect(labels, checkpointed(_links(most, facts, sets)))
 
     # What is left: members of a bucket outside its main component against its other components.
     placed = members.select("bucket", "node").join(labels, "node")
