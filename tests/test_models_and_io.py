@@ -229,7 +229,7 @@ def test_200000_levels_fit_store_load_and_score(spark, tmp_path):
     plan = encoder.index(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" in plan and len(plan) < 20_000  # no level is part of the plan
     coded = encoder.transform(df)
-    fitted = train.tune("LogisticRegression", coded, ["x", "k_onehot"], "y", ["id"], None, {"C": [1.0]}, encoder)
+    fitted = train.tune("LogisticRegression", coded, ["x", "k_onehot"], "y", ["id"], None, {"C": [1.0], "maxIter": [5]}, encoder)
     assert fitted.error is None and fitted.features == ["x", "k_onehot"]
     encoder.store(str(tmp_path / "levels"))
     again = levels.load_encoder(spark, str(tmp_path / "levels"))
