@@ -22,7 +22,7 @@ Defined cases: NULL and empty texts have no shingles and link with nothing; text
 a shingle are one shingle; equal sets are linked; rows that share an id are one document, whose texts
 are linked, each with its row; rows without id that share a text are one document as well, their
 component is the smallest id linked with it or NULL if there is none, and of a component without ids
-one document is kept; ids below -2**62 are reserved; other columns are ignored.
+one document is kept; ids below -2**61 are reserved; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spellcast.llm.components import connect
-from spellcast.llm.text import document_key, hash_lists, keyed_hashes, long_lists, mixed, shingles, slices, words
+from spellcast.llm.text import document_key, hash_lists, long_lists, lower_ascii, mixed, shingles, slices, word_hashes, words
 from spellcast.session import checkpointed
 
 WORDS = 5
@@ -89,12 +89,9 @@ def similarity(a: Column, b: Column) -> Column:
     return ((1 - differ / _MINIMA) - chance) / (1 - chance)
 
 
-def _digest(values: np.ndarray) -> tuple[np.uint64, np.uint64]:
-    return mixed(values, 1).sum(dtype=np.uint64), mixed(values, 2).sum(dtype=np.uint64)
-
-
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: key, doc_id, n_shingles, two digests of the whole set, band keys and packed signature."""
+    """Per row: doc_id, n_shingles, two keys of the whole set, band keys and packed signature."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_hashes(lower_ascii(F.col(text_col))).alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, dtype=np.uint64)
@@ -104,39 +101,43 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 for h in hash_lists(part.column("h")):
                     s = shingles(h, WORDS)
                     sizes.append(len(s))
-                    keys.append(_digest(s))
+                    with np.errstate(over="ignore"):
+                        keys.append((mixed(s, 1).sum(dtype=np.uint64), mixed(s, 2).sum(dtype=np.uint64)))
                     least = minima(s) if len(s) else None
                     bands.append(none if least is None else band_keys(least))
                     bits.append(none if least is None else packed(least))
                 k = np.array(keys, dtype=np.uint64).reshape(-1, 2).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]), long_lists(bands), long_lists(bits)],
-                    names=["key", "doc_id", "n_shingles", "k1", "k2", "bands", "bits"],
+                    [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(k[:, 0]), pa.array(k[:, 1]), long_lists(bands), long_lists(bits)],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "bits"],
                 )
 
-    schema = "key long, doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, bits array<long>"
-    return keyed_hashes(docs, id_col, text_col).mapInArrow(run, schema)
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, bits array<long>")
 
 
-def shingle_sets(keyed: DataFrame) -> DataFrame:
-    """Per row of ``keyed`` (key, h): key, the digests of its set and the sorted hashes of its distinct shingles."""
+def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id and the sorted hashes of its distinct shingles."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_hashes(lower_ascii(F.col(text_col))).alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = [shingles(h, WORDS) for h in hash_lists(part.column("h"))]
-                k = np.array([_digest(s) for s in found], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(k[:, 0]), pa.array(k[:, 1]), long_lists(found)], names=["key", "k1", "k2", "shingles"])
+                sets = long_lists([shingles(h, WORDS) for h in hash_lists(part.column("h"))])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets], names=["doc_id", "shingles"])
 
-    return keyed.select("key", "h").mapInArrow(run, "key long, k1 long, k2 long, shingles array<long>")
+    return rows.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def _own_counts(sets: DataFrame) -> DataFrame:
-    """Per set of ``sets`` (node, shingles): its size n and its own shingles, those that no other set has."""
+    """Per node of ``sets`` (node, shingles): its size n and its own shingles, those that no other set has.
+
+    Nodes with several sets (rows that share an id) get no own ones, so that they are never set aside.
+    """
     each = sets.select("node", F.explode("shingles").alias("shingle"))
     single = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node")).filter("sets = 1")
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    return sets.select("node", F.size("shingles").alias("n")).join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    sizes = sets.groupBy("node").agg(F.count(F.lit(1)).alias("sets"), F.max(F.size("shingles")).alias("n"))
+    return sizes.join(own, "node", "left").select("node", "n", F.when(F.col("sets") == 1, F.coalesce("own", F.lit(0))).otherwise(F.lit(0)).alias("own"))
 
 
 def _reachable(n_a: Column, own_a: Column, n_b: Column, own_b: Column) -> Column:
@@ -160,24 +161,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", n.alias("n"), shared.alias("shared")).filter(100 * F.col("shared") >= PERCENT * (F.col("n") - F.col("shared"))).select("a", "b")
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest id reachable), kept, and the document's key."""
+def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest id reachable) and kept, where an id has one text."""
     rows = checkpointed(sketches(docs, id_col, text_col))
-    filled = rows.filter("n_shingles > 0")
-    numbered = filled.groupBy("k1", "k2").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
-    numbered = checkpointed(numbered.withColumn("node", F.monotonically_increasing_id()))  # a number a set
-    same = ["k1", "k2", "key"]
-    distinct = filled.select(*same, "bands", "bits").join(numbered.select(*same, "node"), same).dropDuplicates(same)
+    leads = rows.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("lead"))
+    distinct = rows.join(leads.withColumnRenamed("lead", "doc_id"), ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["k1", "k2", "doc_id"])
 
     # Bands with two members or more; one shuffle serves the count and the join.
-    spread = distinct.select(F.posexplode("bands").alias("slot", "band"), "node").repartition("band")
+    spread = distinct.select(F.posexplode("bands").alias("slot", "band"), F.col("doc_id").alias("node")).repartition("band")
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     members = checkpointed(spread.join(shared, "band"))
-    wanted = numbered.join(members.select("node").distinct(), "node", "left_semi").select(*same, "node")
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), document_key(F.col(id_col), F.col(text_col)).alias("_key"))
-    texts = texts.join(wanted.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi")
-    full = shingle_sets(keyed_hashes(texts, "doc_id", "text"))
-    sets = checkpointed(full.join(wanted, same).dropDuplicates(same).select("node", "shingles"))
+    nodes = members.select("node").distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    sets = checkpointed(
+        shingle_sets(texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")).distinct()
+        .withColumnRenamed("doc_id", "node")
+    )
 
     # Sets that can't reach the limit with any other go; the second pass counts without them.
     for _ in range(2):
@@ -185,15 +184,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         sets = sets.join(able.select("node"), "node", "left_semi")
     sets = checkpointed(sets)
     members = checkpointed(members.join(able, "node"))
-
-    # Texts of one document are linked, whatever they share.
-    nodes = filled.select(*same[:2], "key").join(numbered.select("k1", "k2", "node"), ["k1", "k2"]).select("key", "node").distinct()
-    several = nodes.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
-    of_one = checkpointed(nodes.join(several, "key").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")))
-    start = able.select("node").union(of_one.select("a")).union(of_one.select("b")).distinct()
-    labels = connect(checkpointed(start.select("node", F.col("node").alias("comp"))), of_one)
+    labels = checkpointed(able.select("node", F.col("node").alias("comp")))
     keys = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int"))
-    signatures = checkpointed(distinct.select("node", "bits", keys.alias("keys")).join(able, "node"))
+    signatures = checkpointed(distinct.select(F.col("doc_id").alias("node"), "bits", keys.alias("keys")).join(able, "node"))
 
     # A few bands first: they connect most of a large group, whose members need no further pairs then.
     central = F.struct(F.col("own") / F.col("n"), "node")
@@ -220,14 +213,52 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     labels = connect(labels, checkpointed(_confirmed(apart.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), sets)))
 
-    named = labels.join(numbered.select("node", "least", "key"), "node")
-    named = named.join(named.groupBy("comp").agg(F.min("least").alias("of_comp"), F.min("key").alias("first")), "comp").select("node", "of_comp", "first")
-    known = numbered.join(named, "node", "left").select(
-        "k1", "k2", F.lit(True).alias("has"), F.coalesce("of_comp", "least").alias("component"), F.coalesce("first", "key").alias("first")
-    )
-    found = rows.select("key", "doc_id", "n_shingles", "k1", "k2", (F.col("n_shingles") > 0).alias("has")).join(known, ["k1", "k2", "has"], "left")
+    known = rows.select("doc_id", "n_shingles", "k1", "k2").join(leads, ["k1", "k2"], "left")
+    lead = F.when(F.col("n_shingles") > 0, F.col("lead"))
+    found = known.withColumn("node", F.coalesce(lead, F.col("doc_id"))).join(labels, "node", "left")
+    component = F.coalesce("comp", "node")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, doc_id, text) with a key for every document and text, and the ids with several texts.
+
+    The key is the id; rows without id, and those of an id with several texts, have one made from the text.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    mark = F.xxhash64(lower_ascii(F.coalesce("text", F.lit(""))))
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("a"), F.max(mark).alias("b")).filter("a <> b")
+    several = checkpointed(several.select(F.col("doc_id").alias("of"), F.lit(True).alias("many")))
+    key = document_key(F.col("doc_id"), F.col("text"))
+    if several.isEmpty():
+        return rows.select(key.alias("key"), "doc_id", "text"), several
+    made = F.lit(-(2**61) - 1) - F.xxhash64("doc_id", mark).bitwiseAND(F.lit(2**61 - 1))
+    joined = rows.join(several, F.col("doc_id") == F.col("of"), "left")
+    return joined.select(F.when(F.col("many"), made).otherwise(key).alias("key"), "doc_id", "text"), several
+
+
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest id reachable), kept, and the row's key."""
+    named, several = _named(docs, id_col, text_col)
+    found = linked(named, "key", "text").select(F.col("doc_id").alias("key"), "n_shingles", F.col("component_id").alias("comp"))
+    # Only components with a made key, the smallest of their keys, need another name.
+    made = found.filter("comp < 0 and n_shingles > 0")
+    if several.isEmpty() and made.isEmpty():
+        kept = F.coalesce(F.col("key") == F.col("comp"), F.lit(True))
+        return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("comp").alias("component_id"), kept.alias("kept"), "key")
+    found = checkpointed(found)
+    ids = named.select("key", "doc_id").distinct()
+    parts = found.filter("n_shingles > 0").select("key", "comp").distinct().join(ids, "key")
+    own = parts.join(several, F.col("doc_id") == F.col("of")).select("doc_id", "comp").distinct()
+    first = own.groupBy("doc_id").agg(F.min("comp").alias("a"))
+    links = checkpointed(own.join(first, "doc_id").filter("comp <> a").select("a", F.col("comp").alias("b")))
+    start = parts.select(F.col("comp").alias("node")).distinct().select("node", F.col("node").alias("comp"))
+    labels = connect(checkpointed(start), links).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+    least = parts.join(labels, "comp").groupBy("whole").agg(F.min("doc_id").alias("component"), F.min("key").alias("first"))
+    names = labels.join(least, "whole").select("comp", "component", "first", F.lit(True).alias("has"))
+    rows = found.withColumn("has", F.col("n_shingles") > 0).join(ids, "key").join(names, ["comp", "has"], "left")
     kept = F.when(~F.col("has"), True).when(F.col("component").isNull(), F.col("key") == F.col("first")).otherwise(F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)))
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), kept.alias("kept"), "key")
+    return rows.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), kept.alias("kept"), "key")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,7 +266,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     A document goes with all its rows, those with an empty text too.
     """
-    gone = components(docs, id_col, text_col).filter("not kept").select(F.col("key").alias("__key")).distinct()
-    left = docs.withColumn("__key", document_key(F.col(id_col), F.col(text_col))).join(gone, "__key", "left_anti")
-    known = F.col(id_col).isNotNull() | (F.size(words(F.col(text_col))) == 0)
+    gone = components(docs, id_col, text_col).filter("not kept")
+    known, key = F.col(id_col).isNotNull(), document_key(F.col(id_col), F.col(text_col))
+    name = F.coalesce("doc_id", "key")
+    left = docs.withColumn("__key", key).join(gone.select(name.alias("__key")).distinct(), "__key", "left_anti")
+    known = known | (F.size(words(F.col(text_col))) == 0)
     return left.filter(known).unionByName(left.filter(~known).dropDuplicates(["__key"])).drop("__key")
