@@ -85,7 +85,8 @@ def eligible_providers(
     """Providers in scope with first payment dates, opt-in / opt-out dates and day counts.
 
     Both event sources are aggregated to one row per provider before they are joined, so
-    the joins are one-to-one. ``paid`` comes from ``paid_days``.
+    the joins are one-to-one. ``paid`` comes from ``paid_days``. Stored layers of a row per provider look
+    small enough to be sent to the driver, as they compress well; so joins on the provider name their kind.
     """
     first_paid = paid.groupBy(*KEY).agg(
         F.min(F.when(F.col("ach_rows") > 0, F.col("day"))).alias("firstachpaydate"),
@@ -111,8 +112,8 @@ def eligible_providers(
     )
     return (
         _created_in_scope(providers, s)
-        .join(first_paid, KEY, "left")
-        .join(per_provider, KEY, "left")
+        .join(first_paid.hint("merge"), KEY, "left")
+        .join(per_provider.hint("merge"), KEY, "left")
         .withColumn("optin_ach", F.col("firstachpaydate").isNotNull().cast("int"))
         .withColumn("optin_vcc", F.col("firstvccpaydate").isNotNull().cast("int"))
     )

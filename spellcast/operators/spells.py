@@ -107,7 +107,7 @@ def action_timeline(eligible: DataFrame, paid: DataFrame, history: DataFrame) ->
         F.lit(1).cast("long").alias("n_events"),
         "cohort",
     )
-    return events.join(ever_out.select(*KEY, "cohort"), KEY).unionByName(creation)
+    return events.join(ever_out.select(*KEY, "cohort").hint("merge"), KEY).unionByName(creation)
 
 
 def next_action(timeline: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def optout_spells(actions: DataFrame, eligible: DataFrame, s: Settings) -> DataF
     )
     return (
         windowed.drop("part", "action_rank")
-        .join(eligible.select(*KEY, *attributes_of(eligible)), KEY, "left")
+        .join(eligible.select(*KEY, *attributes_of(eligible)).hint("merge"), KEY, "left")
         .withColumn("tpid", tpid())
     )
 
