@@ -47,14 +47,14 @@ def gold_spells(spells: DataFrame, s: Settings) -> DataFrame:
 
 
 def spell_spans(spells: DataFrame, s: Settings) -> DataFrame:
-    """Per spell with a snapshot older than ``min_duration`` days: its first and last snapshot date.
+    """Per spell with a snapshot older than ``min_duration`` days: its first, last and all snapshot dates.
 
     Computed on the spell row; the snapshots need not be generated for it.
     """
     dates = spine_dates_between(F.date_add("date_start", s.min_duration), F.col("date_end"), s)
-    ends = spells.select(*KEY, "date_start", F.array_min(dates).alias("first_end"), F.array_max(dates).alias("until"))
+    ends = spells.select(*KEY, "date_start", F.array_min(dates).alias("first_end"), F.array_max(dates).alias("until"), dates.alias("ends"))
     return (
         ends.where(F.col("until").isNotNull())
         .groupBy(*KEY, "date_start")
-        .agg(F.min("first_end").alias("first_end"), F.max("until").alias("until"))
+        .agg(F.min("first_end").alias("first_end"), F.max("until").alias("until"), F.flatten(F.collect_list("ends")).alias("ends"))
     )

@@ -98,7 +98,7 @@ class TrainingTable:
     def rows(self) -> DataFrame:
         s = self.src
         return lookback.gold_training_row(
-            self.gold, self.eligible, s.payments, s.history, s.interactions,
+            self.spells, self.eligible, s.payments, s.history, s.interactions,
             s.provider_map, s.provider_flags, self.settings, self.spans,
         )
 

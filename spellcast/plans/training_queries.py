@@ -89,10 +89,9 @@ def horizon_label(spark, sf_dir):
 def label_rate_by_month(spark, sf_dir):
     """Snapshots, opt-ins and mean 90-day check payments per snapshot month."""
     t = fixture_table(spark, sf_dir)
-    recent = lookback.lookback_trailing(t.gold, t.src.payments, S, t.spans)
+    spells = lookback.with_payment_days(t.spells, t.src.payments, S, t.spans)
     return (
-        t.gold.select("tin", "providerid", "date_start", "date_end", "opt_in_ach", "opt_in_vcc")
-        .join(recent, ["tin", "providerid", "date_start", "date_end"])
+        lookback.trailing_payments(snapshots.gold_spells(spells, S), S)
         .groupBy(F.trunc("date_end", "MM").alias("month"))
         .agg(
             F.count("*").alias("snapshots"),

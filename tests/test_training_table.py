@@ -249,3 +249,33 @@ def test_payments_are_read_three_times(spark, sf_dir):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         reads.append(len(re.findall(r"Relation \[[^\]]*l_shipdate", plan)))
     assert reads == [1, 2]
+
+
+def test_snapshots_are_neither_shuffled_nor_sorted(spark, sf_dir):
+    """A row per snapshot comes last: above the step that generates the snapshots no rows move."""
+    from spellcast.plans import pipeline, training_queries
+
+    plans = [pipeline.fixture_table(spark, sf_dir).rows, training_queries.lookback_by_product(spark, sf_dir), training_queries.payer_lists(spark, sf_dir)]
+    for df in plans:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        above = lines[: next(i for i, line in enumerate(lines) if "Generate explode" in line)]
+        assert not [line for line in above if re.search(r"Exchange|Sort |Window|Join", line)]
+
+
+def test_joins_of_stored_layers_do_not_go_through_the_driver(spark, sf_dir, tmp_path):
+    """Layers in files look small; a row per provider, spell or snapshot is not broadcast for that."""
+    from spellcast.config import FIXTURE_SETTINGS
+    from spellcast.plans import pipeline
+
+    sources = pipeline.Sources.from_fixtures(spark, sf_dir)
+    t = pipeline.StoredTable(spark, sources, FIXTURE_SETTINGS, pipeline.Sources.fixture_versions(spark, sf_dir), str(tmp_path))
+    plans = [spells.all_spells(t.eligible, t.paid_days, sources.history, FIXTURE_SETTINGS), pipeline.TrainingTable.rows.func(t)]
+    for df in plans:
+        assert "BroadcastHashJoin [tin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_opt_outs_of_unknown_date_are_in_no_look_back(spark):
+    gold = gold_of(spark, "2021-01-01", "2021-05-10")
+    h = history(spark, [(1, "Opt-Out", "x", "2021-03-01", None)])
+    h = h.union(h.withColumn("statusstartdate", F.lit(None).cast("date")))
+    assert {r.total_prev_optouts for r in lookback.prior_optouts(gold, h, S).collect()} == {1}
