@@ -9,6 +9,7 @@ from spellcast.operators import binning, contributions, levels, sampling, scorin
 from spellcast.operators import evaluate as ev
 from spellcast.plans.evaluation_queries import TRAIN_END, VAL_END, rounded
 from spellcast.plans.registry import query
+from spellcast.session import stored
 from spellcast.sources import io
 from spellcast.sources.fixtures import Fixtures
 
@@ -16,7 +17,8 @@ FEATURES = ["amount", "balance", "cycle", "segment_bin", "state_bin"]
 
 
 def binned(spark, sf_dir):
-    df = Fixtures(spark, sf_dir).view("binned")
+    # Columns of customers look small enough to be broadcast up to millions of rows.
+    df = Fixtures(spark, sf_dir).view("binned", merged=("customer",))
     return ev.date_split(df, "event_date", TRAIN_END, VAL_END)
 
 
@@ -103,8 +105,8 @@ def class_weights(spark, sf_dir):
 
 
 def model_rows(spark, sf_dir):
-    """Rows with binned categories, fitted on the training split."""
-    df = binned(spark, sf_dir)
+    """Rows with binned categories, fitted on the training split. The joins of the view are made once, as many fits read them."""
+    df = stored(binned(spark, sf_dir).select("row_id", "split", "target", "amount", "balance", "cycle", "segment", "state"))
     training = df.where(is_train())
     for col in ("segment", "state"):
         df = binning.fit_binner(training, col, "target", min_rows=200).transform(df)

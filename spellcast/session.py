@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the session's reliable checkpoint folder (see ``shared_folder``)."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder by columns, for wide rows: much smaller than a checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

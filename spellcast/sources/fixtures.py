@@ -132,5 +132,7 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def view(self, name: str) -> DataFrame:
-        return self.spark.sql(VIEWS[name], **{t: self.table(t) for t in BASE_TABLES[name]})
+    def view(self, name: str, merged: tuple[str, ...] = ()) -> DataFrame:
+        """The view; ``merged`` names tables that grow with the data and are never sent to the driver to be joined."""
+        tables = {t: self.table(t) for t in BASE_TABLES[name]}
+        return self.spark.sql(VIEWS[name], **{t: df.hint("merge") if t in merged else df for t, df in tables.items()})

@@ -418,3 +418,13 @@ def test_concurrent_search_equals_the_serial_one(spark):
     one, four = (train.tune("DecisionTreeClassifier", df, ["a", "b"], "y", ["id"], None, grid, parallelism=n) for n in (1, 4))
     assert [(r["params"], r["pr_auc_score"]) for r in one.log] == [(r["params"], r["pr_auc_score"]) for r in four.log]
     assert one.params == four.params and len(one.log) == 4 and one.error is None and four.error is None
+
+
+def test_customers_do_not_pass_through_the_driver(spark, sf_dir):
+    from spellcast.plans import model_queries
+
+    plan = model_queries.binned(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "c_custkey" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+    # Fits read the joined rows, not the joins.
+    assert not any("customer" in f for f in model_queries.model_rows(spark, sf_dir).inputFiles())
