@@ -4,7 +4,8 @@
    signature of their lowest ``BITS`` bits. The sketches are written once to the checkpoint folder.
 2. Documents with equal sets collapse to the smallest id before anything is compared, so exact copies
    never meet in pairs.
-3. Representatives that share a band are candidates. Those with so many shingles of their own (in no
+3. Representatives that share a band are candidates; a filter of fixed size keeps most other texts from
+   being shuffled to them. Those with so many shingles of their own (in no
    other candidate's set) that no link is possible are set aside, in two passes; this is exact.
 4. In a few rounds (over some bands, then over all, by the smallest share of own shingles and then by
    scattered ids) every band has one leader that the members of other components are compared with;
@@ -42,6 +43,8 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS, BITS = 51, 5, 2
 FIRST_BANDS = 4
+#: Bits of the filter of candidates' ids; its size is fixed.
+FILTER_BITS = 24
 #: Estimated similarity below which a candidate pair isn't looked at in full.
 SCREEN = 0.62
 
@@ -128,6 +131,23 @@ def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _likely(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``texts`` without most of those whose doc_id is no node, so that few texts are shuffled to be joined.
+
+    A bit for the hash of every node, 64 to a row: a table of at most ``2**(FILTER_BITS - 6)`` rows,
+    whatever the number of nodes. A full table lets every text pass; the join that follows is exact.
+    """
+
+    def bit(key: Column) -> tuple[Column, Column]:
+        place = F.shiftrightunsigned(F.xxhash64(key, F.lit(7)), 64 - FILTER_BITS)
+        return F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+
+    word, mask = bit(F.col("node"))
+    table = nodes.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits"))
+    word, mask = bit(F.col("doc_id"))
+    return texts.join(F.broadcast(table), (word == F.col("_word")) & (F.col("_bits").bitwiseAND(mask) != 0), "left_semi")
+
+
 def _own_counts(sets: DataFrame) -> DataFrame:
     """Per node of ``sets`` (node, shingles): its size n and its own shingles, those that no other set has.
 
@@ -172,7 +192,7 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
     members = checkpointed(spread.join(shared, "band"))
     nodes = members.select("node").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = _likely(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), nodes)
     sets = checkpointed(
         shingle_sets(texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")).distinct()
         .withColumnRenamed("doc_id", "node")
@@ -183,13 +203,13 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         able = checkpointed(_own_counts(sets).filter(100 * (F.col("n") - F.col("own")) >= PERCENT * F.col("n")))
         sets = sets.join(able.select("node"), "node", "left_semi")
     sets = checkpointed(sets)
-    members = checkpointed(members.join(able, "node"))
+    members = checkpointed(members.join(able.select("node", (F.col("own") / F.col("n")).alias("share")), "node"))
     labels = checkpointed(able.select("node", F.col("node").alias("comp")))
     keys = F.transform("bands", lambda k: F.shiftright(k, 32).cast("int"))
     signatures = checkpointed(distinct.select(F.col("doc_id").alias("node"), "bits", keys.alias("keys")).join(able, "node"))
 
     # A few bands first: they connect most of a large group, whose members need no further pairs then.
-    central = F.struct(F.col("own") / F.col("n"), "node")
+    central = F.struct("share", "node")
     for slots, order in ((FIRST_BANDS, central), (BANDS, central), (BANDS, F.xxhash64("node"))):
         placed = members.filter(F.col("slot") < slots).join(labels, "node")
         leaders = placed.groupBy("band").agg(F.min_by(F.struct("node", "comp"), order).alias("lead"))

@@ -119,6 +119,15 @@ def test_minhash_dedup_of_shared_and_missing_ids(spark):
     assert sum(t in (third, third + " more") for _, t in kept) == 1
 
 
+def test_minhash_dedup_moves_candidates_only(spark):
+    texts = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    nodes = spark.range(0, 5000, 10).select(F.col("id").alias("node"))
+    passed = {r.doc_id for r in minhash_dedup._likely(texts, nodes).collect()}
+    assert set(range(0, 5000, 10)) <= passed and len(passed) < 520
+    shuffled = minhash_dedup._likely(texts, nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in shuffled and "SortMergeJoin" not in shuffled
+
+
 def test_minhash_dedup_chain_of_partial_links(spark):
     """A group where most pairs are below the limit: components must still be those of all pairs."""
     rng = random.Random(9)
