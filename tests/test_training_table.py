@@ -279,3 +279,13 @@ def test_opt_outs_of_unknown_date_are_in_no_look_back(spark):
     h = history(spark, [(1, "Opt-Out", "x", "2021-03-01", None)])
     h = h.union(h.withColumn("statusstartdate", F.lit(None).cast("date")))
     assert {r.total_prev_optouts for r in lookback.prior_optouts(gold, h, S).collect()} == {1}
+
+
+def test_payments_are_joined_alike_at_any_size(spark, sf_dir):
+    from spellcast.plans.pipeline import Sources
+
+    sources = Sources.from_fixtures(spark, sf_dir)
+    for df in (sources.payments, sources.history, sources.interactions):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
