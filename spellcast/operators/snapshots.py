@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spellcast.config import KEY, Settings
 from spellcast.functions.dates import spine_dates_between
 
 
-def snapshot_rows(spells: DataFrame, s: Settings, min_duration: int = 0) -> DataFrame:
+def snapshot_rows(
+    spells: DataFrame, s: Settings, min_duration: int = 0, after: Column | None = None, until: Column | None = None
+) -> DataFrame:
     """Explode each spell into the spine dates in ``(date_start + min_duration, date_end]``.
 
     The dates are generated on the row, so there is no join with a date table and no
-    non-equi join; the duration filter is part of the generated range.
+    non-equi join; the duration filter is part of the generated range. With ``after`` and ``until``
+    (NULL: no limit) only the dates in ``(after, until]`` are generated.
     """
-    after = F.date_add("date_start", min_duration)
+    start, end = F.date_add("date_start", min_duration), F.col("date_end")
+    lo = start if after is None else F.when(start.isNotNull(), F.greatest(start, after))
+    hi = end if until is None else F.when(end.isNotNull(), F.least(end, until))
     return spells.withColumn(
-        "date_end_oos", F.explode(spine_dates_between(after, F.col("date_end"), s))
+        "date_end_oos", F.explode(spine_dates_between(lo, hi, s))
     ).withColumn("duration_oos", F.datediff("date_end_oos", "date_start"))
 
 
@@ -41,9 +46,9 @@ def horizon_label(snapshots: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def gold_spells(spells: DataFrame, s: Settings) -> DataFrame:
-    """Labelled snapshots older than ``min_duration`` days."""
-    return horizon_label(snapshot_rows(spells, s, s.min_duration), s)
+def gold_spells(spells: DataFrame, s: Settings, after: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Labelled snapshots older than ``min_duration`` days; with ``after`` and ``until`` those between the two."""
+    return horizon_label(snapshot_rows(spells, s, s.min_duration, after, until), s)
 
 
 def spell_spans(spells: DataFrame, s: Settings) -> DataFrame:
@@ -54,7 +59,7 @@ def spell_spans(spells: DataFrame, s: Settings) -> DataFrame:
     dates = spine_dates_between(F.date_add("date_start", s.min_duration), F.col("date_end"), s)
     ends = spells.select(*KEY, "date_start", F.array_min(dates).alias("first_end"), F.array_max(dates).alias("until"), dates.alias("ends"))
     return (
-        ends.where(F.col("until").isNotNull())
-        .groupBy(*KEY, "date_start")
+        ends.groupBy(*KEY, "date_start")
         .agg(F.min("first_end").alias("first_end"), F.max("until").alias("until"), F.flatten(F.collect_list("ends")).alias("ends"))
+        .where(F.col("until").isNotNull())
     )

@@ -9,14 +9,25 @@ from spellcast.plans.pipeline import fixture_table
 from spellcast.plans.registry import query
 
 
-def prepared(spark, sf_dir):
-    return fx.fill_and_filter(fixture_table(spark, sf_dir).rows)
+CHECKS = [f"sumcheckpayment{kind}{k}" for kind in ("count", "amount") for k in ("", 30, 60, 90)]
+CANCELLED = [f"cancelledcheckpayment{kind}{k}" for kind in ("count", "amount") for k in ("", 30, 60, 90)]
+CALLS = [f"phonecount{k}" for k in ("", 30, 60, 90)]
+SHARES = [f"sum{line}payment{kind}" for line in ("payersponsored", "important") for kind in ("count", "amount")]
+
+
+def counts_of(names):
+    return [name for name in names if "amount" not in name]
+
+
+def prepared(spark, sf_dir, columns=None):
+    """Rows for features, with the payment and call sums named in ``columns`` (None: all)."""
+    return fx.fill_and_filter(fixture_table(spark, sf_dir).rows_with(columns))
 
 
 @query
 def feat_fill_filter(spark, sf_dir):
     cols = [c for c in fx.FILL_ZERO + fx.RECENCY]
-    return fx.select_available(prepared(spark, sf_dir), ROW_KEY + ["duration"] + cols)
+    return fx.select_available(prepared(spark, sf_dir, cols), ROW_KEY + ["duration"] + cols)
 
 
 @query
@@ -28,27 +39,28 @@ def feat_payers(spark, sf_dir):
 
 @query
 def feat_averages(spark, sf_dir):
-    df = fx.averages(prepared(spark, sf_dir))
+    df = fx.averages(prepared(spark, sf_dir, CHECKS))
     return df.select(*ROW_KEY, "check_payment_avg", *[f"check_payment_avg_{k}" for k in (30, 60, 90)])
 
 
 @query
 def feat_rates(spark, sf_dir):
     stems = ["check_paymentcount_rate", "cancelled_check_paymentcount_rate", "phonecount_rate"]
-    df = fx.rates(prepared(spark, sf_dir))
+    df = fx.rates(prepared(spark, sf_dir, counts_of(CHECKS + CANCELLED + CALLS)))
     return df.select(*ROW_KEY, *[f"{s}{k}" for s in stems for k in ("", "_30", "_60", "_90")])
 
 
 @query
 def feat_momentum(spark, sf_dir):
-    df = fx.momentum(fx.rates(prepared(spark, sf_dir)))
+    df = fx.momentum(fx.rates(prepared(spark, sf_dir, counts_of(CHECKS + CANCELLED + CALLS))))
     names = [f"{stem}_{other}" for stem, _, against in fx.MOMENTUM for other, _ in against]
     return df.select(*ROW_KEY, *names)
 
 
 @query
 def feat_ratios(spark, sf_dir):
-    df = fx.window_ratios(fx.sponsored_shares(fx.averages(prepared(spark, sf_dir))))
+    sums = CHECKS + CANCELLED + CALLS + SHARES
+    df = fx.window_ratios(fx.sponsored_shares(fx.averages(prepared(spark, sf_dir, sums))))
     windows = ("", "30", "60", "90")
     return df.select(
         *ROW_KEY, "pctpaycountsponsored", "pctpayamountsponsored",
@@ -94,7 +106,7 @@ def scoring_rows(spark, sf_dir):
         "sumcheckpaymentamount30", "sumcheckpaymentcount90", "time_since_last_check_payment",
         "time_since_last_cancelled_check_payment", "providercreatedon",
     ]
-    df = fx.scoring_features(fixture_table(spark, sf_dir).rows.select(*cols))
+    df = fx.scoring_features(fixture_table(spark, sf_dir).rows_with(cols).select(*cols))
     return df.select(
         *ROW_KEY, "providertype", "time_since_last_check_payment", "check_payment_avg_30",
         "check_paymentcount_momentum_30_90", "account_age", "firstaction_bool",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -99,10 +99,14 @@ class TrainingTable:
 
     @cached_property
     def rows(self) -> DataFrame:
+        return self.rows_with(None)
+
+    def rows_with(self, columns: Collection[str] | None) -> DataFrame:
+        """The rows with no other payment and call sums than those named in ``columns`` (None: all)."""
         s = self.src
         return lookback.gold_training_row(
             self.spells, self.eligible, s.payments, s.history, s.interactions,
-            s.provider_map, s.provider_flags, self.settings, self.spans,
+            s.provider_map, s.provider_flags, self.settings, self.spans, columns,
         )
 
 

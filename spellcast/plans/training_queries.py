@@ -119,8 +119,7 @@ def lookback_trailing(spark, sf_dir):
 @query
 def payer_lists(spark, sf_dir):
     t = fixture_table(spark, sf_dir)
-    lists = lookback.payer_lists(t.gold, t.src.payments, S, t.spans)
-    return lists.withColumns({name: lookback.as_list_text(name) for name in lookback.PAYER_LISTS})
+    return lookback.payer_lists(t.gold, t.src.payments, S, t.spans, as_text=True)
 
 
 @query

@@ -289,3 +289,50 @@ def test_payments_are_joined_alike_at_any_size(spark, sf_dir):
         plan = df._jdf.queryExecution().executedPlan().toString()
         joins = [line for line in plan.splitlines() if "Join" in line]
         assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_payments_meet_a_few_copies_of_the_spells(spark):
+    """Payers are joined with PAYER_PARTS rows a spell, not with one for every snapshot interval that it reaches into."""
+    gold = gold_of(spark, "2020-01-01", "2023-11-20")
+    p = payments(spark, [(1, "2021-03-01", "Check", PAID, 7, 1, 5), (1, "2021-03-01", "VCC", "Cancelled", 8, 1, 5)])
+    spans = lookback.spans_of(gold)
+    entries = lookback.payer_entries(spans, p, S)
+    assert [(r.payerid, str(r.payerid_list_check), r.payerid_list_ach) for r in entries.collect()] == [(7, "2021-03-15", None)]
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert joins and all(re.search(r"providerid#\d+\w*, part#", line) for line in joins)
+
+
+def test_payer_lists_of_some_snapshots(spark):
+    """Snapshots that a caller left out, and some that are there twice, have no bearing on the lists of the others."""
+    rng = random.Random(6)
+    rows = [(1, str(D("2020-11-01") + dt.timedelta(days=rng.randrange(700))), "Check", rng.choice([PAID, "Cancelled"]), rng.randrange(30), 1, 5) for _ in range(80)]
+    gold = gold_of(spark, "2021-01-01", "2022-11-10").where(F.month("date_end") % 3 != 0)
+    gold = gold.union(gold.where(F.year("date_end") == 2022))
+    got = lookback.payer_lists(gold, payments(spark, rows), S).collect()
+    assert sorted(r.date_end for r in got) == sorted(r.date_end for r in gold.collect())
+    for r in got:
+        check = {x[4] for x in rows if r.date_start <= D(x[1]) < r.date_end and x[3] == PAID}
+        assert r.payerid_list_check == (sorted(check) or None)
+
+
+def test_only_the_sums_asked_for_are_made(spark, sf_dir):
+    """A query on a few sums moves no others, no calls, and a provider's day lists no more than once."""
+    from spellcast.plans import feature_queries
+
+    plan = feature_queries.feat_averages(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for name in ("sumachpayment", "sumvccpayment", "cancelledcheckpayment", "phonecount", "o_orderpriority"):
+        assert name not in plan
+    top = plan.split("collect_list")[0]
+    assert "date_start" not in "".join(line for line in top.splitlines() if "Exchange" in line)
+
+
+def test_rows_with_some_columns_equal_the_whole_ones(spark, sf_dir):
+    """Same snapshots and same values, also where calls and payments share a day."""
+    from spellcast.config import ROW_KEY
+    from spellcast.plans import pipeline
+
+    t = pipeline.fixture_table(spark, sf_dir)
+    for cols in (["sumcheckpaymentamount30", "cancelledcheckpaymentcount90"], ["phonecount", "phonecount60", "sumtotalpaymentamount"]):
+        some, whole = (t.rows_with(c).select(*ROW_KEY, *cols, "time_since_last_check_payment") for c in (cols, None))
+        assert some.count() == whole.count() > 0 and some.exceptAll(whole).isEmpty()
