@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,18 +26,35 @@ def next_spine_date(day: Column, spine_days: tuple[int, ...]) -> Column:
     return result
 
 
+def spine_dates(s: Settings) -> list[dt.date]:
+    """The configured spine, in order."""
+    first, last = s.spine_start.replace(day=1), s.spine_end
+    months = range((last.year - first.year) * 12 + last.month - first.month + 1)
+    dates = [dt.date(first.year + (first.month - 1 + m) // 12, (first.month - 1 + m) % 12 + 1, d) for m in months for d in sorted(s.spine_days)]
+    return [d for d in dates if s.spine_start <= d <= last]
+
+
+def _spine_number(day: Column, s: Settings) -> Column:
+    """Number of spine dates up to and including ``day``, from the month before the spine's first on."""
+    months = (F.year(day) - s.spine_start.year) * 12 + F.month(day) - s.spine_start.month + 1
+    return reduce(Column.__add__, [F.when(F.dayofmonth(day) >= d, 1).otherwise(0) for d in s.spine_days], months * len(s.spine_days))
+
+
+def holds_spine_date(after: Column, until: Column, s: Settings) -> Column:
+    """Can a spine date lie in ``(after, until]``, as far as the days of the month tell?"""
+    return _spine_number(until, s) > _spine_number(after, s)
+
+
 def spine_dates_between(after: Column, until: Column, s: Settings) -> Column:
     """Array of the spine dates in ``(after, until]``, clipped to the configured spine.
 
-    Built from a monthly sequence (12 elements a year), not from a daily one.
+    A slice of the spine, whose ends are counted from the months; no date is generated for a row.
     """
-    lo = F.greatest(after, F.lit(s.spine_start - dt.timedelta(days=1)))
+    before = s.spine_start - dt.timedelta(days=1)
+    lo = F.greatest(after, F.lit(before))
     hi = F.least(until, F.lit(s.spine_end))
-    months = F.sequence(F.trunc(lo, "MM"), F.trunc(hi, "MM"), F.expr("interval 1 month"))
-    dates = F.flatten(
-        F.transform(months, lambda m: F.array(*[F.date_add(m, d - 1) for d in sorted(s.spine_days)]))
-    )
-    inside = F.filter(dates, lambda d: (d > lo) & (d <= hi))
+    spine = F.expr(f"cast(array({', '.join(f"date'{d}'" for d in spine_dates(s))}) as array<date>)")
+    inside = F.slice(spine, _spine_number(lo, s) - _spine_number(F.lit(before), s) + 1, _spine_number(hi, s) - _spine_number(lo, s))
     return F.when(after.isNotNull() & until.isNotNull() & (lo < hi), inside)
 
 

@@ -336,3 +336,37 @@ def test_rows_with_some_columns_equal_the_whole_ones(spark, sf_dir):
     for cols in (["sumcheckpaymentamount30", "cancelledcheckpaymentcount90"], ["phonecount", "phonecount60", "sumtotalpaymentamount"]):
         some, whole = (t.rows_with(c).select(*ROW_KEY, *cols, "time_since_last_check_payment") for c in (cols, None))
         assert some.count() == whole.count() > 0 and some.exceptAll(whole).isEmpty()
+
+
+@pytest.mark.parametrize("days", [(1, 15), (28, 3, 14)])
+def test_spine_dates_are_cut_from_the_spine(spark, days):
+    """Counted from the months, without a sequence of dates for every row; the ends are those of the spine."""
+    from spellcast.functions.dates import spine_dates_between
+
+    s = Settings(as_of=D("2003-01-01"), spine_start=D("2001-02-10"), spine_end=D("2002-11-14"), spine_days=days)
+    rng = random.Random(3)
+    ends = [(D("2000-11-20") + dt.timedelta(days=rng.randrange(900)), D("2000-11-20") + dt.timedelta(days=rng.randrange(900))) for _ in range(400)]
+    ends += [(D("2001-02-10"), D("2001-02-10") + dt.timedelta(days=k)) for k in range(-3, 40)] + [(None, D("2002-01-01")), (D("2002-01-01"), None)]
+    got = spark.createDataFrame(ends, "a date, b date").withColumn("dates", spine_dates_between(F.col("a"), F.col("b"), s))
+    assert "sequence(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    every = [s.spine_start + dt.timedelta(days=k) for k in range((s.spine_end - s.spine_start).days + 1)]
+    spine = [d for d in every if d.day in days]
+    for r in got.collect():
+        assert (r.dates or []) == ([d for d in spine if r.a < d <= r.b] if r.a and r.b else [])
+
+
+def test_days_meet_their_spells_as_rows(spark, sf_dir):
+    """A provider's days are neither gathered into one list nor taken out of it again: only the snapshots are generated."""
+    from spellcast.plans import feature_queries
+
+    for query in (feature_queries.feat_ratios, feature_queries.feat_momentum, feature_queries.feat_rates, feature_queries.scoring_rows):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Generate explode", plan)) == 1
+
+
+def test_only_the_windows_asked_for_are_made(spark, sf_dir):
+    from spellcast.plans import pipeline
+
+    some = pipeline.fixture_table(spark, sf_dir).rows_with(["sumcheckpaymentcount30", "phonecount90"]).columns
+    assert {"sumcheckpaymentcount30", "phonecount90"} < set(some)
+    assert not {"sumcheckpaymentcount60", "sumcheckpaymentcount90", "phonecount30", "phonecount60"} & set(some)
