@@ -174,7 +174,7 @@ def latest_per_model(spark, sf_dir):
 @query
 def tree_drivers(spark, sf_dir):
     """Top drivers of a boosted model by Shapley contributions, for every row."""
-    df, fitted = fit_one(spark, sf_dir, "GBTClassifier", {"maxIter": [5]})
+    df, fitted = fit_one(spark, sf_dir, "GBTClassifier")
     explained = contributions.tree_contributions(df, fitted.model, FEATURES)
     out = scoring.top_drivers(explained, top_n=3)
     return out.select("row_id", *[c for i in (1, 2, 3) for c in (f"optindriver_{i}", f"optindriver_{i}_value")])

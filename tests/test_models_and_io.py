@@ -409,6 +409,36 @@ def test_boosting_stops_at_the_best_round(spark):
     assert broken.error and broken.losses and broken.model.stages[-1].getNumTrees == train.best_round(broken.losses)
 
 
+def test_tree_drivers_boosts_all_rounds_of_its_family(spark, tmp_path, monkeypatch):
+    """The query explains a model of the family's rounds, cut at the best one on held-out rows, and not of a few rounds."""
+    import dataclasses
+
+    from spellcast.operators import train
+    from spellcast.plans import model_queries
+
+    rng = np.random.default_rng(3)
+    n = 4000
+    customer, year, noise = rng.integers(0, 50, n).tolist(), rng.integers(1998, 2001, n).tolist(), rng.normal(size=n).tolist()
+    hit = [i % (5 + customer[i] % 25 % 7) == 0 for i in range(n)]  # the target of the view
+    orders = [(i, customer[i], dt.date(year[i], 6, 1), 100 + 40 * hit[i] + 12 * noise[i]) for i in range(n)]
+    tables = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderdate date, o_totalprice double"),
+        "customer": ([(c, c % 25, f"s{c % 5}", float(c)) for c in range(50)], "c_custkey long, c_nationkey long, c_mktsegment string, c_acctbal double"),
+        "nation": ([(k, k % 5, f"n{k}") for k in range(25)], "n_nationkey long, n_regionkey long, n_name string"),
+        "region": ([(k, f"r{k}") for k in range(5)], "r_regionkey long, r_name string"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    family, fits, tune = train.FAMILIES["GBTClassifier"], [], train.tune
+    monkeypatch.setitem(train.FAMILIES, "GBTClassifier", dataclasses.replace(family, grid=family.grid | {"maxIter": [40]}))
+    monkeypatch.setattr(train, "tune", lambda *a, **k: fits.append(tune(*a, **k)) or fits[-1])
+    out = model_queries.tree_drivers(spark, str(tmp_path))
+    (fitted,) = fits
+    assert fitted.error is None and fitted.params["maxIter"] == len(fitted.losses) == 40
+    assert fitted.model.stages[-1].getNumTrees == train.best_round(fitted.losses) > 5
+    assert out.count() == n and out.where("optindriver_1 = 'amount'").count() > n // 2
+
+
 def test_concurrent_search_equals_the_serial_one(spark):
     from spellcast.operators import train
 
