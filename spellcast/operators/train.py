@@ -109,6 +109,14 @@ def _pipeline(family: Family, features: list[str], params: dict, rows: int, targ
     return Pipeline(stages=[*stages, clf])
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without its training summary, which holds the session: where that has observed a frame, it cannot go to tasks."""
+    clf = model.stages[-1]
+    if getattr(clf, "hasSummary", False):
+        clf._java_obj.setSummary(SparkSession.active().sparkContext._jvm.scala.Option.empty())
+    return model
+
+
 def scalers(model: PipelineModel) -> list[StandardScalerModel]:
     """The scalers of numbers and of levels, in that order, where the family has them."""
     return [stage for stage in model.stages if isinstance(stage, StandardScalerModel)]
@@ -216,7 +224,7 @@ def tune(
     rows = train.count()
 
     def fit(params: dict, on: DataFrame) -> PipelineModel:
-        return _pipeline(family, features, params, rows, target, encoder).fit(on)
+        return without_summary(_pipeline(family, features, params, rows, target, encoder).fit(on))
 
     def final(params: dict) -> PipelineModel:
         model = fit(params, train)

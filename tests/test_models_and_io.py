@@ -439,6 +439,22 @@ def test_tree_drivers_boosts_all_rounds_of_its_family(spark, tmp_path, monkeypat
     assert out.count() == n and out.where("optindriver_1 = 'amount'").count() > n // 2
 
 
+def test_models_go_to_tasks_after_an_observation(spark):
+    """A session that has observed a frame cannot be sent to tasks; models must not hold it."""
+    from pyspark.sql import Observation
+
+    from spellcast.operators import train
+    from spellcast.session import checkpointed
+
+    seen = Observation("seen")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    df = spark.createDataFrame([(i, float(i % 7), int(i % 7 > 3)) for i in range(200)], "id int, a double, y int")
+    for family, grid in (("LogisticRegression", {"C": [1.0]}), ("RandomForestClassifier", {"numTrees": [2], "maxDepth": [2], "minInstancesPerNode": [5], "featureSubsetStrategy": ["all"]})):
+        fitted = train.tune(family, df, ["a"], "y", ["id"], None, grid)
+        assert fitted.error is None and checkpointed(train.predict(fitted.model, df)).count() == 200
+
+
 def test_concurrent_search_equals_the_serial_one(spark):
     from spellcast.operators import train
 
